@@ -16,8 +16,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _ends(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "events").withColumns(
+def _ends(events: DataFrame) -> DataFrame:
+    return events.withColumns(
         {
             "so": E("user_id % 40 + 1"),
             "sd": E("case when event_id % 50 = 0 then null else (user_id * 7 + event_id) % 40 + 1 end"),
@@ -42,7 +42,7 @@ def _station(side: str, s: str) -> dict:
     }
 
 
-def trips_view(spark: SparkSession, folder: str) -> DataFrame:
+def trips_of(events: DataFrame) -> DataFrame:
     """Trips with typed columns, as the cleaner returns them, but with short trips still in."""
     cols = {
         "id_recorrido": F.col("event_id"),
@@ -57,7 +57,11 @@ def trips_view(spark: SparkSession, folder: str) -> DataFrame:
         "fecha_origen_recorrido": F.col("ts"),
         "fecha_destino_recorrido": F.col("ts") + F.make_dt_interval(secs=F.col("dur")),
     }
-    return _ends(spark, folder).select(*[c.alias(n) for n, c in cols.items()])
+    return _ends(events).select(*[c.alias(n) for n, c in cols.items()])
+
+
+def trips_view(spark: SparkSession, folder: str) -> DataFrame:
+    return trips_of(table(spark, folder, "events"))
 
 
 def raw_trips_view(spark: SparkSession, folder: str, packed: bool = True) -> DataFrame:
@@ -104,7 +108,7 @@ def raw_trips_view(spark: SparkSession, folder: str, packed: bool = True) -> Dat
         "fecha_origen_recorrido": "cast(ts as string)",
         "fecha_destino_recorrido": "case when event_id % 41 = 0 then 'sin dato' else cast(ts as string) end",
     }
-    return _ends(spark, folder).select(*[E(c).alias(n) for n, c in cols.items()])
+    return _ends(table(spark, folder, "events")).select(*[E(c).alias(n) for n, c in cols.items()])
 
 
 def users_view(spark: SparkSession, folder: str) -> DataFrame:
