@@ -51,16 +51,10 @@ def activity_thresholds(train: DataFrame, share: float = 0.1) -> DataFrame:
 def active_intervals(df: DataFrame, train: DataFrame, share: float = 0.1, min_rows: int = MIN_INACTIVE) -> DataFrame:
     """Rows of ``df`` without those at or below both thresholds of ``train``.
 
-    Nothing is dropped unless more than ``min_rows`` train rows are that quiet.
+    Nothing is dropped unless more than ``min_rows`` train rows are that quiet. The two thresholds
+    and that count are fetched, as fitting would, so the filter on ``df`` holds plain numbers and
+    reaches its scan.
     """
-    thresholds = activity_thresholds(train, share)
-
-    def quiet():
-        return (F.col("despachos_count") <= F.col("_u.despachos_count")) & (F.col(TARGET) <= F.col(f"_u.{TARGET}"))
-
-    found = train.withColumn("_u", thresholds.scalar()).agg(F.count_if(quiet()))
-    return (
-        df.withColumns({"_u": thresholds.scalar(), "_n": found.scalar()})
-        .filter(~(quiet() & (F.col("_n") > min_rows)))
-        .drop("_u", "_n")
-    )
+    low = activity_thresholds(train, share).first()["umbral"]
+    quiet = (F.col("despachos_count") <= low["despachos_count"]) & (F.col(TARGET) <= low[TARGET])
+    return df.filter(~quiet) if train.filter(quiet).count() > min_rows else df
