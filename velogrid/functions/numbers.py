@@ -51,11 +51,3 @@ def share(part: Column, whole: Column) -> Column:
 def percent(part: Column, whole: Column) -> Column:
     return share(part, whole) * 100
 
-
-def sample_std(n: Column, total: Column, squares: Column) -> Column:
-    """Standard deviation (n - 1) from a count, a sum and a sum of squares.
-
-    The inputs are whole numbers, so equal values give exactly zero.
-    """
-    spread = n * squares - total * total
-    return F.when(n > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / (n * (n - 1))))

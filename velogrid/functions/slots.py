@@ -12,30 +12,31 @@ from pyspark.sql import functions as F
 from velogrid.schemas import SLOT_MINUTES
 
 
-def slot_of(ts: Column, minutes: int = SLOT_MINUTES) -> Column:
-    since_epoch = F.unix_date(F.to_date(ts)) * 1440 + F.hour(ts) * 60 + F.minute(ts)
-    return F.floor(since_epoch / F.lit(minutes)).cast("int")
+def slot_of(ts: str, minutes: int = SLOT_MINUTES) -> Column:
+    """Slot of the timestamp column ``ts``."""
+    return F.expr(
+        f"cast(floor((unix_date(to_date(`{ts}`)) * 1440 + hour(`{ts}`) * 60 + minute(`{ts}`)) / {minutes}) as int)"
+    )
 
 
-def slot_start(slot: Column, minutes: int = SLOT_MINUTES) -> Column:
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return epoch + F.make_dt_interval(mins=slot * F.lit(minutes))
+def slot_start(slot: str, minutes: int = SLOT_MINUTES) -> Column:
+    """First instant of a slot column."""
+    return F.expr(f"timestamp_ntz '1970-01-01 00:00:00' + make_dt_interval(0, 0, {slot} * {minutes})")
 
 
-def floor_window(ts: Column, minutes: int = SLOT_MINUTES) -> Column:
-    return slot_start(slot_of(ts, minutes), minutes)
+def floor_window(ts: str, minutes: int = SLOT_MINUTES) -> Column:
+    """Start of the window that holds the timestamp."""
+    whole = f"(unix_date(to_date(`{ts}`)) * 1440 + hour(`{ts}`) * 60 + minute(`{ts}`))"
+    return slot_start(f"cast(floor({whole} / {minutes}) as int)", minutes)
 
 
 def with_calendar(df: DataFrame, ts: str = "timestamp") -> DataFrame:
-    t = F.col(ts)
-    weekday = F.weekday(t)  # Monday = 0
-    return df.withColumns(
-        {
-            "hora": F.hour(t),
-            "dia_semana": weekday,
-            "es_fin_semana": (weekday >= 5).cast("int"),
-            "mes": F.month(t),
-            "dia_mes": F.dayofmonth(t),
-            "año": F.year(t),
-        }
+    return df.selectExpr(
+        "*",
+        f"hour(`{ts}`) as hora",
+        f"weekday(`{ts}`) as dia_semana",  # Monday = 0
+        f"cast(weekday(`{ts}`) >= 5 as int) as es_fin_semana",
+        f"month(`{ts}`) as mes",
+        f"day(`{ts}`) as dia_mes",
+        f"year(`{ts}`) as `año`",
     )

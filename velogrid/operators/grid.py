@@ -7,11 +7,10 @@ departures of [10:00, 10:30) with the arrivals of [10:30, 11:00).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from velogrid.functions.numbers import sample_std, share
 from velogrid.functions.slots import slot_of, slot_start, with_calendar
 from velogrid.operators.columns import with_missing
 from velogrid.operators.enrich import add_users
@@ -44,12 +43,10 @@ RIDER_COLUMNS = [
 
 def slot_span(trips: DataFrame, minutes: int = SLOT_MINUTES) -> DataFrame:
     """First and last slot of the grid: the first departure label to the last arrival label."""
-    return trips.agg(
-        F.struct(
-            (F.min(slot_of(F.col("fecha_origen_recorrido"), minutes)) + 1).alias("desde"),
-            F.max(slot_of(F.col("fecha_destino_recorrido"), minutes)).alias("hasta"),
-        ).alias("rango")
+    slots = trips.select(
+        (slot_of("fecha_origen_recorrido", minutes) + 1).alias("o"), slot_of("fecha_destino_recorrido", minutes).alias("d")
     )
+    return slots.agg(F.expr("named_struct('desde', min(o), 'hasta', max(d))").alias("rango"))
 
 
 def slot_traffic(trips: DataFrame, minutes: int = SLOT_MINUTES) -> DataFrame:
@@ -59,90 +56,94 @@ def slot_traffic(trips: DataFrame, minutes: int = SLOT_MINUTES) -> DataFrame:
     are combined before the shuffle and a hot station shrinks to a few rows per task.
     """
     trips = with_missing(trips, [*TRIP_SCHEMA.fields, T.StructField("edad_usuario", T.IntegerType())])
-    duration, age = F.col("duracion_recorrido").cast("double"), F.col("edad_usuario").cast("double")
-    woman = F.coalesce((F.col("genero") == FEMALE).cast("int"), F.lit(0))
-
-    def end(arrival: bool, slot: Column, station: str) -> Column:
-        none = F.lit(None)
-        return F.struct(
-            F.lit(arrival).alias("llegada"),
-            slot.alias("slot"),
-            F.col(station).alias("id_estacion"),
-            (none.cast("string") if arrival else F.col("modelo_bicicleta")).alias("modelo"),
-            (none.cast("double") if arrival else duration).alias("dur"),
-            (none.cast("double") if arrival else age).alias("edad"),
-            (F.lit(0) if arrival else woman).alias("mujer"),
-        )
-
-    ends = F.array(
-        end(False, slot_of(F.col("fecha_origen_recorrido"), minutes) + 1, "id_estacion_origen"),
-        end(True, slot_of(F.col("fecha_destino_recorrido"), minutes), "id_estacion_destino"),
+    labelled = trips.select(
+        (slot_of("fecha_origen_recorrido", minutes) + 1).alias("o"),
+        slot_of("fecha_destino_recorrido", minutes).alias("d"),
+        *["id_estacion_origen", "id_estacion_destino", "modelo_bicicleta", "genero", "duracion_recorrido", "edad_usuario"],
     )
+    ends = f"""array(
+        named_struct('llegada', false, 'slot', o, 'id_estacion', id_estacion_origen, 'modelo', modelo_bicicleta,
+            'dur', cast(duracion_recorrido as double), 'edad', cast(edad_usuario as double),
+            'mujer', if(genero = '{FEMALE}', 1, 0)),
+        named_struct('llegada', true, 'slot', d, 'id_estacion', id_estacion_destino, 'modelo', cast(null as string),
+            'dur', cast(null as double), 'edad', cast(null as double), 'mujer', 0))"""
     return (
-        trips.select(F.inline(ends))
+        labelled.selectExpr(f"inline({ends})")
         .filter("slot is not null and id_estacion is not null")
         .groupBy("llegada", "slot", "id_estacion", "modelo")
         .agg(
-            F.count("*").alias("viajes"),
-            F.count("dur").alias("duraciones"),
-            F.sum("dur").alias("dur_suma"),
-            F.sum(F.col("dur") * F.col("dur")).alias("dur_cuadrados"),
-            F.count("edad").alias("edades"),
-            F.sum("edad").alias("edad_suma"),
-            F.sum(F.col("edad") * F.col("edad")).alias("edad_cuadrados"),
-            F.sum("mujer").alias("mujeres"),
+            F.expr("count(*)").alias("viajes"),
+            F.expr("count(dur)").alias("duraciones"),
+            F.expr("sum(dur)").alias("dur_suma"),
+            F.expr("sum(dur * dur)").alias("dur_cuadrados"),
+            F.expr("count(edad)").alias("edades"),
+            F.expr("sum(edad)").alias("edad_suma"),
+            F.expr("sum(edad * edad)").alias("edad_cuadrados"),
+            F.expr("sum(mujer)").alias("mujeres"),
         )
     )
 
 
-def _cell_totals() -> list[Column]:
-    """Aggregates that turn traffic rows of one cell into its totals."""
-    departure = ~F.col("llegada")
-    model = F.when(departure & F.col("modelo").isNotNull(), F.struct((-F.col("viajes")).alias("n"), "modelo"))
-    return [
-        F.sum(F.when(departure, F.col("viajes"))).alias("despachos"),
-        F.sum(F.when(F.col("llegada"), F.col("viajes"))).alias("arribos"),
-        *[F.sum(c).alias(c) for c in SUMS],
-        F.min(model)["modelo"].alias("modelo"),  # most trips; the smallest name on a tie
-    ]
+# Totals of one cell from its traffic rows. The commonest model is the one with most trips, the
+# smallest name on a tie.
+CELL_TOTALS = {
+    "despachos": "sum(case when not llegada then viajes end)",
+    "arribos": "sum(case when llegada then viajes end)",
+    **{c: f"sum({c})" for c in SUMS},
+    "modelo": "min(case when not llegada and modelo is not null then named_struct('n', -viajes, 'm', modelo) end).m",
+}
+
+
+def _mean(total: str, n: str) -> str:
+    return f"coalesce(try_divide({total}, {n}), 0D)"
+
+
+def _deviation(n: str, total: str, squares: str) -> str:
+    """Sample deviation. The inputs are sums of whole numbers, so equal values give exactly 0."""
+    spread = f"greatest({n} * {squares} - {total} * {total}, 0D)"
+    return f"coalesce(case when {n} > 1 then sqrt({spread} / (cast({n} as double) * ({n} - 1))) end, 0D)"
 
 
-def _rider_columns() -> dict[str, Column]:
-    """Rider statistics with the defaults of an empty cell."""
-    zero = F.lit(0).cast("bigint")
+# Statistics of one cell from its totals, with the defaults of an empty one.
+CELL_COLUMNS = {
+    "despachos_count": "coalesce(despachos, 0L)",
+    "duracion_recorrido_mean": _mean("dur_suma", "duraciones"),
+    "duracion_recorrido_std": _deviation("duraciones", "dur_suma", "dur_cuadrados"),
+    "duracion_recorrido_count": "coalesce(duraciones, 0L)",
+    "edad_usuario_mean": _mean("edad_suma", "edades"),
+    "edad_usuario_std": _deviation("edades", "edad_suma", "edad_cuadrados"),
+    "proporcion_mujeres": _mean("mujeres", "despachos"),
+    "modelo_mas_comun": f"coalesce(modelo, '{UNKNOWN_MODEL}')",
+}
 
-    def number(value: Column) -> Column:
-        return F.coalesce(value, F.lit(0.0))
 
-    return {
-        "despachos_count": F.coalesce("despachos", zero),
-        "duracion_recorrido_mean": number(share(F.col("dur_suma"), F.col("duraciones"))),
-        "duracion_recorrido_std": number(sample_std(F.col("duraciones"), F.col("dur_suma"), F.col("dur_cuadrados"))),
-        "duracion_recorrido_count": F.coalesce("duraciones", zero),
-        "edad_usuario_mean": number(share(F.col("edad_suma"), F.col("edades"))),
-        "edad_usuario_std": number(sample_std(F.col("edades"), F.col("edad_suma"), F.col("edad_cuadrados"))),
-        "proporcion_mujeres": number(share(F.col("mujeres"), F.col("despachos"))),
-        "modelo_mas_comun": F.coalesce("modelo", F.lit(UNKNOWN_MODEL)),
-    }
+def _named(expressions: dict[str, str]) -> list[str]:
+    return [f"{e} as {n}" for n, e in expressions.items()]
 
 
 def departures(trips: DataFrame, minutes: int = SLOT_MINUTES) -> DataFrame:
     """Departures and rider statistics per (half hour, station) that saw any."""
-    cells = slot_traffic(trips, minutes).filter(~F.col("llegada")).groupBy("slot", "id_estacion").agg(*_cell_totals())
-    return cells.select(slot_start(F.col("slot"), minutes).alias("timestamp"), "id_estacion", *[
-        c.alias(n) for n, c in _rider_columns().items()
-    ])
+    totals = (
+        slot_traffic(trips, minutes)
+        .filter("not llegada")
+        .groupBy("slot", "id_estacion")
+        .agg(*[F.expr(e).alias(n) for n, e in CELL_TOTALS.items()])
+    )
+    return totals.withColumn("timestamp", slot_start("slot", minutes)).selectExpr(
+        "timestamp", "id_estacion", *_named(CELL_COLUMNS)
+    )
 
 
 def arrivals(trips: DataFrame, minutes: int = SLOT_MINUTES, shift: int = 0, name: str = "arribos_count") -> DataFrame:
     """Arrivals per (half hour, station), labelled ``shift`` windows later."""
-    slot = slot_of(F.col("fecha_destino_recorrido"), minutes) + shift
     return (
-        trips.select(slot.alias("slot"), F.col("id_estacion_destino").alias("id_estacion"))
+        trips.select(
+            (slot_of("fecha_destino_recorrido", minutes) + shift).alias("slot"), F.col("id_estacion_destino").alias("id_estacion")
+        )
         .filter("slot is not null and id_estacion is not null")
         .groupBy("slot", "id_estacion")
         .agg(F.count("*").alias(name))
-        .select(slot_start(F.col("slot"), minutes).alias("timestamp"), "id_estacion", name)
+        .select(slot_start("slot", minutes).alias("timestamp"), "id_estacion", name)
     )
 
 
@@ -156,27 +157,20 @@ def _skeleton_slots(stations: DataFrame, span: DataFrame, lead: int, stretch: in
     The small (station, stretch) table is spread first, so no task writes out a whole grid. The
     station attributes travel as one struct, which also marks the rows as part of the grid.
     """
-    first, last = F.col("rango.desde"), F.col("rango.hasta")
-    start = F.col("tramo") * stretch
+    start = f"tramo * {stretch}"
+    slots = f"sequence(greatest(rango.desde, {start} - {lead}), least(rango.hasta, {start} + {stretch - 1}))"
     return (
         stations.select("id_estacion", F.struct(*STATION_COLUMNS[1:]).alias("estacion"))
         .withColumn("rango", span.scalar())
-        .filter(first <= last)
-        .select(
+        .filter("rango.desde <= rango.hasta")
+        .selectExpr(
             "id_estacion",
             "estacion",
             "rango",
-            F.explode(
-                F.sequence(F.floor(first / stretch).cast("int"), F.floor(last / stretch).cast("int"))
-            ).alias("tramo"),
+            f"explode(sequence(cast(floor(rango.desde / {stretch}) as int), cast(floor(rango.hasta / {stretch}) as int))) as tramo",
         )
         .repartition("id_estacion", "tramo")
-        .select(
-            "id_estacion",
-            "estacion",
-            "tramo",
-            F.explode(F.sequence(F.greatest(first, start - lead), F.least(last, start + (stretch - 1)))).alias("slot"),
-        )
+        .selectExpr("id_estacion", "estacion", "tramo", f"explode({slots}) as slot")
     )
 
 
@@ -184,7 +178,21 @@ def dense_skeleton(trips: DataFrame, stations: DataFrame | None = None, minutes:
     """All timestamps of the range for all stations."""
     stations = first_seen_stations(trips) if stations is None else stations
     slots = _skeleton_slots(stations, slot_span(trips, minutes), 0, STRETCH)
-    return slots.select(slot_start(F.col("slot"), minutes).alias("timestamp"), "id_estacion")
+    return slots.select(slot_start("slot", minutes).alias("timestamp"), "id_estacion")
+
+
+def _placed(traffic: DataFrame, lags: int, stretch: int) -> DataFrame:
+    """Traffic rows in their stretch, and in the next one if that looks back on them.
+
+    An arrival counts once more, as a previous arrival, one slot later.
+    """
+    own = "named_struct('slot', slot, 'llegada', llegada, 'viajes', viajes, 'previos', cast(null as bigint))"
+    later = "named_struct('slot', slot + 1, 'llegada', cast(null as boolean), 'viajes', cast(null as bigint), 'previos', viajes)"
+    rows = traffic.selectExpr(
+        "id_estacion", "modelo", *SUMS, f"inline(case when llegada then array({own}, {later}) else array({own}) end)"
+    )
+    first, last = f"cast(floor(slot / {stretch}) as int)", f"cast(floor((slot + {lags}) / {stretch}) as int)"
+    return rows.selectExpr("*", f"explode(sequence({first}, {last})) as tramo")
 
 
 def station_grid(
@@ -208,53 +216,35 @@ def station_grid(
         raise ValueError("a stretch must be longer than the lags")
     stations = first_seen_stations(trips) if stations is None else stations
     skeleton = _skeleton_slots(stations, slot_span(trips, minutes), lags, stretch)
-
     if users is not None:
         trips = add_users(trips, users.select("id_usuario", "edad_usuario"))
-    traffic = slot_traffic(trips, minutes)
-    own = F.struct(F.col("slot"), F.lit(None).cast("bigint").alias("previos"), F.lit(False).alias("paso"))
-    later = F.struct((F.col("slot") + 1).alias("slot"), F.col("viajes").alias("previos"), F.lit(True).alias("paso"))
-    # An arrival also counts, as a previous arrival, one slot later.
-    placed = traffic.withColumn("_at", F.explode(F.when(F.col("llegada"), F.array(own, later)).otherwise(F.array(own))))
-    shifted = F.col("_at.paso")
-    placed = placed.select(
-        "id_estacion",
-        F.col("_at.slot").alias("slot"),
-        F.col("_at.previos").alias("previos"),
-        F.when(~shifted, F.col("llegada")).alias("llegada"),
-        F.when(~shifted, F.col("viajes")).alias("viajes"),
-        "modelo",
-        *SUMS,
-    )
-    home, next_home = F.floor(F.col("slot") / stretch).cast("int"), F.floor((F.col("slot") + lags) / stretch).cast("int")
-    placed = placed.withColumn("tramo", F.explode(F.sequence(home, next_home)))
+    placed = _placed(slot_traffic(trips, minutes), lags, stretch)
 
-    w = Window.partitionBy("id_estacion", "tramo").orderBy("slot")
+    totals = {"estacion": "max(estacion)", "previos": "sum(previos)", **CELL_TOTALS}
     cells = (
         skeleton.unionByName(placed, allowMissingColumns=True)
         .repartition("id_estacion", "tramo")
         .groupBy("id_estacion", "tramo", "slot")
-        .agg(F.max("estacion").alias("estacion"), F.sum("previos").alias("previos"), *_cell_totals())
+        .agg(*[F.expr(e).alias(n) for n, e in totals.items()])
         .filter("estacion is not null")
-        .select(
+        .selectExpr(
             "id_estacion",
-            "estacion.*",
             "tramo",
             "slot",
-            *[c.alias(n) for n, c in _rider_columns().items()],
-            F.coalesce("arribos", F.lit(0).cast("bigint")).alias("arribos_count"),
-            F.coalesce("previos", F.lit(0).cast("bigint")).alias("arribos_prev_count"),
+            "estacion.*",
+            *_named(CELL_COLUMNS),
+            "coalesce(arribos, 0L) as arribos_count",
+            "coalesce(previos, 0L) as arribos_prev_count",
         )
     )
-    if lags:
-        lagged = [
-            F.lag(c, k, 0.0 if c.endswith(("_mean", "_std", "_mujeres")) else 0).over(w).alias(f"{c}_prev_{k}")
-            for k in range(1, lags + 1)
-            for c in LAGGED
-        ]
-        cells = cells.select("*", *lagged)
-    rows = cells.filter(F.floor(F.col("slot") / stretch) == F.col("tramo")).drop("tramo")
-    full = with_calendar(rows.withColumn("timestamp", slot_start(F.col("slot"), minutes)))
+    over = "over (partition by id_estacion, tramo order by slot)"
+    lagged = [
+        f"lag({c}, {k}, {'0L' if c.endswith('_count') else '0D'}) {over} as {c}_prev_{k}"
+        for k in range(1, lags + 1)
+        for c in LAGGED
+    ]
+    rows = cells.selectExpr("*", *lagged).filter(f"floor(slot / {stretch}) = tramo")
+    full = with_calendar(rows.withColumn("timestamp", slot_start("slot", minutes)))
     return full.select(
         "timestamp",
         *STATION_COLUMNS,

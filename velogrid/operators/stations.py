@@ -23,15 +23,14 @@ def first_seen_stations(trips: DataFrame) -> DataFrame:
     """
     trips = with_missing(trips, TRIP_SCHEMA.fields)
 
-    def side(number: int, suffix: str) -> Column:
-        return F.struct(
-            F.lit(number).alias("lado"),
-            *[F.col(f"{c}_{suffix}").alias(c) for c in STATION_COLUMNS],
-            F.col("fecha_origen_recorrido").alias("visto"),
-        )
-
+    ends = ", ".join(
+        f"named_struct('lado', {number}, "
+        + ", ".join(f"'{c}', {c}_{side}" for c in STATION_COLUMNS)
+        + ", 'visto', fecha_origen_recorrido)"
+        for number, side in enumerate(("origen", "destino"))
+    )
     variants = (
-        trips.select(F.inline(F.array(side(0, "origen"), side(1, "destino"))))
+        trips.selectExpr(f"inline(array({ends}))")
         .filter("id_estacion is not null")
         .groupBy("lado", *STATION_COLUMNS)
         .agg(F.min("visto").alias("visto"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from velogrid.functions.slots import floor_window
 from velogrid.operators import cleaning as C
 from velogrid.operators import comparison as K
 from velogrid.operators import demand_score as S
@@ -40,19 +41,19 @@ INSTANTS = [f"2024-01-09 {h:02d}:00:00" for h in range(12, 19)]
 
 def tidy(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Comparable columns: whole numbers as bigint, floating ones rounded, dates as text."""
-    out = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+
+    def as_text(f: T.StructField) -> str:
         if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
-            c = F.round(c.cast("double"), digits)
-        elif isinstance(f.dataType, T.IntegralType):
-            c = c.cast("bigint")
-        elif isinstance(f.dataType, T.DateType):
-            c = c.cast("string")
-        elif isinstance(f.dataType, T.TimestampType):
-            c = c.cast("timestamp_ntz")
-        out.append(c.alias(f.name))
-    return df.select(*out)
+            return f"round(cast(`{f.name}` as double), {digits}) as `{f.name}`"
+        if isinstance(f.dataType, T.IntegralType):
+            return f"cast(`{f.name}` as bigint) as `{f.name}`"
+        if isinstance(f.dataType, T.DateType):
+            return f"cast(`{f.name}` as string) as `{f.name}`"
+        if isinstance(f.dataType, T.TimestampType):
+            return f"cast(`{f.name}` as timestamp_ntz) as `{f.name}`"
+        return f"`{f.name}`"
+
+    return df.selectExpr(*[as_text(f) for f in df.schema.fields])
 
 
 def query(name: str, sql: str | None = None, digits: int = DIGITS):
@@ -189,7 +190,7 @@ def previous_arrivals_per_slot(spark, folder):
 @query("grid_range", parts.sql(["span"], "select desde, hasta from span"))
 def grid_range(spark, folder):
     span = G.slot_span(valid(spark, folder))
-    return span.select(*[G.slot_start(F.col(f"rango.{c}")).alias(c) for c in ("desde", "hasta")])
+    return span.select(*[G.slot_start(f"rango.{c}").alias(c) for c in ("desde", "hasta")])
 
 
 @query(
@@ -210,11 +211,11 @@ def first_seen_stations(spark, folder):
     ),
 )
 def trip_windows(spark, folder):
-    o, d = F.col("fecha_origen_recorrido"), F.col("fecha_destino_recorrido")
+    o = "fecha_origen_recorrido"
     return trips(spark, folder).select(
         "id_recorrido",
-        G.slot_start(G.slot_of(o, 30), 30).alias("origen_30"),
-        G.slot_start(G.slot_of(d, 15), 15).alias("destino_15"),
+        floor_window(o).alias("origen_30"),
+        floor_window("fecha_destino_recorrido", 15).alias("destino_15"),
         F.weekday(o).alias("dia_semana"),
         F.weekofyear(o).alias("semana"),
     )
@@ -569,7 +570,7 @@ SLOT_TIMES = """(select distinct time_bucket(interval '30 minutes', fecha_origen
 def demand_score(spark, folder):
     """The estimate for every station at every half hour in which it was used."""
     ts = trips(spark, folder)
-    used = ts.select(F.col("id_estacion_origen").alias("id"), G.slot_start(G.slot_of(F.col("fecha_origen_recorrido"))).alias("timestamp")).distinct()
+    used = ts.select(F.col("id_estacion_origen").alias("id"), floor_window("fecha_origen_recorrido").alias("timestamp")).distinct()
     scored = S.demand_score(used.join(stock(spark, folder), "id"))
     return scored.select("id", "timestamp", "predicted", "confidence", F.array_join("factors", "; ").alias("factors"))
 
@@ -1359,8 +1360,7 @@ LIVE_SQL = """(select inicio, inicio + interval '30 minutes' as fin, id_estacion
 
 def trip_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The trip view over the event file, read as a stream."""
-    schema = spark.read.parquet(f"{folder}/events.parquet").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    stream = spark.readStream.schema(views.SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(folder)
     return views.trips_of(stream)
 
 
