@@ -95,6 +95,12 @@ def test_a_user_join_without_broadcast_gives_the_same(spark, make_trips):
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         assert sorted(map(str, add_users(trips, users, salt=3).collect())) == small
+        plain = add_users(trips, users)
+        assert sorted(map(str, plain.collect())) == small
+        # the spread of trips without a user is part of the shuffle key
+        plan = plain._jdf.queryExecution().executedPlan().toString()
+        keys = [line for line in plan.splitlines() if "hashpartitioning(id_usuario#" in line]
+        assert keys and all("_part#" in line.split("hashpartitioning")[1].split(")")[0] for line in keys)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 

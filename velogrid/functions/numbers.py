@@ -18,8 +18,9 @@ def decimal_comma(text: Column) -> Column:
 
 
 def id_number(text: Column) -> Column:
-    """Ids arrive as text, whole or as floats such as ``'12.0'``."""
-    return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+    """Ids arrive as text: whole, as floats such as ``'12.0'`` or with an exponent. Decimals keep
+    long ids exact, and no valid id fails a cast on the way, which would be slow."""
+    return text.try_cast("decimal(20,0)").try_cast("bigint")
 
 
 def strip_tag(text: Column) -> Column:

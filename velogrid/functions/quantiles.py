@@ -2,57 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS = 128
+BUCKETS = 128  # a power of two: buckets are found by halving
 
 
 def exact_percentiles(df: DataFrame, column: str, points: dict[str, float]) -> DataFrame:
     """One row with a linearly interpolated percentile per name in ``points``.
 
-    Equal values are counted first. The distinct values are then cut into value ranges of about
-    the same size, ranked inside their range, and lifted by the totals of the ranges before.
-    Only the table of ranges (at most ``BUCKETS + 1`` rows) is ordered as a whole.
+    Equal values are counted first. The distinct values are cut into ``BUCKETS`` ranges of about
+    the same size, whose totals tell which ranges hold the wanted ranks. Only values in those are
+    ranked, each range for itself. The table of ranges is the only thing ordered as a whole.
     """
     values = (
         df.select(F.col(column).cast("double").alias("x")).filter("x is not null").groupBy("x").agg(F.count("*").alias("n"))
     )
-    cuts = [i / BUCKETS for i in range(1, BUCKETS)]
-    bounds = values.agg(F.percentile_approx("x", cuts, 10_000))
-    ranged = (
-        values.withColumn("_bounds", F.array_distinct(bounds.scalar()))
-        .withColumn("bucket", F.expr("size(filter(_bounds, b -> b <= x))"))
-        .drop("_bounds")
-    )
+    cuts = ", ".join(str(i / BUCKETS) for i in range(1, BUCKETS))
+    # The counts are part of every use of ``values``, so that all of them share one shuffle.
+    whole = values.agg(F.expr(f"named_struct('bounds', percentile_approx(x, array({cuts}), 10000), 'rows', sum(n))"))
+    ranged = values.withColumn("whole", whole.scalar()).withColumn("bucket", F.lit(0))
+    step = BUCKETS // 2
+    while step:
+        ranged = ranged.selectExpr("x", "n", "whole", f"bucket + if(get(whole.bounds, bucket + {step - 1}) <= x, {step}, 0) as bucket")
+        step //= 2
+    ranged = ranged.selectExpr("x", "n", "bucket", "whole.rows as rows")
+
     totals = ranged.groupBy("bucket").agg(F.sum("n").alias("size"))
-    before = totals.select(
-        "bucket",
-        (F.sum("size").over(Window.orderBy("bucket")) - F.col("size")).alias("before"),
-        F.sum("size").over(Window.partitionBy()).alias("rows"),
-    )
-    inside = F.sum("n").over(Window.partitionBy("bucket").orderBy("x"))
+    before = totals.selectExpr("bucket", "size", "sum(size) over (order by bucket) - size as before")
+    ranks = [f"{side}((rows - 1) * {float(p)}D)" for p in points.values() for side in ("floor", "ceil")]
+    holds = " or ".join(f"({r} >= before and {r} < before + size)" for r in ranks)
     ranked = (
-        ranged.withColumn("inside", inside)
-        .join(F.broadcast(before), "bucket")  # at most BUCKETS + 1 rows
-        .select("x", "rows", (F.col("before") + F.col("inside")).alias("stop"), (F.col("before") + F.col("inside") - F.col("n")).alias("start"))
+        # At most BUCKETS rows. An inner join would test the bucket of every input row for null.
+        ranged.join(F.broadcast(before), "bucket", "left")
+        .filter(holds)
+        .withColumn("stop", F.expr("before + sum(n) over (partition by bucket order by x)"))
+        .selectExpr("x", "rows", "stop", "stop - n as start")
     )
 
-    def value_at(rank):
-        return F.max(F.when((F.col("start") <= rank) & (rank < F.col("stop")), F.col("x")))
+    def value_at(rank: str) -> str:
+        return f"max(case when start <= {rank} and {rank} < stop then x end)"
 
-    parts = []
+    found = []
     for name, p in points.items():
-        place = (F.col("rows") - 1) * F.lit(float(p))
-        parts += [
-            value_at(F.floor(place)).alias(f"{name}_low"),
-            value_at(F.ceil(place)).alias(f"{name}_high"),
-            F.max(place - F.floor(place)).alias(f"{name}_part"),
-        ]
-    found = ranked.agg(*parts)
-    return found.select(
-        *[
-            (F.col(f"{n}_low") + (F.col(f"{n}_high") - F.col(f"{n}_low")) * F.col(f"{n}_part")).alias(n)
-            for n in points
-        ]
-    )
+        place = f"((rows - 1) * {float(p)}D)"
+        low, high = value_at(f"floor{place}"), value_at(f"ceil{place}")
+        found.append(F.expr(f"{low} + ({high} - {low}) * max({place} - floor{place})").alias(name))
+    return ranked.agg(*found)

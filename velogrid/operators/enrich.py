@@ -33,8 +33,9 @@ def add_users(trips: DataFrame, users: DataFrame | None, dedupe: bool = False, s
         wanted = one_row_per_user(wanted)
     place = F.pmod(F.xxhash64("id_recorrido", "fecha_origen_recorrido"), F.lit(SPREAD)).cast("int")
     left = trips.withColumn(
-        "_part", F.when(F.col("id_usuario").isNull(), place).otherwise(F.pmod(place, F.lit(salt)).cast("int"))
+        "_part", F.when(F.col("id_usuario").isNull(), place).otherwise(F.pmod(place, F.lit(salt)).cast("int")).cast("bigint")
     )
-    copies = F.lit(0) if salt == 1 else F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))
+    # Not the literal 0, which would be folded out of the join key.
+    copies = F.pmod("id_usuario", F.lit(1)) if salt == 1 else F.explode(F.expr(f"sequence(0L, {salt - 1}L)"))
     right = wanted.filter("id_usuario is not null").withColumn("_part", copies)
     return left.join(right, ["id_usuario", "_part"], "left").drop("_part")

@@ -235,14 +235,21 @@ CLEAN_NAMES = [
 ]
 
 
+def raw_csv(spark: SparkSession, folder: str, packed: bool) -> str:
+    """The raw text trips as CSV files."""
+    path = work_path(spark, "raw")
+    views.raw_trips_view(spark, folder, packed).write.option("header", True).option("escape", '"').csv(path)
+    return path
+
+
 @query("clean_trips_packed_coordinates", parts.sql(["packed"], f"select {CLEAN_COLUMNS} from packed"))
 def clean_trips_packed_coordinates(spark, folder):
-    return C.clean_trips(views.raw_trips_view(spark, folder, packed=True)).select(*CLEAN_NAMES)
+    return files.read_trips(spark, raw_csv(spark, folder, True)).select(*CLEAN_NAMES)
 
 
 @query("clean_trips_decimal_comma", parts.sql(["comma"], f"select {CLEAN_COLUMNS} from comma"))
 def clean_trips_decimal_comma(spark, folder):
-    return C.clean_trips(views.raw_trips_view(spark, folder, packed=False)).select(*CLEAN_NAMES)
+    return files.read_trips(spark, raw_csv(spark, folder, False)).select(*CLEAN_NAMES)
 
 
 @query(
