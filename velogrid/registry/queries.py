@@ -24,7 +24,7 @@ from velogrid.operators.columns import feature_columns, prepare_features
 from velogrid.operators.enrich import add_users
 from velogrid.plans import flows
 from velogrid.registry import parts
-from velogrid.schemas import BASE_FEATURES, TARGET, TRIP_SCHEMA, lag_columns
+from velogrid.schemas import BASE_FEATURES, TARGET, lag_columns
 from velogrid.session import staged, work_path
 from velogrid.sources import files, sinks, views
 from velogrid.streaming import live
