@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+#: The folder of each session on one machine that names none.
+_own: dict[str, str] = {}
+
 
 def local_session(cpus: int = 8, app: str = "velogrid", **conf: str) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
@@ -24,11 +27,16 @@ def local_session(cpus: int = 8, app: str = "velogrid", **conf: str) -> SparkSes
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the cluster's checkpoint folder; a temp folder only where none is set."""
+    """A fresh path under the cluster's shared folder (``spark.checkpoint.dir``).
+
+    Without that setting a cluster has no folder that all executors see, so this raises; a session
+    on one machine gets a folder of its own under the temporary folder. No setting is changed.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="velogrid-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = _own.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="velogrid-"))
     return f"{base.rstrip('/')}/velogrid/{name}-{uuid.uuid4().hex}"
 
 
