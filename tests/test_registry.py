@@ -5,8 +5,9 @@ import pytest
 import __spark_entry__ as entry
 from tests.conftest import FOLDER
 from tools.check import connect, differences
+from velogrid.registry import queries as registry
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = registry.queries(), registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
