@@ -4,22 +4,82 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from velogrid.llm import ngram_join
+from velogrid.llm import decontaminate, language_id, ngram_join, token_counts, toxicity, warc
+from velogrid.llm.samples import remainder
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _held_out(divisor: int, value: int):
+    """True also for a null id, so that such a row is never learned from."""
+    return F.coalesce(remainder(divisor) == value, F.lit(True)).alias("held_out")
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), budget=512)
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(_read(spark, sf_dir, "documents"), k=4, num=85, den=100)
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.benchmark_matches(docs, _read(spark, sf_dir, "benchmark"))
+    items = F.transform("matches", lambda m: m.item_id)
+    best = F.coalesce(F.array_max(F.transform("matches", lambda m: m.containment)), F.lit(0.0))
+    return found.select("doc_id", (F.size("matches") > 0).alias("contaminated"), items.alias("item_ids"), best.alias("containment"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = warc.write_pages(_read(spark, sf_dir, "pages"))
+    records = warc.page_ids(warc.read_warc(written))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "digest_ok")
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = _held_out(5, 0)
+    model = language_id.train(docs.where(~held))
+    out = language_id.identify(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", held, "lang_pred", F.col("lang_score").alias("score"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    held = _held_out(4, 2)
+    labels = _read(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.train(labelled(docs, labels.where(~held)))
+    out = toxicity.toxicity(docs, model)
+    predicted = (F.col("toxic_score") >= 0.3).cast("int")
+    return out.select("doc_id", held, F.col("toxic_score").alias("score"), predicted.alias("predicted"), F.size("offending").alias("n_offending"))
+
+
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Documents with their labels; a document without labels is left out."""
+    return docs.join(labels, "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_ngram_join,)}
+    return {f.__name__: f for f in (op1_token_counts, op2_ngram_join, op3_decontaminate, op4_warc, op6_language_id, op9_toxicity)}
+
+
+_WARC = """
+with p as (select page_id, encode(coalesce(html, '')) as body from pages),
+d as (select page_id, octet_length(body) as n, sha1(body) as digest from p),
+k as (select *, max(page_id) over (partition by digest, n) as kept from d)
+select page_id, n as payload_bytes, digest as payload_digest,
+  case when n >= 1000 and page_id <> kept then 'revisit' else 'response' end as record_type,
+  case when n >= 1000 and page_id <> kept then kept end as refers_to, true as digest_ok
+from k
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_warc": _WARC}
