@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velogrid.llm import decontaminate, language_id, ngram_join, token_counts, toxicity, warc
+from velogrid.llm import decontaminate, language_id, ngram_join, pieces, quality_rules, token_counts, toxicity, warc
 from velogrid.llm.samples import remainder
 
 
@@ -43,6 +43,13 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "digest_ok")
 
 
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pieces.sample_encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    n = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size("pieces"))
+    return out.select("doc_id", n.cast("long").alias("n_pieces"), F.xxhash64("pieces").alias("pieces_hash"), "lossless")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held = _held_out(5, 0)
@@ -51,6 +58,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held, "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     held = _held_out(4, 2)
@@ -67,7 +78,7 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_ngram_join, op3_decontaminate, op4_warc, op6_language_id, op9_toxicity)}
+    return {f.__name__: f for f in (op1_token_counts, op2_ngram_join, op3_decontaminate, op4_warc, op5_pieces, op6_language_id, op8_quality_rules, op9_toxicity)}
 
 
 _WARC = """
