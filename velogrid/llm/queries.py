@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velogrid.llm import decontaminate, language_id, ngram_join, pieces, quality_rules, token_counts, toxicity, warc
+from velogrid.llm import context_mixing, decontaminate, language_id, ngram_join, pieces, quality_rules, token_counts, toxicity, warc
 from velogrid.llm.samples import remainder
 
 
@@ -72,13 +72,17 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held, F.col("toxic_score").alias("score"), predicted.alias("predicted"), F.size("offending").alias("n_offending"))
 
 
+def op10_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.mixed_scores(_read(spark, sf_dir, "documents"))
+
+
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents with their labels; a document without labels is left out."""
     return docs.join(labels, "doc_id")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_ngram_join, op3_decontaminate, op4_warc, op5_pieces, op6_language_id, op8_quality_rules, op9_toxicity)}
+    return {f.__name__: f for f in (op1_token_counts, op2_ngram_join, op3_decontaminate, op4_warc, op5_pieces, op6_language_id, op8_quality_rules, op9_toxicity, op10_context_mixing)}
 
 
 _WARC = """
