@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velogrid.llm.samples import per_label
+from velogrid.llm.samples import per_label, sample_texts
 
 #: n-grams are numbered by a hash of this many bits.
 BITS = 15
@@ -113,9 +113,8 @@ def train(rows: DataFrame, most: int = 1000, landmarks: int = 48) -> Model:
     Rows with a null text, language or id, or without a letter, teach nothing. The number of languages
     is that of the labels; the sample of ``most`` texts each is fetched once to the driver.
     """
-    rows = rows.select("doc_id", "text", "lang").where("text is not null")
-    sample = per_label(rows, "lang", most).select(F.xxhash64("doc_id").alias("h"), "text", "lang").toLocalIterator()
-    return fit([(r.text, r.lang) for r in sorted(sample, key=lambda r: r.h)], landmarks)
+    sample = per_label(rows.where("text is not null"), "lang", most)
+    return fit([(r.text, r.lang) for r in sample_texts(rows, sample, "lang")], landmarks)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

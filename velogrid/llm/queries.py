@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velogrid.llm import context_mixing, decontaminate, language_id, ngram_join, pieces, quality_rules, token_counts, toxicity, warc
+import corpus_pipeline
+from velogrid.llm import context_mixing, decontaminate, language_id, license_scan, ngram_join, pieces, quality_rules, token_counts, toxicity, warc
 from velogrid.llm.samples import remainder
 
 
@@ -58,6 +59,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held, "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(_read(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -66,7 +71,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     held = _held_out(4, 2)
     labels = _read(spark, sf_dir, "labels").select("doc_id", "toxic")
-    model = toxicity.train(labelled(docs, labels.where(~held)))
+    model = toxicity.train(docs, labels.where(~held))
     out = toxicity.toxicity(docs, model)
     predicted = (F.col("toxic_score") >= 0.3).cast("int")
     return out.select("doc_id", held, F.col("toxic_score").alias("score"), predicted.alias("predicted"), F.size("offending").alias("n_offending"))
@@ -76,13 +81,12 @@ def op10_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_mixing.mixed_scores(_read(spark, sf_dir, "documents"))
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents with their labels; a document without labels is left out."""
-    return docs.join(labels, "doc_id")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_ngram_join, op3_decontaminate, op4_warc, op5_pieces, op6_language_id, op8_quality_rules, op9_toxicity, op10_context_mixing)}
+    return {f.__name__: f for f in (op1_token_counts, op2_ngram_join, op3_decontaminate, op4_warc, op5_pieces, op6_language_id, op7_license_scan, op8_quality_rules, op9_toxicity, op10_context_mixing, pipeline)}
 
 
 _WARC = """

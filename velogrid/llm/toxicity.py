@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velogrid.llm.samples import per_label
+from velogrid.llm.samples import per_label, sample_texts
 from velogrid.llm.words import text_bytes
 
 _ENDS = re.compile(rb"[.!?\n]+")
@@ -127,13 +127,14 @@ def fit(sample: list[tuple[bytes, int, float]], rounds: int = 120, sparse: float
     return Model(float(bias), {n: float(v) for n, v in zip(names, w, strict=True) if v})
 
 
-def train(rows: DataFrame, most: int = 1500) -> Model:
-    """Fit on up to ``most`` rows of each label of ``rows`` (doc_id, text, toxic), a sample by hash of doc_id.
+def train(docs: DataFrame, labels: DataFrame, most: int = 1500) -> Model:
+    """Fit on up to ``most`` documents of each label of ``labels`` (doc_id, toxic), a sample by hash of doc_id.
 
-    Rows weigh as many rows as they stand for, so probabilities follow the labels' shares. Null texts, labels and ids teach nothing.
+    Only the sample's texts are taken from ``docs`` (doc_id, text). Rows weigh as many rows as they stand for, so
+    probabilities follow the labels' shares. Null texts, labels and ids teach nothing, nor do labels but 0 and 1.
     """
-    rows = rows.select("doc_id", F.col("text").cast("binary").alias("text"), F.col("toxic").cast("int").alias("toxic")).where("text is not null and toxic in (0, 1)")
-    sample = sorted(per_label(rows, "toxic", most).select(F.xxhash64("doc_id").alias("h"), "text", "toxic", "label_rows").toLocalIterator(), key=lambda r: r.h)
+    labels = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)")
+    sample = sample_texts(docs.select("doc_id", F.col("text").cast("binary").alias("text")), per_label(labels, "toxic", most), "toxic")
     got = Counter(r.toxic for r in sample)
     return fit([(bytes(r.text), r.toxic, r.label_rows / got[r.toxic]) for r in sample])
 
