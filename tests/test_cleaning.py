@@ -148,3 +148,33 @@ def test_read_years_and_users(spark, tmp_path):
     (tmp_path / "u.csv").write_text("ID_usuario,genero.usuario,Edad usuario,Customer.Has.Dni..Yes...No.,fecha_alta\n5,F,30,Yes,2020-01-02\n")
     users = files.read_users(spark, {str(tmp_path / "u.csv"): True})
     assert users.columns == ["id_usuario", "genero_usuario", "edadusuario", "fecha_alta"]
+
+
+def _csv_folder(tmp_path, **files):
+    for name, text in files.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    return str(tmp_path)
+
+
+HEAD = "id_estacion_origen,duracion_recorrido,genero,lat_estacion_origen,long_estacion_origen"
+
+
+def test_files_with_other_header_orders_lose_no_rows(spark, tmp_path):
+    folder = _csv_folder(
+        tmp_path, a=f"{HEAD}\n7,600,MALE,-34.5,-58.4\n", b="duracion_recorrido,genero,id_estacion_origen\n700,FEMALE,8\n"
+    )
+    for path in (folder, [f"{folder}/a.csv", f"{folder}/b.csv"]):
+        rows = {(r.id_estacion_origen, r.duracion_recorrido, r.genero, r.lat_estacion_origen) for r in files.read_trips(spark, path).collect()}
+        assert rows == {(7, 600, "MALE", -34.5), (8, 700, "FEMALE", None)}
+
+
+def test_packed_coordinates_are_found_per_file(spark, tmp_path):
+    folder = _csv_folder(tmp_path, a=f'{HEAD}\n7,600,MALE,"-34.5,-58.25",\n', b=f"{HEAD}\n8,600,MALE,-34.75,-58.5\n")
+    rows = {(r.id_estacion_origen, r.lat_estacion_origen, r.long_estacion_origen) for r in files.read_trips(spark, folder).collect()}
+    assert rows == {(7, -34.5, -58.25), (8, -34.75, -58.5)}
+
+
+def test_missing_markers_and_ids_with_a_fraction(spark, tmp_path):
+    folder = _csv_folder(tmp_path, a=f"{HEAD}\n7.0,600,NA,NaN,null\n2.7,600,MALE,-34.5,-58.5\n")
+    (row,) = files.read_trips(spark, folder).collect()
+    assert (row.id_estacion_origen, row.genero, row.lat_estacion_origen, row.long_estacion_origen) == (7, None, None, None)

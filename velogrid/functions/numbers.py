@@ -14,13 +14,16 @@ def thousands_int(text: Column) -> Column:
 
 
 def decimal_comma(text: Column) -> Column:
-    return F.replace(text, F.lit(","), F.lit(".")).try_cast("float")
+    """Decimal point or comma; what is no number, ``NaN`` among it, is null."""
+    number = F.replace(text, F.lit(","), F.lit(".")).try_cast("float")
+    return F.when(~F.isnan(number), number)
 
 
 def id_number(text: Column) -> Column:
     """Ids arrive as text: whole, as floats such as ``'12.0'`` or with an exponent. Decimals keep
-    long ids exact, and no valid id fails a cast on the way, which would be slow."""
-    return text.try_cast("decimal(20,0)").try_cast("bigint")
+    long ids exact, and no valid id fails a cast on the way, which would be slow. An id with a fraction is none."""
+    exact = text.try_cast("decimal(38,6)")
+    return F.when(exact == F.floor(exact), exact).try_cast("bigint")
 
 
 def strip_tag(text: Column) -> Column:

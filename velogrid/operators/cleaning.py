@@ -25,19 +25,24 @@ COORDINATES = [
 ]
 
 
+#: Which file a row comes from, if the reader says so.
+FILE = "_file"
+
+
 def unpack_coordinates(df: DataFrame) -> DataFrame:
-    """Split ``"lat,long"`` texts, for all rows of a column in which any row has a comma.
+    """Split ``"lat,long"`` texts, for all rows of a file's column in which any row has a comma.
 
     A row without a comma in such a column loses its longitude. The flags come from one narrow
-    scan of the latitude columns, attached as a scalar subquery.
+    scan of the latitude columns: a row per file, or one for all rows where no ``FILE`` is given.
     """
     pairs = [(lat, lng) for lat, lng in COORDINATES if lat in df.columns]
     if not pairs:
         return df
-    flags = df.agg(
-        F.struct(*[F.coalesce(F.max(F.col(lat).contains(",")), F.lit(False)).alias(lat) for lat, _ in pairs]).alias("f")
-    )
-    out = df.withColumn("_packed", flags.scalar())
+    flag = F.struct(*[F.coalesce(F.max(F.col(lat).contains(",")), F.lit(False)).alias(lat) for lat, _ in pairs]).alias("_packed")
+    if FILE in df.columns:
+        out = df.join(df.groupBy(FILE).agg(flag), FILE, "left")
+    else:
+        out = df.withColumn("_packed", df.agg(flag).scalar())
     new: dict[str, Column] = {}
     for lat, lng in pairs:
         packed = F.col(f"_packed.{lat}")

@@ -9,18 +9,51 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from velogrid.operators.cleaning import clean_trips
+from velogrid.operators.cleaning import FILE, clean_trips
 from velogrid.operators.columns import fold_headers, user_header
 from velogrid.schemas import BASE_FEATURES, CATALOG_SCHEMA, DNI_COLUMN, TARGET
 
 
-def read_text_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """A CSV with headers, every column as text: headers drift, so types are set by the cleaner."""
-    return spark.read.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+# Texts that stand for a missing value in CSV files.
+MISSING = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+#: What Spark itself reads as missing.
+NOT_GIVEN = [""]
+
+
+def _csv(spark: SparkSession):
+    return spark.read.option("header", True).option("quote", '"').option("escape", '"')
+
+
+def data_files(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """The files below files and folders; names only, as many as there are files."""
+    found = spark.read.format("binaryFile").load([path] if isinstance(path, str) else list(path)).select("path")
+    return sorted(r[0] for r in found.collect())
+
+
+def read_text_csv(spark: SparkSession, path: str | list[str], with_file: bool = False, missing: list[str] = NOT_GIVEN) -> DataFrame:
+    """CSVs with headers, every column as text: headers drift, so types are set by the cleaner.
+
+    Files are read in groups of the same header, so that columns in another order or only in some files are
+    met by name. Texts in ``missing`` become null.
+    ``with_file`` adds the column ``FILE`` with each row's file. Without any file this raises.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in data_files(spark, path):
+        groups.setdefault(tuple(_csv(spark).csv(file).columns), []).append(file)
+    if not groups:
+        raise FileNotFoundError(f"no CSV files in {path}")
+    parts = []
+    for names, some in groups.items():
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        rows = _csv(spark).schema(schema).csv(some)
+        numbered = rows.select("*", F.col("_metadata.file_path").alias("_path")).toDF(*[f"_{i}" for i in range(len(names) + 1)])
+        present = [F.when(~F.col(f"_{i}").isin(missing), F.col(f"_{i}")).alias(n) for i, n in enumerate(names)]
+        parts.append(numbered.select(*present, *[F.col(f"_{len(names)}").alias(FILE)] * with_file))
+    return union_all(parts)
 
 
 def read_trips(spark: SparkSession, path: str | list[str], drop=(), rename: dict[str, str] | None = None) -> DataFrame:
-    return clean_trips(read_text_csv(spark, path), drop, rename)
+    return clean_trips(read_text_csv(spark, path, with_file=True, missing=MISSING), drop, rename)
 
 
 @dataclass(frozen=True)
