@@ -8,44 +8,61 @@ from pyspark.sql import functions as F
 BUCKETS = 128  # a power of two: buckets are found by halving
 
 
-def exact_percentiles(df: DataFrame, column: str, points: dict[str, float]) -> DataFrame:
-    """One row with a linearly interpolated percentile per name in ``points``.
+def exact_percentiles_of(df: DataFrame, columns: list[str], points: dict[str, float]) -> DataFrame:
+    """One row with a struct per column: a linearly interpolated percentile per name in ``points``.
 
-    Equal values are counted first. The distinct values are cut into ``BUCKETS`` ranges of about
-    the same size, whose totals tell which ranges hold the wanted ranks. Only values in those are
-    ranked, each range for itself. The table of ranges is the only thing ordered as a whole.
+    One pass counts the equal values of all columns. The distinct values of a column are cut into
+    ``BUCKETS`` ranges of about the same size, whose totals tell which ranges hold the wanted ranks. Those
+    ranges are cut once more in the same way, and only the parts that hold the ranks are ranked, each
+    for itself, so a task ranks about one value in ``BUCKETS`` squared. The tables of ranges
+    are the only thing ordered as a whole.
     """
-    values = (
-        df.select(F.col(column).cast("double").alias("x")).filter("x is not null").groupBy("x").agg(F.count("*").alias("n"))
-    )
+    named = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("x")) for c in columns])
+    values = df.select(F.inline(named)).filter("x is not null").groupBy("c", "x").agg(F.count("*").alias("n"))
+    sizes = values.groupBy("c").agg(F.sum("n").alias("rows"))
+    # At most a row per column.
+    values = values.join(F.broadcast(sizes), "c").selectExpr("c", "x", "n", "rows", "0 as part", "0L as before", "0 as bucket")
+    ranks = [f"{side}((rows - 1) * {float(p)}D)" for p in points.values() for side in ("floor", "ceil")]
+    holds = " or ".join(f"({r} >= before and {r} < before + size)" for r in ranks)
+    for _ in range(2):
+        values = _narrow(values, holds)
+    ranked = values.withColumn("stop", F.expr("before + sum(n) over (partition by c, part, bucket order by x)"))
+    ranked = ranked.selectExpr("c", "x", "rows", "stop", "stop - n as start")
+
+    def value_at(column: str, rank: str) -> str:
+        return f"max(case when c = '{column}' and start <= {rank} and {rank} < stop then x end)"
+
+    out = []
+    for c in columns:
+        found = []
+        for name, p in points.items():
+            place = f"((rows - 1) * {float(p)}D)"
+            low, high = value_at(c, f"floor{place}"), value_at(c, f"ceil{place}")
+            over = f"max(case when c = '{c}' then {place} - floor{place} end)"
+            found.append(F.expr(f"{low} + ({high} - {low}) * {over}").alias(name))
+        out.append(F.struct(*found).alias(c))
+    return ranked.agg(*out)
+
+
+def _narrow(values: DataFrame, holds: str) -> DataFrame:
+    """Only the values in the ranges that hold a wanted rank. ``before`` counts the rows below a value's range."""
     cuts = ", ".join(str(i / BUCKETS) for i in range(1, BUCKETS))
-    # The counts are part of every use of ``values``, so that all of them share one shuffle.
-    whole = values.agg(F.expr(f"named_struct('bounds', percentile_approx(x, array({cuts}), 10000), 'rows', sum(n))"))
-    ranged = values.withColumn("whole", whole.scalar()).withColumn("bucket", F.lit(0))
+    bounds = values.groupBy("c", "part", "bucket").agg(F.expr(f"percentile_approx(x, array({cuts}), 10000)").alias("bounds"))
+    # A row per range that is still open: at most two per wanted rank and column.
+    ranged = values.join(F.broadcast(bounds), ["c", "part", "bucket"]).selectExpr(
+        "c", "x", "n", "rows", "before", f"part * {BUCKETS} + bucket as part", "bounds", "0 as bucket"
+    )
     step = BUCKETS // 2
     while step:
-        ranged = ranged.selectExpr("x", "n", "whole", f"bucket + if(get(whole.bounds, bucket + {step - 1}) <= x, {step}, 0) as bucket")
+        cut = f"bucket + if(get(bounds, bucket + {step - 1}) <= x, {step}, 0) as bucket"
+        ranged = ranged.selectExpr("c", "x", "n", "rows", "before", "part", "bounds", cut)
         step //= 2
-    ranged = ranged.selectExpr("x", "n", "bucket", "whole.rows as rows")
+    totals = ranged.groupBy("c", "part", "bucket").agg(F.sum("n").alias("size"), F.max("rows").alias("rows"), F.max("before").alias("base"))
+    below = totals.selectExpr("c", "part", "bucket", "rows", "size", "base + sum(size) over (partition by c, part order by bucket) - size as before")
+    kept = below.filter(holds).drop("rows", "size")
+    return ranged.drop("bounds", "before").join(F.broadcast(kept), ["c", "part", "bucket"])  # as many rows
 
-    totals = ranged.groupBy("bucket").agg(F.sum("n").alias("size"))
-    before = totals.selectExpr("bucket", "size", "sum(size) over (order by bucket) - size as before")
-    ranks = [f"{side}((rows - 1) * {float(p)}D)" for p in points.values() for side in ("floor", "ceil")]
-    holds = " or ".join(f"({r} >= before and {r} < before + size)" for r in ranks)
-    ranked = (
-        # At most BUCKETS rows. An inner join would test the bucket of every input row for null.
-        ranged.join(F.broadcast(before), "bucket", "left")
-        .filter(holds)
-        .withColumn("stop", F.expr("before + sum(n) over (partition by bucket order by x)"))
-        .selectExpr("x", "rows", "stop", "stop - n as start")
-    )
-
-    def value_at(rank: str) -> str:
-        return f"max(case when start <= {rank} and {rank} < stop then x end)"
 
-    found = []
-    for name, p in points.items():
-        place = f"((rows - 1) * {float(p)}D)"
-        low, high = value_at(f"floor{place}"), value_at(f"ceil{place}")
-        found.append(F.expr(f"{low} + ({high} - {low}) * max({place} - floor{place})").alias(name))
-    return ranked.agg(*found)
+def exact_percentiles(df: DataFrame, column: str, points: dict[str, float]) -> DataFrame:
+    """One row with a linearly interpolated percentile of ``column`` per name in ``points``."""
+    return exact_percentiles_of(df, [column], points).select(F.col(f"`{column}`.*"))

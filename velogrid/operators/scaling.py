@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velogrid.functions.quantiles import exact_percentiles
+from velogrid.functions.quantiles import exact_percentiles_of
 from velogrid.operators.columns import numeric_columns
 from velogrid.schemas import CALENDAR, TARGET
 
-MIN_INACTIVE = 1000
-
 
 def scaled_columns(df: DataFrame, exclude=()) -> list[str]:
     """All numeric columns but the calendar. The target and the station id belong to them unless
@@ -44,17 +42,17 @@ def standardise(train: DataFrame, val: DataFrame, exclude=()) -> tuple[DataFrame
 
 def activity_thresholds(train: DataFrame, share: float = 0.1) -> DataFrame:
     """The low quantile of departures and of arrivals, as one struct."""
-    parts = [exact_percentiles(train, c, {c: share}) for c in ("despachos_count", TARGET)]
-    return parts[0].withColumn(TARGET, parts[1].scalar()).select(F.struct("despachos_count", TARGET).alias("umbral"))
+    names = ["despachos_count", TARGET]
+    found = exact_percentiles_of(train, names, {"low": share})
+    return found.select(F.struct(*[F.col(f"{c}.low").alias(c) for c in names]).alias("umbral"))
 
 
-def active_intervals(df: DataFrame, train: DataFrame, share: float = 0.1, min_rows: int = MIN_INACTIVE) -> DataFrame:
-    """Rows of ``df`` without those at or below both thresholds of ``train``.
+def active_intervals(df: DataFrame, train: DataFrame, share: float = 0.1) -> DataFrame:
+    """Rows of ``df`` without those at or below both thresholds of ``train``, whatever their number.
 
-    Nothing is dropped unless more than ``min_rows`` train rows are that quiet. The two thresholds
-    and that count are fetched, as fitting would, so the filter on ``df`` holds plain numbers and
-    reaches its scan.
+    The thresholds join the plan as a scalar subquery, so nothing runs while a query is built. A row
+    with a null count is neither quiet nor active and is dropped.
     """
-    low = activity_thresholds(train, share).first()["umbral"]
+    low = F.col("_umbral")
     quiet = (F.col("despachos_count") <= low["despachos_count"]) & (F.col(TARGET) <= low[TARGET])
-    return df.filter(~quiet) if train.filter(quiet).count() > min_rows else df
+    return df.withColumn("_umbral", activity_thresholds(train, share).scalar()).filter(~quiet).drop("_umbral")

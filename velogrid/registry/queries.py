@@ -705,9 +705,7 @@ def activity_thresholds(spark, folder):
     parts.sql(
         ["train", "val"],
         f"""select {SLIM_SQL} from val where not (despachos_count <= (select quantile_cont(despachos_count, 0.1) from train)
-  and arribos_count <= (select quantile_cont(arribos_count, 0.1) from train)
-  and (select count(*) from train where despachos_count <= (select quantile_cont(despachos_count, 0.1) from train)
-    and arribos_count <= (select quantile_cont(arribos_count, 0.1) from train)) > 1000)""",
+  and arribos_count <= (select quantile_cont(arribos_count, 0.1) from train))""",
     ),
 )
 def active_intervals(spark, folder):
