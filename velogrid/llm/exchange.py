@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,7 +47,7 @@ def blocks(batches: Iterator[pa.RecordBatch], size: Callable[[pa.RecordBatch], l
 
 
 def text_sizes(batch: pa.RecordBatch) -> list[int]:
-    return [len(x or b"") for x in batch.column("text").cast(pa.binary()).to_pylist()]
+    return pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
 
 
 def exchange(
@@ -55,7 +56,7 @@ def exchange(
     answer: Callable[[list[bytes]], list[bytes | None]],
     finish: Callable[[bytes, dict[int, bytes]], pa.Table],
     schema: str,
-    block_bytes: int = 8 << 20,
+    block_bytes: int = 3 << 20,
 ) -> DataFrame:
     """``ask`` gives a block's packed rows, ``answer`` a reply for each row of a bucket (in order),
     ``finish`` the block's result from its own row and the replies by bucket."""
@@ -73,6 +74,7 @@ def exchange(
     def reply(key: tuple, table: pa.Table) -> pa.Table:
         if key[0].as_py() < 0:
             return table.select(["block", "bucket", "body"]).cast(ARROW_PARCEL)
+        table = table.sort_by("block")  # the same order in every attempt
         out = answer(table.column("body").to_pylist())
         return pa.table([table.column("block"), table.column("bucket"), pa.array(out, pa.binary())], schema=ARROW_PARCEL)
 
