@@ -226,7 +226,9 @@ def linked_classes(sets: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
     links, labels = None, sets.select(F.col("rep").alias("node"), F.col("rep").alias("component")).limit(0)
     for r in range(ROUNDS + 1):
         now = index.join(labels, F.col("rep") == F.col("node"), "left").select("rep", "n", "at", "token", F.coalesce("component", "rep").alias("component"))
-        groups = now.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min_by(F.struct("rep", "n", "at", "component"), F.xxhash64("rep", F.lit(r))).alias("p"))
+        # A set with few n-grams rarer than the group's is near the middle of its copies; then any set of the group.
+        first = F.struct("at", F.xxhash64("rep", F.lit(r))) if r < ROUNDS - 1 else F.struct(F.lit(0), F.xxhash64("rep", "token"))
+        groups = now.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min_by(F.struct("rep", "n", "at", "component"), first).alias("p"))
         now = now.join(groups.where("low < high"), "token")
         if r < ROUNDS:
             pairs = now.where("component <> p.component").select(
@@ -238,7 +240,10 @@ def linked_classes(sets: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
             pairs = pairs.withColumn("of_a", F.row_number().over(best[0])).withColumn("of_b", F.row_number().over(best[1])).where(F.least("of_a", "of_b") <= PIVOTS)
         else:
             x, y = now.select("token", *[F.col(f).alias(f"{f}_x") for f in ("rep", "n", "at", "component")]), now.select("token", *[F.col(f).alias(f"{f}_y") for f in ("rep", "n", "at", "component")])
-            pairs = x.join(y, "token").where("component_x <> component_y and rep_x < rep_y")
+            # The smaller set of a similar pair has its first shared n-gram within its first n - 2t/(1+t) n.
+            x = x.where(f"({num + den}) * (n_x - at_x) >= {2 * num} * n_x")
+            bound = f"({num + den}) * least(n_x - at_x, n_y - at_y) >= {num} * (n_x + n_y)"
+            pairs = x.join(y, "token").where(f"component_x <> component_y and (n_x < n_y or n_x = n_y and rep_x < rep_y) and {den} * n_x >= {num} * n_y and {bound}")
             pairs = _filtered(pairs.selectExpr("rep_x a", "rep_y b", "n_x n_a", "n_y n_b", "at_x at_a", "at_y at_b"), num, den)
         new = staged(spark, _verified(pairs.select("a", "b", "n_a", "n_b"), sets, num, den), "pairs")
         links = new if links is None else links.unionByName(new)
