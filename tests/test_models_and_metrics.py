@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import FOLDER
-from velogrid.functions.quantiles import exact_percentiles
+from velogrid.functions.quantiles import exact_percentiles, exact_percentiles_of
 from velogrid.operators import comparison as K
 from velogrid.operators import learning as L
 from velogrid.operators import metrics as M
@@ -54,10 +54,19 @@ def test_constant_columns_are_only_centred(spark):
     assert N.scaled_columns(train, exclude=["b"]) == ["a"]
 
 
-def test_inactive_rows_go_only_when_there_are_many(spark):
+def test_inactive_rows_go_at_any_size(spark):
     df = spark.createDataFrame([(0, 0)] * 30 + [(1, 0), (0, 4), (3, 3)], "despachos_count bigint, arribos_count bigint")
-    assert N.active_intervals(df, df, 0.1, min_rows=29).count() == 3
-    assert N.active_intervals(df, df, 0.1, min_rows=30).count() == 33
+    assert N.active_intervals(df, df, 0.1).count() == 3
+    few = df.limit(2)
+    assert N.active_intervals(few, few, 0.1).count() == 0
+
+
+def test_percentiles_with_far_more_values_than_ranges(spark):
+    df = spark.range(60_000).selectExpr("cast((id * 7919) % 60013 as double) / 7 as a", "if(id % 3 = 0, null, id % 5) as b")
+    got = exact_percentiles_of(df, ["a", "b"], {"low": 0.003, "mid": 0.5, "high": 0.999}).first()
+    for c in ("a", "b"):
+        x = np.sort([r[0] for r in df.select(c).dropna().collect()])
+        assert np.allclose(list(got[c]), np.quantile(x, [0.003, 0.5, 0.999]))
 
 
 def scored(spark, pairs):

@@ -50,5 +50,11 @@ def test_late_rows_are_dropped_and_a_restart_goes_on(spark):
 
 
 def test_kpis(spark):
-    kpis = live.drain(spark, live.live_kpis(trip_stream(spark, FOLDER)), "complete")
+    kpis = live.live_kpis(live.drain(spark, live.live_counts(trip_stream(spark, FOLDER)), "complete"))
     assert kpis.agg(F.sum("viajes")).first()[0] == trips_view(spark, FOLDER).count()
+
+
+def test_a_stream_reads_a_table_stored_as_a_folder(spark, tmp_path):
+    spark.read.parquet(f"{FOLDER}/events.parquet").repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    one, many = (live.drain(spark, live.live_counts(trip_stream(spark, f)), "complete") for f in (FOLDER, str(tmp_path)))
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect())) and one.count()

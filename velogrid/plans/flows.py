@@ -59,9 +59,9 @@ def scoring_features(df: DataFrame, users: DataFrame | None = None, clean: bool
 
     ``clean=False`` leaves short trips and all ages in.
     """
-    fine, message = validate_input(df, features)
-    if not fine:
-        raise ValueError(f"Datos de entrada inválidos: {message}")
+    check = validate_input(df, features)
+    if not check.valid:
+        raise ValueError(f"these rows can't be scored: {check.reason} {', '.join(check.columns)}")
     if input_kind(df, features) == "processed":
         return df
     trips = type_trips(df)

@@ -409,7 +409,7 @@ def prepared_features(spark, folder):
 )
 def input_checks(spark, folder):
     inputs = {"grid": grid(spark, folder), "trips": trips(spark, folder), "users": views.users_view(spark, folder)}
-    rows = [(n, R.input_kind(df), int(R.validate_input(df)[0])) for n, df in inputs.items()]
+    rows = [(n, R.input_kind(df), int(R.validate_input(df).valid)) for n, df in inputs.items()]
     return spark.createDataFrame(rows, "entrada string, tipo string, valida bigint")
 
 
@@ -1364,9 +1364,11 @@ LIVE_SQL = """(select inicio, inicio + interval '30 minutes' as fin, id_estacion
 
 
 def trip_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The trip view over the event file, read as a stream."""
-    stream = spark.readStream.schema(views.SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(folder)
-    return views.trips_of(stream)
+    """The trip view over the event table, a file or a folder of files, read as a stream.
+
+    A pattern in the path, as a stream takes a plain path for a folder only.
+    """
+    return views.trips_of(spark.readStream.schema(views.SCHEMAS["events"]).parquet(f"{folder}/events.parque[t]"))
 
 
 @query("live_counts_complete", parts.sql(["trips"], f"select inicio, fin, id_estacion, {b('salidas', 'llegadas')} from {LIVE_SQL}"))
@@ -1386,9 +1388,9 @@ def live_counts_closed_windows(spark, folder):
     return live.drain(spark, live.live_counts(trip_stream(spark, folder)), "append")
 
 
-@query("live_kpis")
+@query("live_kpis", parts.sql(["trips"], f"select inicio, cast(sum(salidas) as bigint) as viajes, count(*) as estaciones_activas from {LIVE_SQL} group by 1"))
 def live_kpis(spark, folder):
-    return live.drain(spark, live.live_kpis(trip_stream(spark, folder)), "complete")
+    return live.live_kpis(live.drain(spark, live.live_counts(trip_stream(spark, folder)), "complete"))
 
 
 def queries() -> dict[str, Query]:
