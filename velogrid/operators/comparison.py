@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velogrid.functions.numbers import between_bounds, half_even
@@ -24,6 +24,11 @@ def with_station_names(df: DataFrame, stations: DataFrame) -> DataFrame:
     return df.join(stations.select("id_estacion", "nombre_estacion", "direccion_estacion"), "id_estacion", "left")
 
 
+def _earliest(column: str) -> Column:
+    """The value of the earliest row that has one, the smallest of several; the order of rows plays no part."""
+    return F.min(F.when(F.col(column).isNotNull(), F.struct("timestamp", column)))[column]
+
+
 def compare_stations(predicted: DataFrame, stations: DataFrame | None = None, hour: int | None = None) -> DataFrame:
     """One row per station. Rows are summed first; names join the few sums.
 
@@ -38,8 +43,8 @@ def compare_stations(predicted: DataFrame, stations: DataFrame | None = None, ho
         with_errors(predicted)
         .groupBy("id_estacion")
         .agg(
-            F.first("lat_estacion", ignorenulls=True).alias("lat"),
-            F.first("long_estacion", ignorenulls=True).alias("lng"),
+            _earliest("lat_estacion").alias("lat"),
+            _earliest("long_estacion").alias("lng"),
             F.sum(TARGET).alias("arribos_reales"),
             F.sum("despachos_count").alias("salidas_reales"),
             F.sum(PREDICTED).alias("predichos"),

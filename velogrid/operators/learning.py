@@ -7,8 +7,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -83,18 +84,19 @@ def fit_boosted_trees(
     train: DataFrame,
     val: DataFrame,
     features: list[str] = BASE_FEATURES,
-    rounds: int = 20,
+    rounds: int = 1000,
     depth: int = 10,
     step: float = 0.05,
     subsample: float = 0.8,
     columns: str = "0.8",
     bins: int = 128,
-    tolerance: float = 0.01,
+    tolerance: float = 1e-5,
     seed: int = SEED,
 ):
     """Squared-loss trees that stop when the validation rows no longer gain.
 
-    Boosting is sequential: one pass over the cached bins per round, so ``rounds`` is the cost.
+    ``rounds`` is a bound: boosting ends at the first round whose gain on the validation rows, as a share of their
+    error, is below ``tolerance``. It is sequential: one pass over the cached bins per round.
     """
     both = train.withColumn("_val", F.lit(False)).unionByName(val.withColumn("_val", F.lit(True)))
     gbt = GBTRegressor(
@@ -120,13 +122,32 @@ def require_non_negative(df: DataFrame, y: str = TARGET) -> None:
         raise ValueError(f"{y} has negative values, which a count model cannot fit")
 
 
-def fit_count_model(train: DataFrame, features: list[str] = BASE_FEATURES, rounds: int = 25, ridge: float = 1e-6):
-    """Poisson regression with a log link."""
-    require_non_negative(train)
+def varying(df: DataFrame, features: list[str]) -> list[str]:
+    """The features that aren't constant in ``df``, missing values taken as 0."""
+    kinds = dict(df.dtypes)
+    value = {f: F.coalesce(F.col(f), F.lit(0).cast(kinds[f])) for f in features if f in kinds}
+    ranges = df.agg(*[(F.min(v) < F.max(v)).alias(f) for f, v in value.items()]).first()
+    return [f for f in value if ranges[f]]
+
+
+def fit_count_model(train: DataFrame, features: list[str] = BASE_FEATURES, rounds: int = 25, ridge: float = 1e-6, val: DataFrame | None = None):
+    """Poisson regression with a log link; neither part may have a negative target.
+
+    Features that are constant on train would only repeat the intercept and make the system singular. They are
+    left out of the fit, which is a weight of 0; the model scores vectors of all ``features``.
+    """
+    for part in (train, val):
+        if part is not None:
+            require_non_negative(part)
+    used = varying(train, features)
     glm = GeneralizedLinearRegression(
         family="poisson", link="log", featuresCol="_x", labelCol=TARGET, predictionCol=PREDICTED, maxIter=rounds, regParam=ridge
     )
-    return glm.fit(_vectors(train, features, [TARGET]))
+    places = [features.index(f) for f in used]
+    slicer = VectorSlicer(inputCol="_all", outputCol="_x", indices=places)
+    rows = slicer.transform(_vectors(train, features, [TARGET]).withColumnRenamed("_x", "_all"))
+    model = glm.fit(rows)
+    return PipelineModel([VectorSlicer(inputCol="_x", outputCol="_used", indices=places), model.setFeaturesCol("_used")])
 
 
 def predict(model, df: DataFrame, features: list[str] = BASE_FEATURES) -> DataFrame:
@@ -139,7 +160,7 @@ def predict(model, df: DataFrame, features: list[str] = BASE_FEATURES) -> DataFr
     names = [f"_f{i}" for i in range(len(features))]
     vectors = VectorAssembler(inputCols=names, outputCol="_x").transform(df.select("*", *inputs))
     scored = model.transform(vectors.drop(*names))
-    return scored.withColumn(PREDICTED, at_least(F.col(PREDICTED), 0.0)).drop("_x")
+    return scored.withColumn(PREDICTED, at_least(F.col(PREDICTED), 0.0)).drop("_x", "_used")
 
 
 def feature_importance(model, features: list[str], n: int | None = None) -> DataFrame:
@@ -168,13 +189,20 @@ def busiest_by_target(df: DataFrame, n: int, y: str = TARGET) -> DataFrame:
 
 
 def _moments(df: DataFrame, features: list[str], y: str) -> DataFrame:
-    """Sums that determine a least-squares fit, per station: n, x, y, xx, xy, yy."""
-    x = [F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features]
+    """Sums that determine a least-squares fit, per station: n, x, y, xx, xy, yy.
+
+    Columns are taken about their overall means (``medias``), so that those with a large level keep their digits.
+    """
+    plain = [F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features]
+    centre = df.agg(F.struct(*[F.coalesce(F.avg(a), F.lit(0.0)).alias(f"c{i}") for i, a in enumerate(plain)]))
+    df = df.withColumn("_medias", centre.scalar())
+    x = [a - F.col(f"_medias.c{i}") for i, a in enumerate(plain)]
     t = F.col(y).cast("double")
     sums = [F.sum(a).alias(f"x{i}") for i, a in enumerate(x)]
     sums += [F.sum(x[i] * x[j]).alias(f"x{i}_{j}") for i in range(len(x)) for j in range(i, len(x))]
     sums += [F.sum(a * t).alias(f"xy{i}") for i, a in enumerate(x)]
-    return df.groupBy("id_estacion").agg(F.count("*").alias("n"), F.sum(t).alias("y"), F.sum(t * t).alias("yy"), *sums)
+    means = [F.max(f"_medias.c{i}").alias(f"c{i}") for i in range(len(x))]
+    return df.groupBy("id_estacion").agg(F.count("*").alias("n"), F.sum(t).alias("y"), F.sum(t * t).alias("yy"), *sums, *means)
 
 
 def fit_station_models(train: DataFrame, features: list[str], ridge: float = 1.0, y: str = TARGET) -> DataFrame:
@@ -203,7 +231,7 @@ def fit_station_models(train: DataFrame, features: list[str], ridge: float = 1.0
                 {
                     "id_estacion": rows["id_estacion"],
                     "filas": rows["n"],
-                    "intercepto": level - (weights * mean).sum(axis=1),
+                    "intercepto": level - (weights * (mean + rows[[f"c{i}" for i in range(p)]].to_numpy(float))).sum(axis=1),
                     "coeficientes": list(weights),
                 }
             )

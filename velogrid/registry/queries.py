@@ -1273,7 +1273,7 @@ PREDICTED = ["timestamp", "id_estacion", TARGET, "arribos_predichos"]
 @query("boosted_tree_predictions")
 def boosted_tree_predictions(spark, folder):
     train, val, _ = _parts_for_learning(spark, folder)
-    model = L.fit_boosted_trees(train, val, rounds=5, depth=5)
+    model = L.fit_boosted_trees(train, val)
     return L.predict(model, val).select(*PREDICTED)
 
 
@@ -1284,15 +1284,14 @@ def boosted_trees_with_history(spark, folder):
     lookup = L.cluster_lookup(L.fit_station_clusters(train), train)
     train, val = L.add_clusters(train, lookup), L.add_clusters(val, lookup)
     features = [*names, "cluster_geo"]
-    model = L.fit_boosted_trees(train, val, features, rounds=3, depth=4)
+    model = L.fit_boosted_trees(train, val, features)
     return L.predict(model, val, features).select(*PREDICTED)
 
 
 @query("count_model_predictions")
 def count_model_predictions(spark, folder):
-    train, val, _ = _parts_for_learning(spark, folder)
-    features = [f for f in BASE_FEATURES if f not in ("mes", "año")]
-    return L.predict(L.fit_count_model(train, features), val, features).select(*PREDICTED)
+    train, val, names = _parts_for_learning(spark, folder, history=True)
+    return L.predict(L.fit_count_model(train, names, val=val), val, names).select(*PREDICTED)
 
 
 @query("active_interval_trees")
@@ -1300,14 +1299,14 @@ def active_interval_trees(spark, folder):
     """Trees on the rows that stay after the filter of quiet intervals."""
     train, val, _ = _parts_for_learning(spark, folder)
     live_train, live_val = N.active_intervals(train, train), N.active_intervals(val, train)
-    model = L.fit_boosted_trees(live_train, live_val, rounds=4, depth=6, step=0.1, subsample=1.0, columns="all")
+    model = L.fit_boosted_trees(live_train, live_val, depth=6, step=0.1, subsample=1.0, columns="all")
     return L.predict(model, live_val).select(*PREDICTED)
 
 
 @query("feature_importance")
 def feature_importance(spark, folder):
     train, val, names = _parts_for_learning(spark, folder)
-    model = L.fit_boosted_trees(train, val, names, rounds=4, depth=5, bins=64, columns="0.8", subsample=0.8)
+    model = L.fit_boosted_trees(train, val, names, depth=5, bins=64)
     return L.feature_importance(model, names, 15)
 
 
@@ -1325,7 +1324,7 @@ def cluster_sizes(spark, folder):
     return L.add_clusters(rows, lookup).groupBy("cluster_geo").agg(F.count("*").alias("filas"))
 
 
-STATION_FEATURES = ["despachos_count", "edad_usuario_mean", "edad_usuario_std", "proporcion_mujeres", "hora", "dia_semana", "es_fin_semana", "dia_mes"]
+STATION_FEATURES = [f for f in BASE_FEATURES if f != "id_estacion"]
 
 
 @query("station_models")
@@ -1355,6 +1354,64 @@ def station_slopes(spark, folder):
     return models.select("id_estacion", "filas", "intercepto", F.get("coeficientes", F.lit(0)).alias("pendiente"))
 
 
+# --- learners in cases that SQL can state -----------------------------------
+
+GROUP_MEANS = """select v.es_fin_semana, count(*) as filas, round(avg(m.media), 4) as minimo, round(avg(m.media), 4) as maximo
+  from (select cast(es_fin_semana as bigint) as es_fin_semana from val) v
+  join (select cast(es_fin_semana as bigint) as es_fin_semana, avg(arribos_count) as media from train group by 1) m using (es_fin_semana) group by 1"""
+
+
+def _by_weekend(predicted: DataFrame) -> DataFrame:
+    """The range of the predictions in each group; one value, if the model found the group's mean."""
+    low, high = (F.round(f("arribos_predichos"), 4).alias(n) for f, n in ((F.min, "minimo"), (F.max, "maximo")))
+    return predicted.groupBy(F.col("es_fin_semana").cast("bigint").alias("es_fin_semana")).agg(F.count("*").alias("filas"), low, high)
+
+
+@query("count_model_of_one_flag", parts.sql(["train", "val"], GROUP_MEANS), digits=4)
+def count_model_of_one_flag(spark, folder):
+    """A log link with one binary feature has the group means as its fit."""
+    train, val = split(spark, folder, [*SLIM, "es_fin_semana"])
+    return _by_weekend(L.predict(L.fit_count_model(train, ["es_fin_semana"], val=val), val, ["es_fin_semana"]))
+
+
+@query("tree_of_one_flag", parts.sql(["train", "val"], GROUP_MEANS), digits=4)
+def tree_of_one_flag(spark, folder):
+    """One tree over all rows splits at the flag and predicts the group means."""
+    train, val = split(spark, folder, [*SLIM, "es_fin_semana"])
+    model = L.fit_boosted_trees(train, val, ["es_fin_semana"], rounds=1, depth=1, subsample=1.0, columns="all")
+    return _by_weekend(L.predict(model, val, ["es_fin_semana"]))
+
+
+@query("cluster_checks", parts.sql(["grid"], "select count(*) as filas, count(distinct id_estacion) as estaciones, 0 as lejos from grid where lat_estacion is not null and long_estacion is not null"))
+def cluster_checks(spark, folder):
+    """Rows and stations that have a cluster, and stations whose centre isn't the nearest one."""
+    rows = staged(spark, grid(spark, folder).select("id_estacion", "lat_estacion", "long_estacion"), "grid")
+    model = L.fit_station_clusters(rows)
+    out = L.add_clusters(rows, L.cluster_lookup(model, rows)).where("cluster_geo >= 0")
+    away = F.array(*[F.pow(F.col("lat_estacion") - F.lit(float(a)), 2) + F.pow(F.col("long_estacion") - F.lit(float(g)), 2) for a, g in model.clusterCenters()])
+    far = F.get(away, F.col("cluster_geo")) > F.array_min(away) + 1e-9
+    return out.agg(F.count("*").alias("filas"), F.count_distinct("id_estacion").alias("estaciones"), F.count_distinct(F.when(far, F.col("id_estacion"))).alias("lejos"))
+
+
+LEARNER_SQL = """select m as modelo, (select count(*) from val) as filas, 0 as nulos, 0 as negativos, true as mejor_que_la_media
+  from (values ('conteo'), ('perfil')) t(m)"""
+
+
+@query("learner_checks", parts.sql(["val"], LEARNER_SQL))
+def learner_checks(spark, folder):
+    """Full learners on validation rows: all scored, none null or negative, and closer on their own train rows than the plain mean."""
+    train, val, names = _parts_for_learning(spark, folder, history=True)
+    model = L.fit_count_model(train, names, val=val)
+    scored = {"conteo": [L.predict(model, part, names) for part in (val, train)], "perfil": [L.predict_from_profile(part, train) for part in (val, train)]}
+    rows = []
+    for name, (on_val, on_train) in scored.items():
+        error = F.avg(F.pow(F.col(TARGET) - F.col("arribos_predichos"), 2)) < F.var_pop(TARGET)
+        better = on_train.agg(error.alias("mejor_que_la_media"))
+        one = on_val.agg(F.lit(name).alias("modelo"), F.count("*").alias("filas"), F.count_if(F.expr("arribos_predichos is null")).alias("nulos"), F.count_if(F.expr("arribos_predichos < 0")).alias("negativos"))
+        rows.append(one.withColumn("mejor_que_la_media", better.scalar()))
+    return rows[0].unionByName(rows[1])
+
+
 # --- streams ----------------------------------------------------------------
 
 LIVE_SQL = """(select inicio, inicio + interval '30 minutes' as fin, id_estacion, sum(s) as salidas, sum(l) as llegadas from (
