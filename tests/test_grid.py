@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tests.conftest import FOLDER, trip
 from velogrid.operators import grid as G
 from velogrid.operators.cleaning import clean_users, valid_trips
+from velogrid.registry import queries
 from velogrid.schemas import LAGGED
 from velogrid.sources.views import trips_view, users_view
 
@@ -133,3 +134,36 @@ def test_plan_has_one_window_one_sort_and_no_python(spark):
 def test_range_scan_reads_times_and_filters_only(spark):
     plan = G.slot_span(valid_trips(trips_view(spark, FOLDER)))._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,value:double>" in plan
+
+
+def test_a_range_of_the_grid_is_the_grid_cut(spark):
+    rows, riders = queries.valid(spark, FOLDER), queries.users(spark, FOLDER)
+    since, until = "2024-01-09 10:10:00", "2024-01-10 03:30:00"
+    whole = G.station_grid(rows, riders).filter(f"timestamp >= timestamp_ntz '{since}' and timestamp <= timestamp_ntz '{until}'")
+    part = G.station_grid(rows, riders, since=since, until=until)
+    assert part.count() == whole.count() > 0
+    assert part.exceptAll(whole).count() == 0
+
+
+def test_the_range_reaches_the_scan_of_stored_trips(spark, tmp_path):
+    queries.valid(spark, FOLDER).write.parquet(str(tmp_path / "trips"))
+    part = G.station_grid(spark.read.parquet(str(tmp_path / "trips")), since="2024-01-09", until="2024-01-09 23:30:00")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = part._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    # The six lags reach back to 21:00; departures are labelled a slot later, and arrivals count once more in the next slot.
+    pushed = [line for line in plan.splitlines() if "PushedFilters" in line and "GreaterThanOrEqual(fecha_origen_recorrido,2024-01-08T20:00)" in line]
+    assert pushed and all("LessThan(fecha_destino_recorrido,2024-01-10T00:00)" in line for line in pushed)
+
+
+def test_a_frequent_rider_is_split_by_salt(spark):
+    rows = queries.valid(spark, FOLDER).withColumn("id_usuario", F.when(F.col("id_recorrido") % 3 > 0, 7).otherwise(F.col("id_usuario")).cast("bigint"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain, salted = (G.station_grid(rows, queries.users(spark, FOLDER), lags=1, salt=n) for n in (1, 8))
+        assert "_part" in salted._jdf.queryExecution().executedPlan().toString()
+        assert salted.count() == plain.count() and salted.exceptAll(plain).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -6,6 +6,8 @@ by one window is integer work and never touches the session time zone.
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,15 @@ def slot_of(ts: str, minutes: int = SLOT_MINUTES) -> Column:
     )
 
 
+def slot_number(at: datetime, minutes: int = SLOT_MINUTES) -> int:
+    """The slot of a given time."""
+    return (at - datetime(1970, 1, 1)) // timedelta(minutes=minutes)
+
+
+def slot_time(slot: int, minutes: int = SLOT_MINUTES) -> datetime:
+    return datetime(1970, 1, 1) + timedelta(minutes=slot * minutes)
+
+
 def slot_start(slot: str, minutes: int = SLOT_MINUTES) -> Column:
     """First instant of a slot column."""
     return F.expr(f"timestamp_ntz '1970-01-01 00:00:00' + make_dt_interval(0, 0, {slot} * {minutes})")

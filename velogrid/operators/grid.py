@@ -7,11 +7,13 @@ departures of [10:00, 10:30) with the arrivals of [10:30, 11:00).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from velogrid.functions.slots import slot_of, slot_start, with_calendar
+from velogrid.functions.slots import slot_number, slot_of, slot_start, slot_time, with_calendar
 from velogrid.operators.columns import with_missing
 from velogrid.operators.enrich import add_users
 from velogrid.operators.stations import first_seen_stations
@@ -195,6 +197,23 @@ def _placed(traffic: DataFrame, lags: int, stretch: int) -> DataFrame:
     return rows.selectExpr("*", f"explode(sequence({first}, {last})) as tramo")
 
 
+def _time(at: datetime | str) -> datetime:
+    return at if isinstance(at, datetime) else datetime.fromisoformat(at)
+
+
+def _in_slots(ts: str, low: int | None, high: int | None, label: int, minutes: int) -> Column:
+    """Times that count in the slots from ``low`` to ``high``, which are labelled ``label`` slots later.
+
+    One slot more on the low side: an arrival counts once more in the slot after its own.
+    """
+    inside = F.lit(True)
+    if low is not None:
+        inside = inside & (F.col(ts) >= F.lit(str(slot_time(low - label - 1, minutes))).cast("timestamp_ntz"))
+    if high is not None:
+        inside = inside & (F.col(ts) < F.lit(str(slot_time(high - label + 1, minutes))).cast("timestamp_ntz"))
+    return inside
+
+
 def station_grid(
     trips: DataFrame,
     users: DataFrame | None = None,
@@ -202,6 +221,9 @@ def station_grid(
     minutes: int = SLOT_MINUTES,
     lags: int = LAGS,
     stretch: int = STRETCH,
+    since: datetime | str | None = None,
+    until: datetime | str | None = None,
+    salt: int = 1,
 ) -> DataFrame:
     """The full feature grid: one row per timestamp and station.
 
@@ -211,13 +233,29 @@ def station_grid(
     stations still spreads over the cluster. Traffic outside the range has no skeleton row and
     falls out. ``users`` are joined only where ages are summed; stations and range are read from
     the trips alone, in narrow scans.
+
+    ``since`` and ``until`` (both belong to the grid) cut it to a range: the rows are those of the full grid, but only
+    trips that leave or arrive in the range or its lags are summed, by bounds on the two time columns that reach the
+    scan where the trips store them. One trip dated decades away then adds no slots. ``salt`` splits the trips of
+    riders with a large share of all trips (see ``add_users``).
     """
     if lags >= stretch:
         raise ValueError("a stretch must be longer than the lags")
     stations = first_seen_stations(trips) if stations is None else stations
-    skeleton = _skeleton_slots(stations, slot_span(trips, minutes), lags, stretch)
+    span = slot_span(trips, minutes)
+    first, last = (None if x is None else slot_number(_time(x), minutes) for x in (since, until))
+    if first is not None and slot_time(first, minutes) < _time(since):
+        first += 1  # a slot that starts before the range isn't part of it
+    if first is not None or last is not None:
+        low, high = (None if first is None else first - lags), last
+        bounds = F.struct(
+            F.greatest("rango.desde", F.lit(low)).alias("desde"), F.least("rango.hasta", F.lit(high)).alias("hasta")
+        ).alias("rango")
+        span = span.select(bounds)
+        trips = trips.filter(_in_slots("fecha_origen_recorrido", low, high, 1, minutes) | _in_slots("fecha_destino_recorrido", low, high, 0, minutes))
+    skeleton = _skeleton_slots(stations, span, lags, stretch)
     if users is not None:
-        trips = add_users(trips, users.select("id_usuario", "edad_usuario"))
+        trips = add_users(trips, users.select("id_usuario", "edad_usuario"), salt=salt)
     placed = _placed(slot_traffic(trips, minutes), lags, stretch)
 
     totals = {"estacion": "max(estacion)", "previos": "sum(previos)", **CELL_TOTALS}
@@ -244,6 +282,8 @@ def station_grid(
         for c in LAGGED
     ]
     rows = cells.selectExpr("*", *lagged).filter(f"floor(slot / {stretch}) = tramo")
+    if first is not None:
+        rows = rows.filter(F.col("slot") >= first)
     full = with_calendar(rows.withColumn("timestamp", slot_start("slot", minutes)))
     return full.select(
         "timestamp",

@@ -93,8 +93,8 @@ def users(spark: SparkSession, folder: str) -> DataFrame:
     return C.clean_users(views.users_view(spark, folder))
 
 
-def grid(spark: SparkSession, folder: str, lags: int = 0) -> DataFrame:
-    return G.station_grid(valid(spark, folder), users(spark, folder), lags=lags)
+def grid(spark: SparkSession, folder: str, lags: int = 0, **cut) -> DataFrame:
+    return G.station_grid(valid(spark, folder), users(spark, folder), lags=lags, **cut)
 
 
 def split(spark: SparkSession, folder: str, columns: list[str] | None = None, lags: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -347,7 +347,7 @@ SLIM_SQL = f'"timestamp", {b(*SLIM[1:])}'
     parts.sql(["grid"], f"""select {SLIM_SQL} from grid where cast("timestamp" as date) = date '{DAY}'"""),
 )
 def grid_of_one_day(spark, folder):
-    return C.on_day(grid(spark, folder), DAY).select(*SLIM)
+    return grid(spark, folder, since=DAY, until=f"{DAY} 23:30:00").select(*SLIM)
 
 
 @query(
@@ -359,7 +359,8 @@ def grid_of_one_day(spark, folder):
     ),
 )
 def grid_time_filter(spark, folder):
-    return C.time_filter(grid(spark, folder), "2024-01-03 08:00:00", "2024-01-24 08:30:00", 8, 2).select(*SLIM)
+    cut = "2024-01-03 08:00:00", "2024-01-24 08:30:00"
+    return C.time_filter(grid(spark, folder, since=cut[0], until=cut[1]), *cut, 8, 2).select(*SLIM)
 
 
 @query(
@@ -367,7 +368,7 @@ def grid_time_filter(spark, folder):
     parts.sql(["grid"], f"""select {SLIM_SQL} from grid where "timestamp" in ({', '.join(f"timestamp '{i}'" for i in INSTANTS)})"""),
 )
 def grid_at_instants(spark, folder):
-    return C.at_instants(grid(spark, folder), INSTANTS).select(*SLIM)
+    return C.at_instants(grid(spark, folder, since=INSTANTS[0], until=INSTANTS[-1]), INSTANTS).select(*SLIM)
 
 
 @query(
