@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -27,7 +28,7 @@ from velogrid.llm.words import mix
 
 GAP = "▁"
 #: Units whose lattices a worker remembers; when full, it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 #: Characters sampled at once.
 CHUNK = 1 << 20
 
@@ -74,7 +75,7 @@ class Lattice:
         self.last = np.zeros(0, np.int64)  # of each unit: its last node
         self.first_edge = np.zeros(0, np.int64)  # of each node; the first node of a unit has no edge
         self.is_first = np.zeros(0, bool)
-        self.share = np.zeros(0)  # cumulated over a node's edges
+        self.share = np.zeros(0, np.float32)  # cumulated over a node's edges
         self.edge_piece = np.zeros(0, np.int32)
         self.edge_back = np.zeros(0, np.int32)  # nodes to go back
         self.filter([GAP], spelled=True)
@@ -91,38 +92,39 @@ class Lattice:
         sizes = np.array([len(u) for u in units], np.int64)
         begin = np.cumsum(sizes + 1) - sizes - 1
         chars = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-        found = [] if spelled else list(self.found.iter(joined))
-        node = np.array([e for e, _ in found], np.int64) + 1
-        piece = np.array([i for _, i in found], np.int32)
-        back = self.sizes[piece] if len(piece) else np.zeros(0, np.int32)
+        found = np.fromiter(chain.from_iterable(self.found.iter(joined)) if not spelled else (), np.int64).reshape(-1, 2)
+        node, piece = found[:, 0] + 1, found[:, 1].astype(np.int32)
+        back = self.sizes[piece]
         lone = np.ones(len(chars), bool)
         lone[begin + sizes] = False
         lone[node[back == 1] - 1] = False
         lone = np.flatnonzero(lone)
-        node = np.concatenate([node, lone + 1])
-        score = np.concatenate([self.scores[piece] if len(piece) else np.zeros(0), np.zeros(len(lone))])
-        piece = np.concatenate([piece, -1 - chars[lone].astype(np.int32)])
-        back = np.concatenate([back, np.ones(len(lone), np.int32)])
-        depth = node - np.repeat(begin, sizes + 1)[node]
-        order = np.lexsort((node, depth))
-        node, piece, back, score, depth = node[order], piece[order], back[order], score[order], depth[order]
+        score = self.scores[piece]
+        if len(lone):
+            node, piece = np.concatenate([node, lone + 1]), np.concatenate([piece, -1 - chars[lone].astype(np.int32)])
+            back, score = np.concatenate([back, np.ones(len(lone), np.int32)]), np.concatenate([score, np.zeros(len(lone))])
+            order = np.argsort(node, kind="stable")
+            node, piece, back, score = node[order], piece[order], back[order], score[order]
+        starts = np.flatnonzero(np.diff(node, prepend=-1))  # every node but a unit's first has an edge
+        counts = np.diff(starts, append=len(node))
+        depth = node[starts] - np.repeat(begin, sizes + 1)[node[starts]]
+        by_depth = np.argsort(depth.astype(np.uint16) if depth.max() < 1 << 16 else depth, kind="stable")
+        levels = np.flatnonzero(np.diff(depth[by_depth], prepend=-1, append=depth.max() + 1))
         sums, weight = np.zeros(len(chars)), np.empty(len(node))
-        levels = np.flatnonzero(np.diff(depth, prepend=-1, append=depth[-1] + 1))
         for a, b in zip(levels[:-1], levels[1:], strict=True):
-            w, n = sums[node[a:b] - back[a:b]] + score[a:b], node[a:b]
-            starts = np.flatnonzero(np.diff(n, prepend=-1))
-            counts = np.diff(starts, append=len(n))
-            top = np.maximum.reduceat(w, starts)
-            each = np.exp(w - np.repeat(top, counts))
-            total = np.add.reduceat(each, starts)
-            sums[n[starts]] = top + np.log(total)
-            weight[a:b] = each / np.repeat(total, counts)
-        order = np.lexsort((piece, -weight, node))
-        node, piece, back, weight = node[order], piece[order], back[order], weight[order]
-        starts = np.flatnonzero(np.diff(node, prepend=-1))
+            of = by_depth[a:b]
+            n = counts[of]
+            at = np.cumsum(n) - n
+            edges = np.arange(int(n.sum())) + np.repeat(starts[of] - at, n)
+            w = sums[node[edges] - back[edges]] + score[edges]
+            top = np.maximum.reduceat(w, at)
+            each = np.exp(w - np.repeat(top, n))
+            total = np.add.reduceat(each, at)
+            sums[node[starts[of]]] = top + np.log(total)
+            weight[edges] = each / np.repeat(total, n)
         run = np.cumsum(weight)
-        run -= np.repeat(run[starts] - weight[starts], np.diff(starts, append=len(node)))
-        run[np.append(starts[1:], len(node)) - 1] = 2.0
+        run -= np.repeat(run[starts] - weight[starts], counts)
+        run[starts + counts - 1] = 2.0
         first = np.zeros(len(chars), np.int64)
         first[node[starts]] = starts
         nodes, edges = len(self.first_edge), len(self.share)
@@ -132,7 +134,7 @@ class Lattice:
         self.last = np.concatenate([self.last, begin + sizes + nodes])
         self.first_edge = np.concatenate([self.first_edge, first + edges])
         self.is_first = np.concatenate([self.is_first, is_first])
-        self.share = np.concatenate([self.share, run])
+        self.share = np.concatenate([self.share, run.astype(np.float32)])
         self.edge_piece = np.concatenate([self.edge_piece, piece])
         self.edge_back = np.concatenate([self.edge_back, back])
 
@@ -140,12 +142,12 @@ class Lattice:
         """A segmentation per text, drawn by its key."""
         if len(self.number) >= REMEMBERED or len(self.share) >= 20 * REMEMBERED:
             self._start()
-        found = [self.split(t) for t in texts]
-        number = self.number
-        if new := list(dict.fromkeys(u for units in found for u in units if u not in number)):
-            self.filter(new)
-            number = self.number
-        numbers, counts = [number[u] for units in found for u in units], [len(units) for units in found]
+        split = [self.split(t) for t in texts]
+        counts, flat = [len(units) for units in split], list(chain.from_iterable(split))
+        numbers = list(map(self.number.get, flat))
+        if None in numbers:
+            self.filter(list(dict.fromkeys(u for u, n in zip(flat, numbers, strict=True) if n is None)))
+            numbers = list(map(self.number.get, flat))
         last, first_edge, share, edge_piece, edge_back, is_first = self.last, self.first_edge, self.share, self.edge_piece, self.edge_back, self.is_first
         node = last[np.array(numbers, np.int64)]
         place = np.arange(len(node)) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -228,7 +230,7 @@ def sample_encode(docs: DataFrame, model: str, alpha: float = 1e-3, seed: int =
                 yield pa.RecordBatch.from_arrays([*batch.slice(at, to - at).columns, pieces, same], names=[*kept, "pieces", "lossless"])
                 at = to
 
-    schema = docs.withColumns({"pieces": F.array().cast("array<int>"), "lossless": F.lit(True)}).schema
+    schema = docs.withColumns({"pieces": F.lit(None).cast("array<int>"), "lossless": F.lit(None).cast("boolean")}).schema
     return docs.mapInArrow(encode, schema)
 
 
@@ -244,4 +246,4 @@ def decode(rows: DataFrame, model: str, into: str = "decoded") -> DataFrame:
             texts = [None if p is None else lattice.decode(p).decode("utf-8", "replace") for p in batch.column("pieces").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*kept, into])
 
-    return rows.mapInArrow(spell, rows.withColumn(into, F.lit("").cast("string")).schema)
+    return rows.mapInArrow(spell, rows.withColumn(into, F.lit(None).cast("string")).schema)
