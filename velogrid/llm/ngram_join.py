@@ -205,15 +205,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return pairs.join(side[0], "a").join(side[1], "b").mapInArrow(_similar(num, den), "a long, b long")
 
 
-def _filtered(pairs: DataFrame, num: int, den: int) -> DataFrame:
-    """One row per pair that can still reach the similarity; ``pairs`` has one row per shared n-gram.
+def _filtered(pairs: DataFrame, num: int, den: int, *also: str) -> DataFrame:
+    """One row per pair (and ``also``) that can still reach the similarity; ``pairs`` has one row per shared n-gram.
 
     Length: the smaller set must be large enough. Position: the first shared n-gram bounds what may follow.
     """
     bound = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
     need = F.ceil((F.col("n_a") + F.col("n_b")) * num / (num + den))
     pairs = pairs.where(f"least(n_a, n_b) * {den} >= greatest(n_a, n_b) * {num}")
-    pairs = pairs.groupBy("a", "b", "n_a", "n_b").agg(F.min("at_a").alias("at_a"), F.min("at_b").alias("at_b"), F.count("*").alias("common"))
+    pairs = pairs.groupBy("a", "b", "n_a", "n_b", *also).agg(F.min("at_a").alias("at_a"), F.min("at_b").alias("at_b"), F.count("*").alias("common"))
     return pairs.where(bound >= need - 1e-6)
 
 
@@ -235,9 +235,10 @@ def linked_classes(sets: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
                 F.struct("rep", "n", "at").alias("x"), F.struct("p.rep", "p.n", "p.at").alias("y")
             )
             pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.col("x.rep").alias("of"))
-            pairs = _filtered(pairs.select(*[F.col(f"{s}.{f}").alias(g) for s in "ab" for f, g in (("rep", s), ("n", f"n_{s}"), ("at", f"at_{s}"))]), num, den)
-            best = Window.partitionBy("a").orderBy(F.desc("common"), "b"), Window.partitionBy("b").orderBy(F.desc("common"), "a")
-            pairs = pairs.withColumn("of_a", F.row_number().over(best[0])).withColumn("of_b", F.row_number().over(best[1])).where(F.least("of_a", "of_b") <= PIVOTS)
+            pairs = _filtered(pairs.select("of", *[F.col(f"{s}.{f}").alias(g) for s in "ab" for f, g in (("rep", s), ("n", f"n_{s}"), ("at", f"at_{s}"))]), num, den, "of")
+            # Per set, not per pivot: a set has no more pivots than indexed n-grams, a pivot may have any number of sets.
+            best = Window.partitionBy("of").orderBy(F.desc("common"), "a", "b")
+            pairs = pairs.withColumn("place", F.row_number().over(best)).where(F.col("place") <= PIVOTS).dropDuplicates(["a", "b"])
         else:
             x, y = now.select("token", *[F.col(f).alias(f"{f}_x") for f in ("rep", "n", "at", "component")]), now.select("token", *[F.col(f).alias(f"{f}_y") for f in ("rep", "n", "at", "component")])
             # The smaller set of a similar pair has its first shared n-gram within its first n - 2t/(1+t) n.
