@@ -24,18 +24,24 @@ ORACLE_SQL = None
 
 
 def _whole(docs: DataFrame, *more: str) -> DataFrame:
-    """All columns in one, so that none clashes with what an operator adds, beside the ones it reads."""
-    return docs.select(F.struct("*").alias("row"), "text", *more)
+    """The text and ``more`` for an operator, and all other columns in one, so that none clashes with what it adds."""
+    rest = [c for c in docs.columns if c != "text"]
+    return docs.select(F.struct(*rest).alias("row"), "text", *more)
+
+
+def _back(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again, in their order."""
+    return found.select(*[F.col("text" if c == "text" else f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = language_id.identify(_whole(docs), language_id.train(docs))
-    return found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("lang_score") >= LEAST_LANGUAGE)).select("row.*")
+    return _back(found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("lang_score") >= LEAST_LANGUAGE)), docs)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.toxicity(_whole(docs), model).where(F.col("toxic_score") < TOXIC).select("row.*")
+    return _back(toxicity.toxicity(_whole(docs), model).where(F.col("toxic_score") < TOXIC), docs)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,14 +56,14 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = decontaminate.benchmark_matches(_whole(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.where(F.size("matches") == 0).select("row.*")
+    return _back(found.where(F.size("matches") == 0), docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their sampled pieces, and the text as the pieces give it back."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    out = pieces.decode(pieces.sample_encode(_whole(docs, "doc_id"), model).where("lossless"), model)
-    own = [F.col(f"row.{c}") for c in docs.columns if c not in ("text", "pieces", "n_pieces")]
+    out = pieces.sample_encode(_whole(docs, "doc_id"), model, decoded="decoded").where("lossless")
+    own = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in ("text", "pieces", "n_pieces")]
     return out.select(*own, F.col("decoded").alias("text"), "pieces", F.size("pieces").cast("long").alias("n_pieces"))
 
 

@@ -65,6 +65,7 @@ def exchange(
         part, n = TaskContext.get().partitionId(), 0
         for block in blocks(batches, text_sizes, block_bytes):
             rows = list(ask(block))
+            pa.default_memory_pool().release_unused()
             name = f"{part}-{n}"
             n += 1
             yield pa.RecordBatch.from_arrays(

@@ -44,7 +44,7 @@ LOW = np.uint64(40)
 _MASK = np.uint64((1 << 40) - 1)
 _LAST = np.uint32(0xFFFFFFFF)
 #: Rounds of pivot pairs, and pivots of a set in a round. They save work and change no result.
-ROUNDS, PIVOTS = 3, 2
+ROUNDS, PIVOTS = 2, 2
 
 SETS = "doc_id long, n long, digest string, unique_n long, prefix array<long>, shared array<long>"
 _SETS = pa.schema(

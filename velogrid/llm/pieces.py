@@ -24,13 +24,14 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from velogrid.llm.exchange import blocks, text_sizes
 from velogrid.llm.words import mix
 
 GAP = "▁"
 #: Units whose lattices a worker remembers; when full, it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 #: Characters sampled at once.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 
 class Lattice:
@@ -200,37 +201,38 @@ class Lattice:
         return b"".join(map(self.bytes_of.__getitem__, pieces))[1:]
 
 
-def sample_encode(docs: DataFrame, model: str, alpha: float = 1e-3, seed: int = 0, key: str = "doc_id") -> DataFrame:
+def sample_encode(docs: DataFrame, model: str, alpha: float = 1e-3, seed: int = 0, key: str = "doc_id", decoded: str | None = None) -> DataFrame:
     """``docs`` with ``pieces`` (array<int>), a segmentation of ``text`` drawn by ``key`` and ``seed``, and ``lossless``.
 
+    With ``decoded``, a column of that name has the text that decoding gives back, without a second pass.
+
     ``model`` is the path of a model file with byte pieces; it is shipped to the executors. A large ``alpha`` favours
     the best segmentation, 0 draws all of them evenly. ``lossless`` says whether decoding gave the text
     back. A null text has null pieces, an empty one none; equal keys and texts are drawn alike, and a null key is a
     key of its own. All rows and other columns stay; columns of these two names are replaced.
     Characters that no piece has become byte pieces. Each row is read whole; nothing is shuffled.
     """
-    docs = docs.drop("pieces", "lossless")
+    more = [decoded] if decoded else []
+    docs = docs.drop("pieces", "lossless", *more)
     docs.sparkSession.sparkContext.addFile(model)
     name, kept = model.rsplit("/", 1)[-1], docs.columns
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(SparkFiles.get(name), alpha)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            keys = np.array([xxhash.xxh3_64_intdigest(repr(k).encode(), seed) for k in batch.column(key).to_pylist()], np.uint64)
-            at = 0
-            while at < len(texts):
-                to, size = at, 0
-                while to < len(texts) and (to == at or size + len(texts[to] or "") <= CHUNK):
-                    size += len(texts[to] or "")
-                    to += 1
-                got = lattice.sample([t or "" for t in texts[at:to]], keys[at:to])
-                pieces = pa.array([None if t is None else g for t, g in zip(texts[at:to], got, strict=True)], pa.list_(pa.int32()))
-                same = pa.array([lattice.decode(g.tolist()) == (t or "").encode() for t, g in zip(texts[at:to], got, strict=True)], pa.bool_())
-                yield pa.RecordBatch.from_arrays([*batch.slice(at, to - at).columns, pieces, same], names=[*kept, "pieces", "lossless"])
-                at = to
-
-    schema = docs.withColumns({"pieces": F.lit(None).cast("array<int>"), "lossless": F.lit(None).cast("boolean")}).schema
+            for part in blocks(iter([batch]), text_sizes, CHUNK):
+                texts = part.column("text").to_pylist()
+                keys = np.array([xxhash.xxh3_64_intdigest(repr(k).encode(), seed) for k in part.column(key).to_pylist()], np.uint64)
+                got = lattice.sample([t or "" for t in texts], keys)
+                back = [lattice.decode(g.tolist()) for g in got]
+                same = pa.array([b == (t or "").encode() for t, b in zip(texts, back, strict=True)], pa.bool_())
+                new = [pa.array([None if t is None else g for t, g in zip(texts, got, strict=True)], pa.list_(pa.int32())), same]
+                if decoded:
+                    new.append(pa.array([None if t is None else b for t, b in zip(texts, back, strict=True)], pa.binary()).cast(pa.string()))
+                yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*kept, "pieces", "lossless", *more])
+
+    kinds = {"pieces": "array<int>", "lossless": "boolean"} | dict.fromkeys(more, "string")
+    schema = docs.withColumns({c: F.lit(None).cast(k) for c, k in kinds.items()}).schema
     return docs.mapInArrow(encode, schema)
 
 

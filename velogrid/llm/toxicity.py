@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 import re
 import string
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -86,32 +87,41 @@ class Model:
         self._known: dict[bytes, float] = {}
 
 
-def fit(sample: list[tuple[bytes, int, float]], rounds: int = 120, sparse: float = 2e-4, least: int = 5) -> Model:
+def fit(sample: list[tuple[bytes, int, float]], rounds: int = 400, sparse: float = 2e-4, least: int = 5) -> Model:
     """``sample``: (text, label, weight) rows. Features of fewer than ``least`` documents of the sample are left out."""
     bags = [[sentence_words(text[a:b]) for a, b in sentences(text)] for text, _, _ in sample]
     split = {w: features(w) for bag in bags for words in bag for w in words}
     seen = Counter(f for bag in bags for f in {f for words in bag for w in words for f in split[w]})
     names = sorted(w for w, n in seen.items() if n >= least)
     number = {w: i for i, w in enumerate(names)}
-    feature, owner, bag, y, mass = [], [], [], [], []
+    feature, owner = array("q"), array("q")
+    bag, y, mass = [], [], []
     for sentence_bag, (_, label, weight) in zip(bags, sample, strict=True):
         got = [[number[f] for w in words for f in split[w] if f in number] for words in sentence_bag]
         if not got:
             continue
         for words in got:
-            feature += words
-            owner += [len(bag)] * len(words)
+            feature.extend(words)
+            owner.extend([len(bag)] * len(words))
             bag.append(len(y))
         y.append(label)
         mass.append(weight)
-    if not y or len(set(y)) < 2:
+    if not feature or len(set(y)) < 2:
         share = float(np.mean(y)) if y else 0.0
         return Model(float(np.log((share + 1e-6) / (1 - share + 1e-6))), {})
-    feature, owner, bag, y, mass = (np.array(v) for v in (feature, owner, bag, y, mass))
+    del bags, split, seen
+    feature, owner = (np.frombuffer(v, np.int64) for v in (feature, owner))
+    bag, y, mass = (np.array(v) for v in (bag, y, mass))
     mass = mass / mass.sum()
     w, bias = np.zeros(len(names)), -7.0
     sq_w, sq_b = np.zeros(len(names)), 0.0
-    for _ in range(rounds):
+    for r in range(rounds):
+        if r and r % 40 == 0:  # weights that the proximal step holds at zero leave the fit
+            live = w != 0
+            names = [n for n, keep in zip(names, live, strict=True) if keep]
+            at = live[feature]
+            feature, owner = (np.cumsum(live) - 1)[feature[at]], owner[at]
+            w, sq_w = w[live], sq_w[live]
         z = np.clip(bias + np.bincount(owner, w[feature], minlength=len(bag)), -30, 30)
         p = 1 / (1 + np.exp(-z))
         whole = -np.expm1(np.bincount(bag, np.log1p(-np.minimum(p, 1 - 1e-9)), minlength=len(y)))
@@ -127,7 +137,7 @@ def fit(sample: list[tuple[bytes, int, float]], rounds: int = 120, sparse: float
     return Model(float(bias), {n: float(v) for n, v in zip(names, w, strict=True) if v})
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = 1500) -> Model:
+def train(docs: DataFrame, labels: DataFrame, most: int = 1000) -> Model:
     """Fit on up to ``most`` documents of each label of ``labels`` (doc_id, toxic), a sample by hash of doc_id.
 
     Only the sample's texts are taken from ``docs`` (doc_id, text). Rows weigh as many rows as they stand for, so
