@@ -31,11 +31,11 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document and benchmark item in it; clean documents have none."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.benchmark_matches(docs, _read(spark, sf_dir, "benchmark"))
-    items = F.transform("matches", lambda m: m.item_id)
-    best = F.coalesce(F.array_max(F.transform("matches", lambda m: m.containment)), F.lit(0.0))
-    return found.select("doc_id", (F.size("matches") > 0).alias("contaminated"), items.alias("item_ids"), best.alias("containment"))
+    pairs = found.select("doc_id", F.inline("matches"))
+    return pairs.select("doc_id", "item_id", F.round("containment", 6).alias("containment"))
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,6 +89,36 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_token_counts, op2_ngram_join, op3_decontaminate, op4_warc, op5_pieces, op6_language_id, op7_license_scan, op8_quality_rules, op9_toxicity, op10_context_mixing, pipeline)}
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"[x for x in string_split_regex({}, '[\x20\x09-\x0D]+') if x <> '']"
+
+
+def _shingles(k: int, words: str) -> str:
+    """SQL: the distinct shingles of a list of words; a shorter list is one shingle, an empty one has none."""
+    return f"""case when len({words}) = 0 then [] when len({words}) < {k} then [array_to_string({words}, ' ')]
+    else list_distinct([array_to_string({words}[i:i + {k - 1}], ' ') for i in range(1, len({words}) - {k} + 2)]) end"""
+
+
+_JOIN = f"""
+with recursive w as (select doc_id, {_WORDS.format(_LOWER)} as w from documents),
+s as (select doc_id, {_shingles(4, "w")} as s from w),
+u as (select doc_id, unnest(s) as g from s),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as n from u a join u b on a.g = b.g and a.doc_id < b.doc_id group by all),
+l as (select a, b from p join s x on x.doc_id = a join s y on y.doc_id = b where 100 * n >= 85 * (len(x.s) + len(y.s) - n)),
+e as (select a, b from l union all select b, a from l),
+r as (select doc_id as d, doc_id as c from s union select r.d, e.b from r join e on e.a = r.c)
+select doc_id, cast(len(any_value(s)) as bigint) as n_shingles, min(c) as component_id from s join r on d = doc_id group by doc_id
+"""
+
+_PLAIN = _WORDS.format(f"translate({_LOWER}, '!\"#$%&''()*+,-./:;<=>?@[\\]^_`{{|}}~', '')")
+_LEAKS = f"""
+with d as (select doc_id, unnest({_shingles(5, "w")}) as g from (select doc_id, {_PLAIN} as w from documents)),
+i as (select item_id, {_shingles(5, "w")} as s from (select item_id, {_PLAIN} as w from benchmark)),
+g as (select item_id, len(s) as n, unnest(s) as g from i)
+select doc_id, item_id, round(count(*) / any_value(n), 6) as containment from d join g using (g)
+group by doc_id, item_id having count(*) >= 0.8 * any_value(n)
+"""
+
 _WARC = """
 with p as (select page_id, encode(coalesce(html, '')) as body from pages),
 d as (select page_id, octet_length(body) as n, sha1(body) as digest from p),
@@ -101,4 +131,4 @@ from k
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc": _WARC}
+    return {"op2_ngram_join": _JOIN, "op3_decontaminate": _LEAKS, "op4_warc": _WARC}
