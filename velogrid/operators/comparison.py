@@ -126,12 +126,18 @@ def top_stations(comparison: DataFrame, by: str, n: int = 5) -> DataFrame:
     return comparison.orderBy(F.desc(by), "id_estacion").limit(n)
 
 
+# Colours of good, middling and bad accuracy, the bounds between them, and a marker's size and opacity.
+GOOD, MIDDLING, BAD = "#059669", "#d97706", "#dc2626"
+GOOD_ABOVE, MIDDLING_ABOVE = 0.6, 0.4
+RADIUS, OPACITY = (8.0, 20), (0.6, 0.4)
+
+
 def marker_style(comparison: DataFrame, view: str = "comparison") -> DataFrame:
     """Map marker per station: colour band of the accuracy, size and opacity relative to the largest value."""
     real, predicted = F.col("arribos_reales"), F.col("arribos_predichos")
     value = {"real": real, "predicted": predicted}.get(view, F.greatest(real, predicted))
-    band = F.when(F.col("accuracy") > 0.6, "#059669").when(F.col("accuracy") > 0.4, "#d97706").otherwise("#dc2626")
-    fill = {"real": F.lit("#059669"), "predicted": F.lit("#dc2626")}.get(view, band)
+    band = F.when(F.col("accuracy") > GOOD_ABOVE, GOOD).when(F.col("accuracy") > MIDDLING_ABOVE, MIDDLING).otherwise(BAD)
+    fill = {"real": F.lit(GOOD), "predicted": F.lit(BAD)}.get(view, band)
     largest = comparison.agg(F.max(value))
     ratio = F.when(F.col("_max") > 0, value / F.col("_max")).otherwise(F.lit(0.0))
     return (
@@ -139,8 +145,8 @@ def marker_style(comparison: DataFrame, view: str = "comparison") -> DataFrame:
         .withColumns(
             {
                 "fill_color": fill,
-                "radius": F.lit(8.0) + ratio * 20,
-                "fill_opacity": F.lit(0.6) + ratio * 0.4,
+                "radius": F.lit(RADIUS[0]) + ratio * RADIUS[1],
+                "fill_opacity": F.lit(OPACITY[0]) + ratio * OPACITY[1],
             }
         )
         .drop("_max")

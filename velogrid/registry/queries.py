@@ -1355,6 +1355,43 @@ def station_slopes(spark, folder):
     return models.select("id_estacion", "filas", "intercepto", F.get("coeficientes", F.lit(0)).alias("pendiente"))
 
 
+# --- files written and read again ------------------------------------------
+
+
+@query("submission_file", _SQL["submission"])
+def submission_file(spark, folder):
+    path = work_path(spark, "submission")
+    sinks.write_submission(predicted(spark, folder)[1].withColumn("arribos_predichos", F.col("arribos_predichos") * 4 - 1), path)
+    return spark.read.schema("id_estacion bigint, timestamp timestamp_ntz, arribos_predichos bigint").option("header", True).csv(path)
+
+
+@query("metrics_file", _SQL["regression_metrics"])
+def metrics_file(spark, folder):
+    path, metrics = work_path(spark, "metrics"), regression_metrics(spark, folder)
+    sinks.write_metrics(metrics, path)
+    return spark.read.schema(metrics.schema).option("header", True).csv(path)
+
+
+# The reader takes all features but the station id as double.
+SCORING_SQL = ", ".join(f'round(cast(coalesce("{c}", 0) as double), {DIGITS}) as "{c}"' for c in BASE_FEATURES if c not in ("id_estacion", "proporcion_mujeres"))
+
+
+@query("scoring_input_file", parts.sql(["grid"], f'select "timestamp", cast(id_estacion as bigint) as id_estacion, cast(0 as double) as proporcion_mujeres, {SCORING_SQL} from grid'))
+def scoring_input_file(spark, folder):
+    """Ready-made features as CSV, read as scoring input."""
+    path = work_path(spark, "features")
+    prepared_features(spark, folder).write.option("header", True).csv(path)
+    return files.read_scoring_input(spark, path)
+
+
+@query("catalog_sample_file", parts.sql(["catalog"], """select id, coalesce(name, 'Estación ' || id) as name, coalesce(address, 'Dirección no disponible') as address,
+  cast(total_trips as bigint) as total_trips from catalog order by id limit 10"""))
+def catalog_sample_file(spark, folder):
+    path = work_path(spark, "sample")
+    sinks.write_catalog_sample(A.catalog(trips(spark, folder)), path, 10)
+    return files.read_station_catalog(spark, path).select("id", "name", "address", "total_trips")
+
+
 # --- learners in cases that SQL can state -----------------------------------
 
 GROUP_MEANS = """select v.es_fin_semana, count(*) as filas, round(avg(m.media), 4) as minimo, round(avg(m.media), 4) as maximo
