@@ -50,6 +50,20 @@ def text_sizes(batch: pa.RecordBatch) -> list[int]:
     return pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
 
 
+def groups(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[tuple]:
+    """(key, rows) of the parcels of each key, which follow one another; a row is (block, bucket, body)."""
+    key, rows, place = None, [], 0 if by == "block" else 1
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in ("block", "bucket", "body")), strict=True):
+            if rows and row[place] != key:
+                yield key, rows
+                rows = []
+            key = row[place]
+            rows.append(row)
+    if rows:
+        yield key, rows
+
+
 def exchange(
     df: DataFrame,
     ask: Callable[[pa.RecordBatch], Iterator[Row]],
@@ -72,24 +86,20 @@ def exchange(
                 [pa.array([name] * len(rows), pa.string()), pa.array([b for b, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.binary())], schema=ARROW_PARCEL
             )
 
-    def reply(key: tuple, table: pa.Table) -> pa.Table:
-        if key[0].as_py() < 0:
-            return table.select(["block", "bucket", "body"]).cast(ARROW_PARCEL)
-        table = table.sort_by("block")  # the same order in every attempt
-        out = answer(table.column("body").to_pylist())
-        return pa.table([table.column("block"), table.column("bucket"), pa.array(out, pa.binary())], schema=ARROW_PARCEL)
-
-    def close(table: pa.Table) -> pa.Table:
-        own, got = None, {}
-        for bucket, body in zip(table.column("bucket").to_pylist(), table.column("body").to_pylist(), strict=True):
-            if bucket < 0:
-                own = body
-            elif body is not None:
-                got[bucket] = body
-        return finish(own, got)
+    def reply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, rows in groups(batches, "bucket"):
+            out = [x for _, _, x in rows] if bucket < 0 else answer([x for _, _, x in rows])
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _, _ in rows], pa.string()), pa.array([bucket] * len(rows), pa.int64()), pa.array(out, pa.binary())], schema=ARROW_PARCEL)
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in groups(batches, "block"):
+            own = next(x for _, bucket, x in rows if bucket < 0)
+            yield from finish(own, {bucket: x for _, bucket, x in rows if bucket >= 0 and x is not None}).to_batches()
 
     parcels = df.mapInArrow(build, PARCEL)
     # A block's own row travels under a number of its own, so these rows spread like the others.
     spread = F.when(F.col("bucket") < 0, -1 - F.abs(F.xxhash64("block") % 1_000_000)).otherwise(F.col("bucket"))
-    replies = parcels.withColumn("bucket", spread).groupBy("bucket").applyInArrow(reply, PARCEL)
-    return replies.groupBy("block").applyInArrow(close, schema)
+    # Sorted by block as well, so that every attempt sees a bucket's rows in the same order.
+    asked = parcels.withColumn("bucket", spread).repartition("bucket").sortWithinPartitions("bucket", "block")
+    replies = asked.mapInArrow(reply, PARCEL)
+    return replies.repartition("block").sortWithinPartitions("block").mapInArrow(close, schema)
