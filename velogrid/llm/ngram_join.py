@@ -22,7 +22,6 @@ How it runs on a cluster:
 from __future__ import annotations
 
 import hashlib
-import io
 import struct
 from collections.abc import Iterator
 
