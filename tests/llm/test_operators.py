@@ -419,3 +419,39 @@ def test_probabilities_of_all_bytes_sum_to_one():
     prefixes = np.stack([(1 << i) | (every.astype(int) >> (8 - i)) for i in range(8)], 1)
     inputs = tree[:, prefixes].transpose(1, 0, 2)
     assert math.isclose((10 ** mixer.cost(inputs, context_mixing._bits(every))).sum(), 1.0, rel_tol=1e-9)
+
+def test_all_training_documents_are_counted_but_a_tuning_byte_not_by_its_own(spark, tmp_path):
+    texts = {i: "ab" + "xyz "[i % 4] * (i % 5 + 1) + f" word{i % 7} abc" for i in range(60)}
+    texts |= {next(i for i in range(100, 999) if zlib.crc32(str(i).encode()) % 10 == 1): "only here zzqqzz"}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(str(tmp_path / "few"))
+    few = spark.read.parquet(str(tmp_path / "few"))
+    rows = few.select("doc_id", "text", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0).alias("held"))
+    got = collections.Counter()
+    for r in context_mixing.tuning_inputs(rows, 1, 16).collect():
+        for x, y in zip(np.frombuffer(r.inputs, "i1").reshape(-1, 40), r.bytes, strict=True):
+            got[y, *x.tolist()] += 1
+    train = [b"\n" * 5 + context_mixing.stream(words(t)) for i, t in texts.items() if zlib.crc32(str(i).encode()) % 10]
+    counts = [collections.Counter((k, s[at - k : at], s[at]) for k in context_mixing.ORDERS for at in range(5, len(s))) for s in train]
+    after = collections.defaultdict(collections.Counter)
+    for (k, context, y), n in sum(counts, collections.Counter()).items():
+        after[k, context][y] += n
+    want = collections.Counter()
+    for s, own in zip(train, counts, strict=True):
+        for at in range(5, len(s)):
+            y, x = s[at], []
+            for k in context_mixing.ORDERS:
+                left = {b: n - own[k, s[at - k : at], b] for b, n in after[k, s[at - k : at]].items()}
+                for i in range(8):
+                    bits = [sum(n for b, n in left.items() if b >> (7 - i) == (y >> (8 - i) << 1 | v)) for v in (0, 1)]
+                    x.append(int(context_mixing.logit(*map(np.int64, bits))))
+            want[y, *x] += 1
+    assert got == want
+
+
+def test_documents_with_remainder_one_teach_the_context_counts(spark, docs, tmp_path):
+    one = [i for i in range(5000) if zlib.crc32(str(i).encode()) % 10 == 1][:300]
+    zero = next(i for i in range(5000) if zlib.crc32(str(i).encode()) % 10 == 0)
+    rows = [(r.doc_id + 10_000, r.text) for r in docs.collect()] + [(i, "qzxj vkwq jxzq") for i in one] + [(zero, "qzxj vkwq jxzq")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "taught"))
+    got = context_mixing.mixed_scores(spark.read.parquet(str(tmp_path / "taught"))).where(F.col("doc_id") == zero).first()
+    assert got.held_out and got.bits_per_byte < 1
