@@ -455,3 +455,31 @@ def test_documents_with_remainder_one_teach_the_context_counts(spark, docs, tmp_
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "taught"))
     got = context_mixing.mixed_scores(spark.read.parquet(str(tmp_path / "taught"))).where(F.col("doc_id") == zero).first()
     assert got.held_out and got.bits_per_byte < 1
+
+
+def test_tuning_grows_with_the_input():
+    size = 30_000_000_000
+    assert size / context_mixing.tuning_share(size) >= 5 * (size / 10) / context_mixing.tuning_share(size // 10) > 0
+    assert context_mixing.tuning_share(0) == context_mixing.tuning_share(1000) == 1
+
+
+def test_fitted_weights_are_those_of_logistic_regression(spark):
+    rng, n = np.random.default_rng(5), 6000
+    inputs = np.clip(np.rint(rng.normal(size=(n, 5, 8)) * 15), -120, 120).astype("i1")
+    inputs[inputs == 0] = 1  # all under the last gate
+    true = np.array([0.1, 0.2, -0.3, 0.5, 1.2])
+    ones = rng.random((n, 8)) < 1 / (1 + np.exp(-np.einsum("nob,o->nb", inputs / 15.0, true)))
+    byte = np.packbits(ones, axis=1)[:, 0]
+    rows = [(inputs[a : a + 1500].tobytes(), byte[a : a + 1500].tobytes()) for a in range(0, n, 1500)]
+    mixer = context_mixing.fitted(spark.createDataFrame(rows, context_mixing.TUNING))
+    x, first = inputs / 15.0, context_mixing.Mixer()
+    for bit in range(8):
+        w = mixer.weights[5, bit]
+        slope = ((1 / (1 + np.exp(-x[:, :, bit] @ w)) - ones[:, bit])[:, None] * x[:, :, bit]).sum(0) + context_mixing.RIDGE * (w - 0.3)
+        assert np.abs(slope).max() < 1 and np.abs(w - true).max() < 0.15
+    assert (mixer.weights[:5] == first.weights[:5]).all()
+    cell = np.rint(2 * np.clip(np.einsum("nob,bo->nb", x, mixer.weights[5]), -8, 8)).astype(int) + 16
+    for bit in (0, 7):
+        for c in (10, 16, 20):
+            at = cell[:, bit] == c
+            assert math.isclose(mixer.map[5, bit, c], (ones[at, bit].sum() + 30 * first.map[5, bit, c]) / (at.sum() + 30), abs_tol=1e-3)
