@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from velogrid.llm import context_mixing, decontaminate, language_id, license_scan, ngram_join, pieces, quality_rules, token_counts, toxicity, warc
+from velogrid.llm import context_mixing, decontaminate, language_id, license_scan, merkle, ngram_join, pieces, quality_rules, statements, token_counts, toxicity, warc
 from velogrid.llm.samples import remainder
 
 
@@ -81,12 +81,22 @@ def op10_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_mixing.mixed_scores(_read(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof, and the root that it folds to when some documents have another n_chars."""
+    docs = _read(spark, sf_dir, "documents")
+    count = F.col("n_chars").cast("long")
+    changed = F.when(remainder(7) == 0, count + 1).otherwise(count)
+    fields = [[F.col("doc_id"), F.col("source"), F.col("lang"), n, F.col("text")] for n in (count, changed)]
+    made = merkle.manifest(docs, F.col("lang"), *fields)
+    return merkle.fold(made).withColumnRenamed("key", "doc_id")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_ngram_join, op3_decontaminate, op4_warc, op5_pieces, op6_language_id, op7_license_scan, op8_quality_rules, op9_toxicity, op10_context_mixing, pipeline)}
+    return {f.__name__: f for f in (op1_token_counts, op2_ngram_join, op3_decontaminate, op4_warc, op5_pieces, op6_language_id, op7_license_scan, op8_quality_rules, op9_toxicity, op10_context_mixing, op11_merkle_manifest, pipeline)}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -131,4 +141,4 @@ from k
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_ngram_join": _JOIN, "op3_decontaminate": _LEAKS, "op4_warc": _WARC}
+    return {"op2_ngram_join": _JOIN, "op3_decontaminate": _LEAKS, "op4_warc": _WARC, "op11_merkle_manifest": statements.MERKLE}
