@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from velogrid.llm import context_mixing, decontaminate, language_id, license_scan, merkle, ngram_join, pieces, quality_rules, statements, token_counts, toxicity, warc
+from velogrid.llm import context_mixing, decontaminate, language_id, license_scan, merkle, ngram_join, pieces, quality_rules, spelling, statements, token_counts, toxicity, warc
 from velogrid.llm.samples import remainder
 
 
@@ -91,12 +91,16 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fold(made).withColumnRenamed("key", "doc_id")
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_ngram_join, op3_decontaminate, op4_warc, op5_pieces, op6_language_id, op7_license_scan, op8_quality_rules, op9_toxicity, op10_context_mixing, op11_merkle_manifest, pipeline)}
+    return {f.__name__: f for f in (op1_token_counts, op2_ngram_join, op3_decontaminate, op4_warc, op5_pieces, op6_language_id, op7_license_scan, op8_quality_rules, op9_toxicity, op10_context_mixing, op11_merkle_manifest, op12_spelling, pipeline)}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -141,4 +145,4 @@ from k
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_ngram_join": _JOIN, "op3_decontaminate": _LEAKS, "op4_warc": _WARC, "op11_merkle_manifest": statements.MERKLE}
+    return {"op2_ngram_join": _JOIN, "op3_decontaminate": _LEAKS, "op4_warc": _WARC, "op11_merkle_manifest": statements.MERKLE, "op12_spelling": statements.SPELLING}

@@ -44,3 +44,25 @@ done as (select p.doc_id, p.leaf, s.subroot, (select l[1] from tp where len(l) =
   from p join sub s on p.grp = s.grp left join way w on w.grp = p.grp and w.pos = p.pos)
 select *, folded_root = root as verified from done
 """
+
+_BYTES = """flatten(list_transform(string_split(k, ''), lambda c: case when unicode(c) < 128 then [cast(unicode(c) as bigint)]
+    else [cast(192 + unicode(c) // 64 as bigint), cast(128 + unicode(c) % 64 as bigint)] end))"""
+
+SPELLING = f"""
+with recursive crc as ({CRC_TABLE}),
+r as (select coalesce(cast(doc_id as varchar), '') as id,
+    unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) as w from documents),
+g as (select id || ':' || w as k, w, count(*) as m from r where length(w) >= 5 group by all),
+h as (select w, m, {crc32(_BYTES)} as h from g, crc),
+t as (select case when h % 97 = 0 then left(w, h % length(w)) || substr(w, h % length(w) + 2) else w end as word, m from h),
+v as (select word, cast(sum(m) as bigint) as n from t where length(word) >= 5 group by word having sum(m) >= 3),
+d as (select word, n, i, left(word, i - 1) || substr(word, i + 1) as rest from (select word, n, unnest(range(1, length(word) + 1)) as i from v)),
+shorter as (select distinct a.word as a, a.n as an, b.word as b, b.n as bn from d a join v b on a.rest = b.word),
+e as (select a.word, b.word as other, b.n as other_n from d a join d b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+  union all select a, b, bn from shorter union all select b, a, an from shorter),
+o as (select *, count(*) over (partition by word) as n_near, row_number() over (partition by word order by other_n desc, other) as k from e),
+f as (select v.word, v.n, coalesce(n_near, 0) as n_near, case when other_n >= 2 * v.n then other end as form, case when other_n >= 2 * v.n then other_n end as form_n
+  from v left join o on o.word = v.word and o.k = 1),
+way as (select word, word as at, form as next from f union all select way.word, f.word, f.form from way join f on f.word = way.next)
+select f.*, way.at as root from f join way on way.word = f.word and way.next is null
+"""
