@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from velogrid.llm import context_mixing, decontaminate, language_id, license_scan, merkle, ngram_join, pieces, quality_rules, spelling, statements, token_counts, toxicity, warc
+from velogrid.llm import context_mixing, decontaminate, forest, language_id, license_scan, merkle, ngram_join, pieces, quality_rules, spelling, statements, token_counts, toxicity, warc
 from velogrid.llm.samples import remainder
 
 
@@ -95,12 +95,16 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(_read(spark, sf_dir, "documents"))
 
 
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.nearest(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_ngram_join, op3_decontaminate, op4_warc, op5_pieces, op6_language_id, op7_license_scan, op8_quality_rules, op9_toxicity, op10_context_mixing, op11_merkle_manifest, op12_spelling, pipeline)}
+    return {f.__name__: f for f in (op1_token_counts, op2_ngram_join, op3_decontaminate, op4_warc, op5_pieces, op6_language_id, op7_license_scan, op8_quality_rules, op9_toxicity, op10_context_mixing, op11_merkle_manifest, op12_spelling, op13_nearest, pipeline)}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
