@@ -295,7 +295,8 @@ def nearest(rows: DataFrame, is_query: Column | str, k: int = 5, key: str = "vec
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("v"), pa.array(found, pa.list_(pa.int32()))], names=["key", "v", "leaves"])
 
     kind = rows.schema["v"].dataType.simpleString()
-    asked = staged(spark, asked.select("key", "v").repartition("key").mapInArrow(walk, f"key long, v {kind}, leaves array<int>"), "asked")
+    walkers = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // (1 << 20))
+    asked = staged(spark, asked.select("key", "v").repartition(walkers, "key").mapInArrow(walk, f"key long, v {kind}, leaves array<int>"), "asked")
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
