@@ -12,33 +12,60 @@ files or a written table, whose partitions keep their rows and order.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from velogrid.session import staged
+
 PARCEL = "block string, bucket long, body binary"
 ARROW_PARCEL = pa.schema([("block", pa.string()), ("bucket", pa.int64()), ("body", pa.binary())])
 
-#: A bucket number of one block's own row, which no bucket reads.
-OWN = -1
+#: Bytes of texts whose keys one bucket holds at most, about, those of one task of either exchange, and documents of a block.
+BUCKET_BYTES, TASK_BYTES, BLOCK_ROWS = 16 << 20, 8 << 20, 1 << 16
+
+#: Bytes of one Arrow batch of parcels, about.
+BATCH_BYTES = 16 << 20
+
+#: A bucket number of one block's own row, which no bucket reads. It travels in pieces of ``PIECE_BYTES``, up to ``PIECES`` of them:
+#: a row of megabytes is a single large allocation wherever it passes.
+OWN, PIECE_BYTES, PIECES = -1, 256 << 10, 1000
 
 Row = tuple[int, bytes]
 
 
-def bucket_count(df: DataFrame) -> int:
-    """Follows the number of shuffle partitions, which follows the data."""
-    return max(128, 8 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Holds Arrow batches to ``BATCH_BYTES`` while a table is written."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, f"{BATCH_BYTES}b")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def text_bytes_of(df: DataFrame) -> int:
+    """Bytes of all texts."""
+    return df.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+
+
+def bucket_count(df: DataFrame, size: int) -> int:
+    """Follows ``size``, the bytes of all texts, so that a bucket fits into a task however large the corpus; many tasks have one at least."""
+    return max(128, 8 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES)
 
 
 def blocks(batches: Iterator[pa.RecordBatch], size: Callable[[pa.RecordBatch], list[int]], most: int) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that a block's sizes sum to ``most`` at most; a larger row is a block of its own."""
+    """Cut batches so that a block's sizes sum to ``most`` at most, and its rows to ``BLOCK_ROWS``; a larger row is a block of its own."""
     for batch in batches:
         at, total = 0, 0
         for i, n in enumerate(size(batch)):
-            if i > at and total + n > most:
+            if i > at and (total + n > most or i - at == BLOCK_ROWS):
                 yield batch.slice(at, i - at)
                 at, total = i, 0
             total += n
@@ -64,21 +91,33 @@ def groups(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[tuple]:
         yield key, rows
 
 
+def _pieces(bucket: int, body: bytes) -> list[Row]:
+    """A block's own row in pieces, numbered from -1 down; the rows of buckets as they are."""
+    if bucket != OWN:
+        return [(bucket, body)]
+    size = max(PIECE_BYTES, -(-len(body) // (PIECES - 1)))
+    return [(OWN - i, body[at : at + size]) for i, at in enumerate(range(0, len(body), size))] or [(OWN, body)]
+
+
 def exchange(
     df: DataFrame,
     ask: Callable[[pa.RecordBatch], Iterator[Row]],
     answer: Callable[[list[bytes]], list[bytes | None]],
     finish: Callable[[bytes, dict[int, bytes]], pa.Table],
     schema: str,
+    size: int,
+    name: str,
     block_bytes: int = 3 << 20,
 ) -> DataFrame:
     """``ask`` gives a block's packed rows, ``answer`` a reply for each row of a bucket (in order),
-    ``finish`` the block's result from its own row and the replies by bucket."""
+    ``finish`` the block's result from its own row and the replies by bucket. ``size`` is the bytes of all texts. The result is a
+    written table."""
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // TASK_BYTES)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, n = TaskContext.get().partitionId(), 0
         for block in blocks(batches, text_sizes, block_bytes):
-            rows = list(ask(block))
+            rows = [piece for row in ask(block) for piece in _pieces(*row)]
             pa.default_memory_pool().release_unused()
             name = f"{part}-{n}"
             n += 1
@@ -93,13 +132,15 @@ def exchange(
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in groups(batches, "block"):
-            own = next(x for _, bucket, x in rows if bucket < 0)
+            own = b"".join(x for _, x in sorted((-bucket % PIECES, x) for _, bucket, x in rows if bucket < 0))
             yield from finish(own, {bucket: x for _, bucket, x in rows if bucket >= 0 and x is not None}).to_batches()
 
     parcels = df.mapInArrow(build, PARCEL)
-    # A block's own row travels under a number of its own, so these rows spread like the others.
-    spread = F.when(F.col("bucket") < 0, -1 - F.abs(F.xxhash64("block") % 1_000_000)).otherwise(F.col("bucket"))
+    # A block's own row travels under numbers of its own, so these rows spread like the others.
+    spread = F.when(F.col("bucket") < 0, F.col("bucket") - PIECES * (1 + F.pmod(F.xxhash64("block"), F.lit(1_000_000)))).otherwise(F.col("bucket"))
     # Sorted by block as well, so that every attempt sees a bucket's rows in the same order.
-    asked = parcels.withColumn("bucket", spread).repartition("bucket").sortWithinPartitions("bucket", "block")
+    asked = parcels.withColumn("bucket", spread).repartition(tasks, "bucket").sortWithinPartitions("bucket", "block")
     replies = asked.mapInArrow(reply, PARCEL)
-    return replies.repartition("block").sortWithinPartitions("block").mapInArrow(close, schema)
+    closed = replies.repartition(tasks, "block").sortWithinPartitions("block").mapInArrow(close, schema)
+    with small_batches(df.sparkSession):
+        return staged(df.sparkSession, closed, name)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from velogrid.llm.components import components
-from velogrid.llm.exchange import OWN, bucket_count, exchange
+from velogrid.llm.exchange import BLOCK_ROWS, OWN, bucket_count, exchange, text_bytes_of
 from velogrid.llm.words import shingle_set, text_bytes
 from velogrid.session import staged
 
@@ -86,6 +86,8 @@ def _runs(ends: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def _ask(k: int, buckets: int):
     def ask(block: pa.RecordBatch) -> Iterator[tuple[int, bytes]]:
+        if block.num_rows > BLOCK_ROWS:
+            raise ValueError("a block has more documents than their numbers can tell apart")
         sets = [shingle_set(x, k) for x in text_bytes(block.column("text"))]
         sizes = np.array([len(x) for x in sets], np.int64)
         doc = np.repeat(np.arange(len(sets), dtype=np.uint16), sizes)
@@ -168,12 +170,13 @@ def _finish(num: int, den: int):
 
 
 def ngram_sets(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): set size, digest of the set, and its indexed n-grams.
+    """Per row of ``docs`` (doc_id, text): set size, digest of the set, and its indexed n-grams; a written table.
 
     ``docs`` is a scan of files or a written table (see ``exchange``).
     """
-    b = bucket_count(docs)
-    return exchange(docs.select(F.col("doc_id").cast("long"), "text"), _ask(k, b), _answer, _finish(num, den), SETS)
+    size = text_bytes_of(docs)
+    b = bucket_count(docs, size)
+    return exchange(docs.select(F.col("doc_id").cast("long"), "text"), _ask(k, b), _answer, _finish(num, den), SETS, size, "sets")
 
 
 def _similar(num: int, den: int):
@@ -260,8 +263,7 @@ def ngram_join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Da
     Without words or text the set is empty, and the row is a component of its own. Equal rows are all
     kept and have the same component; a null doc_id is a member of its class, but doesn't name it.
     """
-    spark = docs.sparkSession
-    sets = staged(spark, ngram_sets(docs, k, num, den), "sets")
+    sets = ngram_sets(docs, k, num, den)
     labels = linked_classes(sets.where("doc_id is not null"), num, den)
     classes = sets.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"))
     classes = classes.join(labels, F.col("rep") == F.col("node"), "left").select(F.col("digest").alias("class"), F.coalesce("component", "rep").alias("component_id"))
