@@ -24,9 +24,10 @@ def with_station_names(df: DataFrame, stations: DataFrame) -> DataFrame:
     return df.join(stations.select("id_estacion", "nombre_estacion", "direccion_estacion"), "id_estacion", "left")
 
 
-def _earliest(column: str) -> Column:
-    """The value of the earliest row that has one, the smallest of several; the order of rows plays no part."""
-    return F.min(F.when(F.col(column).isNotNull(), F.struct("timestamp", column)))[column]
+def _earliest(df: DataFrame, column: str) -> Column:
+    """The value of the earliest row that has one, the smallest of several or where rows have no ``timestamp``; the order of rows plays no part."""
+    order = [c for c in ("timestamp",) if c in df.columns]
+    return F.min(F.when(F.col(column).isNotNull(), F.struct(*order, column)))[column]
 
 
 def compare_stations(predicted: DataFrame, stations: DataFrame | None = None, hour: int | None = None) -> DataFrame:
@@ -43,8 +44,8 @@ def compare_stations(predicted: DataFrame, stations: DataFrame | None = None, ho
         with_errors(predicted)
         .groupBy("id_estacion")
         .agg(
-            _earliest("lat_estacion").alias("lat"),
-            _earliest("long_estacion").alias("lng"),
+            _earliest(predicted, "lat_estacion").alias("lat"),
+            _earliest(predicted, "long_estacion").alias("lng"),
             F.sum(TARGET).alias("arribos_reales"),
             F.sum("despachos_count").alias("salidas_reales"),
             F.sum(PREDICTED).alias("predichos"),
