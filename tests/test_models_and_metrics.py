@@ -106,8 +106,8 @@ def test_a_moved_station_is_compared_at_its_first_place(spark):
     df = spark.createDataFrame(rows, "id_estacion bigint, h int, lat_estacion double, long_estacion double")
     df = df.selectExpr("*", "timestamp_ntz'2024-03-04 00:00:00' + make_interval(0, 0, 0, 0, h) as timestamp", "0L as arribos_count", "0L as despachos_count", "0d as arribos_predichos")
     with_times, without = (K.compare_stations(x).first() for x in (df, df.drop("timestamp")))
-    assert (with_times["lat_estacion"], with_times["long_estacion"]) == (-34.5, -58.9)
-    assert (without["lat_estacion"], without["long_estacion"]) == (-34.5, -58.9)
+    assert (with_times["lat_estacion"], with_times["lng_estacion"]) == (-34.5, -58.9)
+    assert (without["lat_estacion"], without["lng_estacion"]) == (-34.5, -58.9)
 
 
 def test_input_kinds(spark, make_trips):
