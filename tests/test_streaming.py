@@ -1,5 +1,7 @@
 """Streams against the batch result of the same function."""
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tests.conftest import FOLDER
@@ -58,3 +60,34 @@ def test_a_stream_reads_a_table_stored_as_a_folder(spark, tmp_path):
     spark.read.parquet(f"{FOLDER}/events.parquet").repartition(3).write.parquet(f"{tmp_path}/events.parquet")
     one, many = (live.drain(spark, live.live_counts(trip_stream(spark, f)), "complete") for f in (FOLDER, str(tmp_path)))
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect())) and one.count()
+
+
+def test_a_batch_that_fails_leaves_the_last_result(spark, monkeypatch):
+    base = work_path(spark, "failing")
+    day = lambda h: spark.sql(f"select timestamp_ntz'2024-01-01 {h}:00:00' as fecha_origen_recorrido, timestamp_ntz'2024-01-01 {h}:10:00' as fecha_destino_recorrido, 1L as id_estacion_origen, 2L as id_estacion_destino")
+    day(10).write.parquet(f"{base}/in")
+
+    def run():
+        stream = live.live_counts(spark.readStream.schema(day(10).schema).parquet(f"{base}/in"))
+        live.start_to_table(stream, f"{base}/out", f"{base}/log", "complete", once=True).awaitTermination()
+        return live.live_table(spark, f"{base}/out", stream.schema)
+
+    assert run().count() == 2
+    day(12).write.mode("append").parquet(f"{base}/in")
+    first, write = live.Versions.write, live.Versions.write
+
+    def fail(self, writer, *rest, **more):
+        def half(at):
+            writer(at)
+            raise RuntimeError("the disk is full")
+
+        return write(self, half, *rest, **more)
+
+    monkeypatch.setattr(live.Versions, "write", fail)
+    with pytest.raises(StreamingQueryException):
+        run()
+    monkeypatch.setattr(live.Versions, "write", first)
+    schema = live.live_counts(day(10)).schema
+    assert live.live_table(spark, f"{base}/out", schema).count() == 2  # the reader still has the first batch
+    assert run().count() == 4 and run().count() == 4  # the batch is run again, and once only
+    assert live.live_table(spark, f"{base}/nothing", schema).count() == 0

@@ -31,13 +31,17 @@ def demand_profile(train: DataFrame, y: str = TARGET) -> DataFrame:
 
 
 def predict_from_profile(df: DataFrame, train: DataFrame, y: str = TARGET) -> DataFrame:
-    """Mean of the same station, weekday and hour; the overall mean where there is none."""
+    """Mean of the same station, weekday and hour; the overall mean where there is none.
+
+    A station's means travel as one row, at most 168 of them, so the join is by station alone: tables clustered by station are
+    grouped and joined where they lie.
+    """
     overall = train.agg(F.avg(y))
-    return (
-        df.join(demand_profile(train, y), ["id_estacion", "dia_semana", "hora"], "left")
-        .withColumn(PREDICTED, F.coalesce("_media", overall.scalar()))
-        .drop("_media")
-    )
+    known = demand_profile(train, y).where("id_estacion is not null and dia_semana is not null and hora is not null")
+    entry = F.struct(F.struct("dia_semana", "hora"), "_media")
+    means = known.groupBy("id_estacion").agg(F.map_from_entries(F.collect_list(entry)).alias("_medias"))
+    mean = F.try_element_at("_medias", F.struct("dia_semana", "hora"))
+    return df.join(means, "id_estacion", "left").withColumn(PREDICTED, F.coalesce(mean, overall.scalar())).drop("_medias")
 
 
 # --- clusters of station coordinates ----------------------------------------

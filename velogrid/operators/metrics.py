@@ -57,10 +57,22 @@ def best_and_worst(metrics: DataFrame, n: int = 5, by: str = "r2", key: str = "i
     return best.unionByName(metrics.orderBy(F.asc(by), key).limit(n).withColumn("grupo", F.lit("peor")))
 
 
+def overfit_gap_of(rows: DataFrame, y: str = TARGET, p: str = PREDICTED) -> DataFrame:
+    """``overfit_gap`` of the parts of ``with_part``, in one pass."""
+    by_part = station_metrics(rows, y, p, by="parte").groupBy().agg(
+        *[F.max(F.when(F.col("parte") == part, F.struct("mse", "mae"))).alias(name) for part, name in (("train", "t"), ("val", "v"))]
+    )
+    return _gaps(by_part)
+
+
 def overfit_gap(train: DataFrame, val: DataFrame) -> DataFrame:
     """Train against validation error in percent of the latter; below -10 counts as overfit."""
     names = ("mse", "mae")
-    both = train.select(F.struct(*names).alias("t")).withColumn("v", val.select(F.struct(*names)).scalar())
+    return _gaps(train.select(F.struct(*names).alias("t")).withColumn("v", val.select(F.struct(*names)).scalar()))
+
+
+def _gaps(both: DataFrame) -> DataFrame:
+    names = ("mse", "mae")
     gaps = [(F.try_divide(F.col(f"t.{n}") - F.col(f"v.{n}"), F.col(f"v.{n}")) * 100).alias(f"brecha_{n}") for n in names]
     return both.select(*gaps).select(
         "*", *[F.when(F.col(f"brecha_{n}") < -10, "Overfitting").otherwise("OK").alias(f"estado_{n}") for n in names]

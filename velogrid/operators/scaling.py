@@ -40,6 +40,12 @@ def standardise(train: DataFrame, val: DataFrame, exclude=()) -> tuple[DataFrame
     return scale(train, stats, columns), scale(val, stats, columns)
 
 
+def standardise_parts(rows: DataFrame, exclude=()) -> DataFrame:
+    """Both parts of ``with_part``, scaled by the statistics of train: one pass for these, one for the rows."""
+    columns = scaled_columns(rows, exclude)
+    return scale(rows, scaler_stats(rows.where("parte = 'train'"), columns), columns)
+
+
 def activity_thresholds(train: DataFrame, share: float = 0.1) -> DataFrame:
     """The low quantile of departures and of arrivals, as one struct."""
     names = ["despachos_count", TARGET]

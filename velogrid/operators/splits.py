@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from velogrid.schemas import VAL_SEED
 
@@ -35,6 +36,12 @@ def training_part(grid: DataFrame, days: DataFrame, column: str = "timestamp") -
     return grid.join(right, on, "left_anti")
 
 
+def with_part(rows: DataFrame, days: DataFrame, column: str = "timestamp") -> DataFrame:
+    """``rows`` with ``parte``, 'val' on these days and else 'train', so that one scan serves both parts. Rows without a time are train, as in the split."""
+    right, on = _is_on(days, column)
+    return rows.join(right, on, "left").withColumn("parte", F.when(F.col("_dia").isNull(), "train").otherwise("val")).drop("_dia")
+
+
 def split_by_week(grid: DataFrame, seed: int = VAL_SEED, days: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(train, validation). The days are found from the dates alone, without the other columns."""
     days = validation_days(grid, seed) if days is None else days
@@ -46,12 +53,7 @@ def shared_days(train: DataFrame, val: DataFrame) -> DataFrame:
     return train.select(F.to_date("timestamp").alias("fecha")).intersect(val.select(F.to_date("timestamp").alias("fecha")))
 
 
-def month_shares(train: DataFrame, val: DataFrame) -> DataFrame:
-    """Rows per month and part, and the share of each part in all rows."""
-
-    def counted(df: DataFrame, part: str) -> DataFrame:
-        return df.groupBy(F.month("timestamp").alias("mes")).agg(F.count("*").alias("filas")).withColumn("parte", F.lit(part))
-
-    months = counted(train, "train").unionByName(counted(val, "val"))
-    total = months.agg(F.sum("filas"))
-    return months.withColumn("pct", F.col("filas") / total.scalar() * 100)
+def month_shares(rows: DataFrame) -> DataFrame:
+    """Rows per month and part, and the share of each part in all rows; ``rows`` as from ``with_part``."""
+    months = rows.groupBy(F.month("timestamp").alias("mes"), "parte").agg(F.count("*").alias("filas"))
+    return months.withColumn("pct", F.col("filas") / F.sum("filas").over(Window.partitionBy()) * 100)  # twelve rows a part at most

@@ -9,24 +9,40 @@ from pyspark.sql import functions as F
 
 from velogrid.operators.cleaning import clean_users, on_day, train_part, type_trips, valid_trips
 from velogrid.operators.comparison import compare_stations, model_performance
+from velogrid.operators.boosting import fit_patient_trees
 from velogrid.operators.columns import drop_prefixed
 from velogrid.operators.grid import station_grid
-from velogrid.operators.learning import fit_boosted_trees, predict
+from velogrid.operators.learning import predict
 from velogrid.operators.metrics import regression_metrics
 from velogrid.operators.scoring import input_kind, validate_input
-from velogrid.operators.splits import split_by_week
+from velogrid.operators.splits import split_by_week, validation_days
 from velogrid.schemas import BASE_FEATURES, TARGET
-from velogrid.session import staged
+from velogrid.stages import Stage, stage
 
 TEXT_COLUMNS = ["nombre_estacion", "direccion_estacion", "modelo_mas_comun"]
 
 
 @dataclass
 class Trained:
+    """A model and its metrics, which read the staged grid until ``close`` deletes it; ``with`` closes at the end."""
+
     model: object
     features: list[str]
     train_metrics: DataFrame
     val_metrics: DataFrame
+    best: int
+    errors: list[float]
+    staged: list[Stage]
+
+    def close(self) -> None:
+        while self.staged:
+            self.staged.pop().close()
+
+    def __enter__(self) -> Trained:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
 
 
 def training_grid(trips: DataFrame, users: DataFrame | None, until: tuple[int, int] = (2024, 8)) -> DataFrame:
@@ -39,19 +55,20 @@ def train(
     users: DataFrame | None,
     features: list[str] = BASE_FEATURES,
     until: tuple[int, int] = (2024, 8),
+    patience: int = 25,
     **learner,
 ) -> Trained:
-    """Grid, weekly split, boosted trees and their metrics. The grid is written once, to the
-    shared folder, as the fit and both evaluations read it."""
-    grid = staged(trips.sparkSession, training_grid(trips, users, until).select("timestamp", TARGET, *features), "grid")
-    part, val = split_by_week(grid)
-    model = fit_boosted_trees(part, val, features, **learner)
-    return Trained(
-        model,
-        features,
-        regression_metrics(predict(model, part, features)),
-        regression_metrics(predict(model, val, features)),
-    )
+    """Grid, weekly split, boosted trees that stop with patience, and their metrics.
+
+    The grid is a stage, clustered by station, as the fit and both evaluations read it. It stays for the lazy metrics; ``close`` the result.
+    """
+    rows = training_grid(trips, users, until).select("timestamp", TARGET, *features)
+    grid = stage(rows, "grid", "id_estacion" if "id_estacion" in features else None)
+    days = stage(validation_days(grid.read()), "days")
+    part, val = split_by_week(grid.read(), days=days.read())
+    fit = fit_patient_trees(part, val, features, patience=patience, **learner)
+    metrics = [regression_metrics(predict(fit.model, rows, features)) for rows in (part, val)]
+    return Trained(fit.model, features, *metrics, fit.best, fit.errors, [grid, days])
 
 
 def scoring_features(df: DataFrame, users: DataFrame | None = None, clean: bool = True, features: list[str] = BASE_FEATURES) -> DataFrame:

@@ -27,6 +27,7 @@ from velogrid.registry import parts
 from velogrid.schemas import BASE_FEATURES, TARGET, lag_columns
 from velogrid.session import staged, work_path
 from velogrid.sources import files, sinks, views
+from velogrid.stages import stage
 from velogrid.streaming import live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,10 +98,27 @@ def grid(spark: SparkSession, folder: str, lags: int = 0, **cut) -> DataFrame:
     return G.station_grid(valid(spark, folder), users(spark, folder), lags=lags, **cut)
 
 
+def staged_grid(spark: SparkSession, folder: str, lags: int = 0) -> DataFrame:
+    """The grid as a stage that queries share, clustered by station."""
+    return stage(grid(spark, folder, lags), "grid", "id_estacion", ("timestamp",)).read()
+
+
+def parts_and_days(spark: SparkSession, folder: str, columns: list[str] | None = None, lags: int = 0) -> tuple[DataFrame, DataFrame]:
+    """The staged grid, and its validation days as a stage of their own, a row per week."""
+    full = staged_grid(spark, folder, lags)
+    days = stage(W.validation_days(full), "days").read()
+    return full.select(*columns) if columns else full, days
+
+
 def split(spark: SparkSession, folder: str, columns: list[str] | None = None, lags: int = 0) -> tuple[DataFrame, DataFrame]:
-    """Train and validation rows. The grid is written once, as both parts and the days read it."""
-    full = grid(spark, folder, lags)
-    return W.split_by_week(staged(spark, full.select(*columns) if columns else full, "grid"))
+    """Train and validation rows."""
+    rows, days = parts_and_days(spark, folder, columns, lags)
+    return W.split_by_week(rows, days=days)
+
+
+def flagged(spark: SparkSession, folder: str, columns: list[str] | None = None, lags: int = 0) -> DataFrame:
+    """Both parts in one scan, told apart by ``parte``."""
+    return W.with_part(*parts_and_days(spark, folder, columns, lags))
 
 
 PRED_COLUMNS = [
@@ -623,8 +641,7 @@ def validation_days(spark, folder):
     ),
 )
 def training_and_validation_rows(spark, folder):
-    train, val = split(spark, folder, SLIM)
-    return train.withColumn("parte", F.lit("train")).unionByName(val.withColumn("parte", F.lit("val")))
+    return flagged(spark, folder, SLIM).select("parte", *SLIM)
 
 
 @query(
@@ -648,7 +665,7 @@ def days_in_both_parts(spark, folder):
     ),
 )
 def rows_per_month(spark, folder):
-    return W.month_shares(*split(spark, folder, ["timestamp"]))
+    return W.month_shares(flagged(spark, folder, ["timestamp"]))
 
 
 SCALED = ["id_estacion", "lat_estacion", "long_estacion", "despachos_count", "duracion_recorrido_mean", "duracion_recorrido_std",
@@ -684,9 +701,7 @@ def scaler_statistics(spark, folder):
     ),
 )
 def standardised_parts(spark, folder):
-    train, val = N.standardise(*split(spark, folder))
-    both = train.withColumn("parte", F.lit("train")).unionByName(val.withColumn("parte", F.lit("val")))
-    return both.select("parte", "timestamp", "hora", "mes", *SCALED)
+    return N.standardise_parts(flagged(spark, folder)).select("parte", "timestamp", "hora", "mes", *SCALED)
 
 
 @query(
@@ -788,8 +803,8 @@ def best_and_worst_stations(spark, folder):
     ),
 )
 def overfit_gap(spark, folder):
-    train, val = predicted(spark, folder)
-    return M.overfit_gap(M.regression_metrics(train), M.regression_metrics(val))
+    rows = flagged(spark, folder, PRED_COLUMNS)
+    return M.overfit_gap_of(L.predict_from_profile(rows, rows.where("parte = 'train'")))
 
 
 @query(
@@ -1262,9 +1277,9 @@ def station_ids(spark, folder):
 
 
 def _parts_for_learning(spark, folder, history: bool = False) -> tuple[DataFrame, DataFrame, list[str]]:
-    full = grid(spark, folder, 6 if history else 0)
+    full, days = parts_and_days(spark, folder, lags=6 if history else 0)
     names = feature_columns(full, history)
-    train, val = W.split_by_week(staged(spark, full.select("timestamp", TARGET, *names), "grid"))
+    train, val = W.split_by_week(full.select("timestamp", TARGET, *names), days=days)
     return train, val, names
 
 

@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from velogrid.session import work_path
+from velogrid.sources.versions import Versions
 
 LATENESS = "1 hour"
 WINDOW = "30 minutes"
 
+#: Versions of a complete result that stay.
+KEPT = 2
+
 
 def trip_ends(trips: DataFrame) -> DataFrame:
     """Two rows per trip: leaving its origin and reaching its destination."""
@@ -51,22 +56,37 @@ def live_kpis(counts: DataFrame) -> DataFrame:
 
 
 def start_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append", once: bool = False) -> StreamingQuery:
-    """Write a stream to a parquet table. ``append`` adds closed windows, with the sink's own
-    exactly-once log; ``complete`` replaces the table with the full result in every batch."""
+    """Write a stream to a parquet table. ``append`` adds closed windows, with the sink's own exactly-once log, to the folder ``path``.
+
+    ``complete`` writes the full result of every batch as a version of its own in ``path`` and then switches to it, so that readers (``live_table``)
+    always meet a whole result, and a batch that fails leaves the last one. ``KEPT`` versions stay, for those who are still reading. A batch that is
+    run again after a failure finds its number in the log and isn't written twice.
+    """
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if once:
         writer = writer.trigger(availableNow=True)
     if mode == "append":
         return writer.format("parquet").option("path", path).start()
 
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    def switch(batch: DataFrame, number: int) -> None:
+        versions = Versions(batch.sparkSession, path)
+        done = versions.current()
+        if done is None or done.info["batch"] < number:
+            versions.write(lambda at: batch.write.parquet(at), {"batch": number}, keep=KEPT)
+
+    return writer.foreachBatch(switch).start()
+
 
-    return writer.foreachBatch(replace).start()
+def live_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The last whole result of a ``complete`` stream; no rows before its first batch."""
+    now = Versions(spark, path).current()
+    return spark.createDataFrame([], schema) if now is None else spark.read.schema(schema).parquet(now.path)
 
 
 def drain(spark: SparkSession, stream: DataFrame, mode: str = "append") -> DataFrame:
     """Run a stream over all input available now and return its table."""
     base = work_path(spark, "stream")
     start_to_table(stream, f"{base}/table", f"{base}/checkpoint", mode, once=True).awaitTermination()
+    if mode == "complete":
+        return live_table(spark, f"{base}/table", stream.schema)
     return spark.read.schema(stream.schema).parquet(f"{base}/table")
