@@ -6,11 +6,15 @@ from dataclasses import dataclass
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from velogrid.operators.columns import prepare_features
+from velogrid.operators.learning import predict
 from velogrid.operators.metrics import PREDICTED
+from velogrid.operators.scaling import activity_thresholds, not_quiet
 from velogrid.schemas import BASE_FEATURES, TARGET
+from velogrid.sources.models import Saved, load_version, save_version
 from velogrid.stages import own_stages, stage
 
 SEED = 42
@@ -105,3 +109,41 @@ def _patient(fit_on: DataFrame, judge_on: DataFrame, rounds: int, patience: int,
         # Without a stop the bound on rounds ended the fit; without validation rows nothing judges it.
         best, last = stop or (errors.index(min(errors)) + 1 if errors else n, len(errors))
         return Patient(model if best == n else fit(best), errors[:last], best)
+
+
+# --- a model of the active intervals ----------------------------------------
+
+
+@dataclass
+class ActiveTrees:
+    """Trees fitted on the rows above the quiet thresholds of train, and these thresholds, which choose what is scored."""
+
+    model: GBTRegressionModel
+    features: list[str]
+    thresholds: dict[str, float]
+    errors: list[float]
+
+    def active(self, df: DataFrame) -> DataFrame:
+        return df.where(not_quiet({c: F.lit(v) for c, v in self.thresholds.items()}))
+
+    def score(self, df: DataFrame) -> DataFrame:
+        """The active rows of ``df`` with their prediction, whatever part they come from."""
+        return predict(self.model, self.active(df), self.features)
+
+    def save(self, folder: str, train: DataFrame, metrics: dict[str, float] | None = None) -> int:
+        return save_version(folder, self.model, train, self.features, metrics or {}, {"thresholds": self.thresholds, "errors": self.errors})
+
+    @classmethod
+    def load(cls, spark: SparkSession, folder: str, number: int | None = None) -> ActiveTrees:
+        saved: Saved = load_version(spark, folder, GBTRegressionModel, number)
+        return cls(saved.model, saved.features, saved.more["thresholds"], saved.more["errors"])
+
+
+def fit_active_trees(train: DataFrame, val: DataFrame, features: list[str] = BASE_FEATURES, share: float = 0.1, **learner) -> ActiveTrees:
+    """The thresholds are the ``share`` quantiles of departures and of arrivals in train; both parts are filtered by them."""
+    row = activity_thresholds(train, share).first()
+    low = {c: v for c, v in row["umbral"].asDict().items() if v is not None}
+    part, judge = (df.where(not_quiet({c: F.lit(v) for c, v in low.items()})) for df in (train, val))
+    options = {"depth": 6, "step": 0.1, "subsample": 1.0, "columns": "all"} | learner
+    fit = fit_patient_trees(part, judge, features, **options)
+    return ActiveTrees(fit.model, features, low, fit.errors)

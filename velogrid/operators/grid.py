@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from velogrid.functions.slots import slot_number, slot_of, slot_start, slot_time, with_calendar
 from velogrid.operators.columns import with_missing
-from velogrid.operators.enrich import add_users
+from velogrid.operators.enrich import add_users, add_users_balanced
 from velogrid.operators.stations import first_seen_stations
 from velogrid.schemas import (
     CALENDAR,
@@ -223,7 +223,7 @@ def station_grid(
     stretch: int = STRETCH,
     since: datetime | str | None = None,
     until: datetime | str | None = None,
-    salt: int = 1,
+    salt: int | None = 1,
 ) -> DataFrame:
     """The full feature grid: one row per timestamp and station.
 
@@ -237,7 +237,7 @@ def station_grid(
     ``since`` and ``until`` (both belong to the grid) cut it to a range: the rows are those of the full grid, but only
     trips that leave or arrive in the range or its lags are summed, by bounds on the two time columns that reach the
     scan where the trips store them. One trip dated decades away then adds no slots. ``salt`` splits the trips of
-    riders with a large share of all trips (see ``add_users``).
+    riders with a large share of all trips (see ``add_users``); with None such riders are found and split (``add_users_balanced``).
     """
     if lags >= stretch:
         raise ValueError("a stretch must be longer than the lags")
@@ -255,7 +255,8 @@ def station_grid(
         trips = trips.filter(_in_slots("fecha_origen_recorrido", low, high, 1, minutes) | _in_slots("fecha_destino_recorrido", low, high, 0, minutes))
     skeleton = _skeleton_slots(stations, span, lags, stretch)
     if users is not None:
-        trips = add_users(trips, users.select("id_usuario", "edad_usuario"), salt=salt)
+        ages = users.select("id_usuario", "edad_usuario")
+        trips = add_users_balanced(trips, ages) if salt is None else add_users(trips, ages, salt=salt)
     placed = _placed(slot_traffic(trips, minutes), lags, stretch)
 
     totals = {"estacion": "max(estacion)", "previos": "sum(previos)", **CELL_TOTALS}

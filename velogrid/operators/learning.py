@@ -3,7 +3,7 @@ one linear model per station."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -11,8 +11,9 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from velogrid.functions.numbers import at_least
 from velogrid.operators.columns import prepare_features
@@ -75,6 +76,11 @@ def add_clusters(df: DataFrame, lookup: DataFrame) -> DataFrame:
     )
 
 
+def cluster_sizes(df: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Rows per cluster; those whose coordinates have none count under -1."""
+    return add_clusters(df, lookup).groupBy("cluster_geo").agg(F.count("*").alias("filas"))
+
+
 # --- regressors -------------------------------------------------------------
 
 
@@ -179,6 +185,38 @@ def feature_importance(model, features: list[str], n: int | None = None) -> Data
     return table if n is None else table.limit(n)
 
 
+def shuffled(df: DataFrame, features: list[str], by: list[str], seed: int = SEED, digits: int = 2) -> DataFrame:
+    """``df`` with ``_s{i}``, the value that feature i has in the row that follows by hash; the last row of a bucket takes the first one's.
+
+    Rows are ordered by a hash of seed and ``by`` (their key) inside buckets of its first ``digits`` hex digits, so it is always the
+    same shuffle, and no task orders more than one row in 16**digits.
+    """
+    key = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in by]))
+    bucket = F.substring(key, 1, digits)
+    order = Window.partitionBy(bucket).orderBy(key)
+    first = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return df.withColumns({f"_s{i}": F.coalesce(F.lead(F.struct(f)).over(order), F.first(F.struct(f)).over(first))[f] for i, f in enumerate(features)})
+
+
+def permutation_importance(df: DataFrame, features: list[str], score: Callable[[DataFrame], DataFrame], by: list[str], y: str = TARGET, seed: int = SEED, digits: int = 2) -> DataFrame:
+    """(caracteristica, error, importancia): what a scorer's squared error gains when one feature is shuffled, the largest first.
+
+    Every row is scored once as it is and once per feature, in a single pass; ``score`` adds the prediction to any such rows.
+    """
+    rows = shuffled(df, features, by, seed, digits)
+    others = [c for c in df.columns if c not in features]
+
+    def variant(name: str | None) -> Column:
+        own = [F.col(f"_s{i}" if f == name else f).alias(f) for i, f in enumerate(features)]
+        return F.struct(F.lit(name or "").alias("_barajada"), *own)
+
+    many = rows.select(*others, F.inline(F.array(variant(None), *map(variant, features))))
+    error = score(many).groupBy("_barajada").agg(F.avg(F.pow(F.col(y) - F.col(PREDICTED), 2)).alias("error"))
+    base = F.max(F.when(F.col("_barajada") == "", F.col("error"))).over(Window.partitionBy())  # a row per feature
+    table = error.withColumn("importancia", F.col("error") - base).where("_barajada <> ''")
+    return table.select(F.col("_barajada").alias("caracteristica"), "error", "importancia").orderBy(F.desc("importancia"), "caracteristica")
+
+
 # --- one linear model per station -------------------------------------------
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velogrid.functions.quantiles import exact_percentiles_of
@@ -53,12 +56,17 @@ def activity_thresholds(train: DataFrame, share: float = 0.1) -> DataFrame:
     return found.select(F.struct(*[F.col(f"{c}.low").alias(c) for c in names]).alias("umbral"))
 
 
+def not_quiet(low: dict[str, Column]) -> Column:
+    """Rows above one of the thresholds at least. A row with a null count is neither quiet nor active; without thresholds nothing is quiet."""
+    quiet = [F.col(c) <= v for c, v in low.items()]
+    return ~reduce(and_, quiet) if quiet else F.lit(True)
+
+
 def active_intervals(df: DataFrame, train: DataFrame, share: float = 0.1) -> DataFrame:
     """Rows of ``df`` without those at or below both thresholds of ``train``, whatever their number.
 
     The thresholds join the plan as a scalar subquery, so nothing runs while a query is built. A row
     with a null count is neither quiet nor active and is dropped.
     """
-    low = F.col("_umbral")
-    quiet = (F.col("despachos_count") <= low["despachos_count"]) & (F.col(TARGET) <= low[TARGET])
-    return df.withColumn("_umbral", activity_thresholds(train, share).scalar()).filter(~quiet).drop("_umbral")
+    low = {c: F.col("_umbral")[c] for c in ("despachos_count", TARGET)}
+    return df.withColumn("_umbral", activity_thresholds(train, share).scalar()).filter(not_quiet(low)).drop("_umbral")

@@ -47,7 +47,7 @@ class Trained:
 
 def training_grid(trips: DataFrame, users: DataFrame | None, until: tuple[int, int] = (2024, 8)) -> DataFrame:
     """The model grid of the trips up to the cut month, names left out."""
-    return drop_prefixed(station_grid(train_part(trips, *until), users), TEXT_COLUMNS)
+    return drop_prefixed(station_grid(train_part(trips, *until), users, salt=None), TEXT_COLUMNS)
 
 
 def train(
@@ -85,7 +85,7 @@ def scoring_features(df: DataFrame, users: DataFrame | None = None, clean: bool
     if clean:
         trips = valid_trips(trips)
         users = None if users is None else clean_users(users)
-    return drop_prefixed(station_grid(trips, users, lags=6 if any("_prev" in f for f in features) else 0), TEXT_COLUMNS)
+    return drop_prefixed(station_grid(trips, users, salt=None, lags=6 if any("_prev" in f for f in features) else 0), TEXT_COLUMNS)
 
 
 def score(model, df: DataFrame, users: DataFrame | None = None, clean: bool = True, features: list[str] = BASE_FEATURES) -> DataFrame:

@@ -1337,7 +1337,7 @@ def station_clusters(spark, folder):
 def cluster_sizes(spark, folder):
     rows = grid(spark, folder).select("id_estacion", "lat_estacion", "long_estacion")
     lookup = L.cluster_lookup(L.fit_station_clusters(rows), rows)
-    return L.add_clusters(rows, lookup).groupBy("cluster_geo").agg(F.count("*").alias("filas"))
+    return L.cluster_sizes(rows, lookup)
 
 
 STATION_FEATURES = [f for f in BASE_FEATURES if f != "id_estacion"]
@@ -1503,6 +1503,9 @@ def live_kpis(spark, folder):
     return live.live_kpis(live.drain(spark, live.live_counts(trip_stream(spark, folder)), "complete"))
 
 
+from velogrid.registry import learners  # noqa: E402, F401  registers more queries; it needs the names above
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
