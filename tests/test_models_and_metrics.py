@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import FOLDER
-from velogrid.functions.quantiles import exact_percentiles, exact_percentiles_of
+from velogrid.functions.quantiles import ACCURACY, MARGIN, exact_percentiles, exact_percentiles_of
 from velogrid.operators import comparison as K
 from velogrid.operators import learning as L
 from velogrid.operators import metrics as M
@@ -32,6 +32,28 @@ def test_percentiles_of_nothing(spark):
     assert tuple(exact_percentiles(spark.createDataFrame([], "v double"), "v", {"m": 0.5}).first()) == (None,)
 
 
+@pytest.mark.parametrize("shape", ["spread", "ties", "mostly one", "two columns"])
+def test_percentiles_beyond_the_sketch(spark, shape):
+    """More values than the sketch keeps, so that ranks come from brackets."""
+    n = 200_000
+    x = {"spread": F.expr("cast(xxhash64(id) as double)"), "ties": F.expr("cast(pmod(xxhash64(id), 50) as double)"), "mostly one": F.expr("if(id % 3 = 0, id, 7D)"), "two columns": F.expr("if(id % 5 = 0, null, sqrt(id))")}[shape]
+    df = spark.range(n, numPartitions=7).select(x.alias("v"), F.expr("pmod(xxhash64(id, 1), 1000003) / 7D").alias("w"))
+    points = {"a": 0.0, "b": 0.001, "c": 0.25, "d": 0.5, "e": 0.50001, "f": 0.99, "g": 1.0}
+    got = exact_percentiles_of(df, ["v", "w"], points).first()
+    rows = df.collect()
+    for c in ("v", "w"):
+        known = [r[c] for r in rows if r[c] is not None]
+        for name, p in points.items():
+            assert got[c][name] == pytest.approx(np.percentile(known, p * 100), rel=1e-12, abs=1e-9), (c, name)
+
+
+def test_percentiles_rank_only_their_brackets(spark):
+    df = spark.range(200_000, numPartitions=4).select(F.col("id").cast("double").alias("v"))
+    plan = exact_percentiles(df, "v", {"m": 0.5})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (0, 200000") == 2 or plan.count("Reused") > 0
+    assert 1 / (2 * MARGIN / ACCURACY) > 3000
+
+
 def test_weekly_split(spark):
     days = spark.sql("select explode(sequence(date'2024-12-16', date'2025-01-12')) as d").selectExpr("cast(d as timestamp_ntz) as timestamp")
     chosen = [r["fecha"] for r in W.validation_days(days).collect()]

@@ -1,66 +1,84 @@
-"""Exact percentiles without gathering the values in one task."""
+"""Exact percentiles without gathering the values in one task: sketched brackets, then ranks inside them."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS = 128  # a power of two: buckets are found by halving
+#: The sketch errs by one in so many ranks at most, and a bracket reaches so many times further.
+ACCURACY, MARGIN = 20_000, 3
 
 
-def exact_percentiles_of(df: DataFrame, columns: list[str], points: dict[str, float]) -> DataFrame:
-    """One row with a struct per column: a linearly interpolated percentile per name in ``points``.
+def brackets(columns: dict[str, Column], points: dict[str, float]) -> Column:
+    """An aggregate: per column its number of values, and below and above every wanted percentile a value of the sketch.
+
+    It can stand in one aggregate with other figures of the same rows.
+    """
+    shift = MARGIN / ACCURACY
+    shares = [q for p in points.values() for q in (max(0.0, p - shift), min(1.0, p + shift))]
+
+    def bracket(x: Column) -> Column:
+        x = x.cast("double")
+        return F.struct(F.count(x).alias("rows"), F.percentile_approx(x, shares, ACCURACY).alias("cuts"))
+
+    return F.struct(*[bracket(x).alias(c) for c, x in columns.items()])
+
 
-    One pass counts the equal values of all columns. The distinct values of a column are cut into
-    ``BUCKETS`` ranges of about the same size, whose totals tell which ranges hold the wanted ranks. Those
-    ranges are cut once more in the same way, and only the parts that hold the ranks are ranked, each
-    for itself, so a task ranks about one value in ``BUCKETS`` squared. The tables of ranges
-    are the only thing ordered as a whole.
+def _ends(points: dict[str, float]) -> list[tuple[str, str]]:
+    """SQL for the lower and upper end of each bracket of ``cuts``; open where the bracket reaches the least or largest value."""
+    shift, out = MARGIN / ACCURACY, []
+    for i, p in enumerate(points.values()):
+        low = "double('-infinity')" if p - shift <= 0 else f"get(cuts, {2 * i})"
+        high = "double('nan')" if p + shift >= 1 else f"get(cuts, {2 * i + 1})"  # nothing is above nan
+        out.append((low, high))
+    return out
+
+
+def within_brackets(df: DataFrame, columns: dict[str, Column], points: dict[str, float], first: DataFrame, cuts: str) -> DataFrame:
+    """One row with a struct per column: a linearly interpolated percentile per name in ``points``, and ``first`` as ``_first``.
+
+    ``first`` is one row of one struct, whose field ``cuts`` is the ``brackets`` of the same rows; it joins the plan as a scalar subquery. One
+    pass counts what lies between brackets and the equal values inside them; only the latter are ranked, each bracket for itself, so
+    a task ranks about one value in 3000. The sketch's error is bounded, so a wanted rank lies in its bracket; should one ever not,
+    the query fails rather than return another value.
     """
-    named = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("x")) for c in columns])
-    values = df.select(F.inline(named)).filter("x is not null").groupBy("c", "x").agg(F.count("*").alias("n"))
-    sizes = values.groupBy("c").agg(F.sum("n").alias("rows"))
-    # At most a row per column.
-    values = values.join(F.broadcast(sizes), "c").selectExpr("c", "x", "n", "rows", "0 as part", "0L as before", "0 as bucket")
-    ranks = [f"{side}((rows - 1) * {float(p)}D)" for p in points.values() for side in ("floor", "ceil")]
-    holds = " or ".join(f"({r} >= before and {r} < before + size)" for r in ranks)
-    for _ in range(2):
-        values = _narrow(values, holds)
-    ranked = values.withColumn("stop", F.expr("before + sum(n) over (partition by c, part, bucket order by x)"))
-    ranked = ranked.selectExpr("c", "x", "rows", "stop", "stop - n as start")
+    known = first.scalar()
+    one = [F.struct(F.lit(c).alias("c"), x.cast("double").alias("x"), F.col(f"_first.{cuts}.{c}.cuts").alias("cuts")) for c, x in columns.items()]
+    rows = df.withColumn("_first", known).select(F.inline(F.array(*one))).where("x is not null")
+    ends = _ends(points)
+    # Grows with x; a value is inside a bracket where it has passed more lower than upper ends.
+    lower = " + ".join(f"if(x >= {low}, 1, 0)" for low, _ in ends)
+    upper = " + ".join(f"if(x > {high}, 1, 0)" for _, high in ends)
+    placed = rows.selectExpr("c", "x", f"{lower} as lower", f"{upper} as upper")
+    counts = placed.selectExpr("c", "lower + upper as region", "if(lower > upper, x, null) as x").groupBy("c", "region", "x").agg(F.count("*").alias("n"))
+    sizes = counts.groupBy("c", "region").agg(F.sum("n").alias("size"))
+    before = sizes.selectExpr("c", "region", "sum(size) over (partition by c order by region) - size as before")
+    # Two rows at most per wanted percentile and column, and one more.
+    ranked = counts.where("x is not null").join(F.broadcast(before), ["c", "region"])
+    ranked = ranked.selectExpr("c", "x", "n", "before + sum(n) over (partition by c, region order by x) as stop").withColumn("_first", known)
 
     def value_at(column: str, rank: str) -> str:
-        return f"max(case when c = '{column}' and start <= {rank} and {rank} < stop then x end)"
+        return f"max(case when c = '{column}' and stop - n <= {rank} and {rank} < stop then x end)"
 
     out = []
     for c in columns:
         found = []
         for name, p in points.items():
-            place = f"((rows - 1) * {float(p)}D)"
+            place = f"((_first.{cuts}.`{c}`.rows - 1) * {float(p)}D)"
             low, high = value_at(c, f"floor{place}"), value_at(c, f"ceil{place}")
             over = f"max(case when c = '{c}' then {place} - floor{place} end)"
-            found.append(F.expr(f"{low} + ({high} - {low}) * {over}").alias(name))
+            value = F.expr(f"{low} + ({high} - {low}) * {over}")
+            outside = F.expr(f"count_if(c = '{c}') > 0") & value.isNull()
+            found.append(F.when(outside, F.raise_error(F.lit(f"a percentile of {c} lies outside its bracket")).cast("double")).otherwise(value).alias(name))
         out.append(F.struct(*found).alias(c))
-    return ranked.agg(*out)
-
-
-def _narrow(values: DataFrame, holds: str) -> DataFrame:
-    """Only the values in the ranges that hold a wanted rank. ``before`` counts the rows below a value's range."""
-    cuts = ", ".join(str(i / BUCKETS) for i in range(1, BUCKETS))
-    bounds = values.groupBy("c", "part", "bucket").agg(F.expr(f"percentile_approx(x, array({cuts}), 10000)").alias("bounds"))
-    # A row per range that is still open: at most two per wanted rank and column.
-    ranged = values.join(F.broadcast(bounds), ["c", "part", "bucket"]).selectExpr(
-        "c", "x", "n", "rows", "before", f"part * {BUCKETS} + bucket as part", "bounds", "0 as bucket"
-    )
-    step = BUCKETS // 2
-    while step:
-        cut = f"bucket + if(get(bounds, bucket + {step - 1}) <= x, {step}, 0) as bucket"
-        ranged = ranged.selectExpr("c", "x", "n", "rows", "before", "part", "bounds", cut)
-        step //= 2
-    totals = ranged.groupBy("c", "part", "bucket").agg(F.sum("n").alias("size"), F.max("rows").alias("rows"), F.max("before").alias("base"))
-    below = totals.selectExpr("c", "part", "bucket", "rows", "size", "base + sum(size) over (partition by c, part order by bucket) - size as before")
-    kept = below.filter(holds).drop("rows", "size")
-    return ranged.drop("bounds", "before").join(F.broadcast(kept), ["c", "part", "bucket"])  # as many rows
+    return ranked.agg(*out).withColumn("_first", known)
+
+
+def exact_percentiles_of(df: DataFrame, columns: list[str], points: dict[str, float]) -> DataFrame:
+    """One row with a struct per column: a linearly interpolated percentile per name in ``points``; null for a column without values."""
+    named = {c: F.col(f"`{c}`") for c in columns}
+    first = df.agg(F.struct(brackets(named, points).alias("cuts")))
+    return within_brackets(df, named, points, first, "cuts").select(*[F.col(f"`{c}`") for c in columns])
 
 
 def exact_percentiles(df: DataFrame, column: str, points: dict[str, float]) -> DataFrame:

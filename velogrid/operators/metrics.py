@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velogrid.functions.quantiles import exact_percentiles
+from velogrid.functions.quantiles import brackets, within_brackets
 from velogrid.schemas import TARGET
 
 PREDICTED = "arribos_predichos"
@@ -30,21 +30,20 @@ def _basic(y: str, p: str) -> list[Column]:
 
 
 def regression_metrics(df: DataFrame, y: str = TARGET, p: str = PREDICTED) -> DataFrame:
-    """One row: mse, mae, rmse, r2 and the mean, median and largest absolute error."""
-    size = F.abs(F.col(y).cast("double") - F.col(p))
-    median = exact_percentiles(df.select(size.alias("e")), "e", {"mediana": 0.5})
-    return (
-        df.agg(*_basic(y, p), F.max(size).alias("error_maximo"))
-        .withColumn("error_mediano", median.scalar())
-        .select(
-            "mse",
-            "mae",
-            F.sqrt("mse").alias("rmse"),
-            "r2",
-            F.col("mae").alias("error_promedio"),
-            "error_mediano",
-            "error_maximo",
-        )
+    """One row: mse, mae, rmse, r2 and the mean, median and largest absolute error.
+
+    Two passes over the rows: all sums with the brackets of the median, and the ranks inside the bracket.
+    """
+    size, half = {"e": F.abs(F.col(y).cast("double") - F.col(p))}, {"mediana": 0.5}
+    first = df.agg(F.struct(*_basic(y, p), F.max(size["e"]).alias("error_maximo"), brackets(size, half).alias("cuts")))
+    return within_brackets(df, size, half, first, "cuts").select(
+        "_first.mse",
+        "_first.mae",
+        F.sqrt("_first.mse").alias("rmse"),
+        "_first.r2",
+        F.col("_first.mae").alias("error_promedio"),
+        F.col("e.mediana").alias("error_mediano"),
+        "_first.error_maximo",
     )
 
 
