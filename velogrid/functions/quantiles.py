@@ -50,11 +50,13 @@ def within_brackets(df: DataFrame, columns: dict[str, Column], points: dict[str,
     lower = " + ".join(f"if(x >= {low}, 1, 0)" for low, _ in ends)
     upper = " + ".join(f"if(x > {high}, 1, 0)" for _, high in ends)
     placed = rows.selectExpr("c", "x", f"{lower} as lower", f"{upper} as upper")
-    counts = placed.selectExpr("c", "lower + upper as region", "if(lower > upper, x, null) as x").groupBy("c", "region", "x").agg(F.count("*").alias("n"))
-    sizes = counts.groupBy("c", "region").agg(F.sum("n").alias("size"))
-    before = sizes.selectExpr("c", "region", "sum(size) over (partition by c order by region) - size as before")
+    counts = placed.selectExpr("c", "lower + upper as region", "if(lower > upper, x, null) as x", "lower > upper as inside")
+    # ``inside`` is an aggregate, and both readers need it, so that they share the shuffled counts.
+    counts = counts.groupBy("c", "region", "x").agg(F.count("*").alias("n"), F.max("inside").alias("inside"))
+    sizes = counts.groupBy("c", "region").agg(F.sum("n").alias("size"), F.max("inside").alias("held"))
+    before = sizes.selectExpr("c", "region", "held", "sum(size) over (partition by c order by region) - size as before")
     # Two rows at most per wanted percentile and column, and one more.
-    ranked = counts.where("x is not null").join(F.broadcast(before), ["c", "region"])
+    ranked = counts.where("inside").join(F.broadcast(before), ["c", "region"]).where("held")
     ranked = ranked.selectExpr("c", "x", "n", "before + sum(n) over (partition by c, region order by x) as stop").withColumn("_first", known)
 
     def value_at(column: str, rank: str) -> str:
