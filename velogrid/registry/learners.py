@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from velogrid.operators import boosting as B
 from velogrid.operators import enrich as E
 from velogrid.operators import learning as L
-from velogrid.operators import scaling as N
+from velogrid.operators import leafwise as W
 from velogrid.operators.columns import drop_prefixed
 from velogrid.registry import parts
-from velogrid.registry.queries import SLIM, b, flagged, grid, parts_and_days, query, r, split, staged_grid, users, valid
+from velogrid.registry.queries import GROUP_MEANS, SLIM, _by_weekend, b, query, split, staged_grid, users, valid
 from velogrid.schemas import BASE_FEATURES, TARGET
 from velogrid.session import work_path
 from velogrid.sources.models import load_version, save_version
@@ -69,6 +69,55 @@ def patience_checks(spark, folder):
     return out.toDF("prueba", "valor")
 
 
+# --- trees grown leaf by leaf -----------------------------------------------
+
+
+@query("leafwise_tree_of_one_flag", parts.sql(["train", "val"], GROUP_MEANS), digits=4)
+def leafwise_tree_of_one_flag(spark, folder):
+    """One split over all rows predicts the group means."""
+    train, val = split(spark, folder, [*SLIM, "es_fin_semana"])
+    return _by_weekend(W.fit_leafwise_trees(train, None, ["es_fin_semana"], rounds=1, leaves=2, step=1.0).predict(val))
+
+
+FIRST = ["es_fin_semana", "dia_semana", "hora"]
+_CUTS = " union all ".join(f"select {i} as f, '{c}' as c, cast({c} as bigint) as x, count(*) as n, sum(arribos_count - (select avg(arribos_count) from train)) as s from train group by 3" for i, c in enumerate(FIRST))
+
+
+@query(
+    "leafwise_first_split",
+    parts.sql(
+        ["train"],
+        f"""select c as caracteristica, cast(x as double) as umbral, cast(l as bigint) as filas_izquierda, cast(t - l as bigint) as filas_derecha, round(gain, 4) as ganancia from (
+  select *, g * g / l + (w - g) * (w - g) / (t - l) - w * w / t as gain from (
+    select *, sum(n) over k as l, sum(s) over k as g, sum(n) over (partition by f) as t, sum(s) over (partition by f) as w from ({_CUTS}) window k as (partition by f order by x))
+  where l < t) order by gain desc, f, x limit 1""",
+    ),
+    digits=4,
+)
+def leafwise_first_split(spark, folder):
+    """The split with the largest gain of all features and values."""
+    train, _ = split(spark, folder, ["timestamp", TARGET, *FIRST])
+    (tree,) = W.fit_leafwise_trees(train, None, FIRST, rounds=1, leaves=2, step=1.0, bins=256, least=1).trees
+    row = (tree.feature, float(tree.threshold), tree.left.rows, tree.right.rows, float(tree.gain))
+    return spark.createDataFrame([row], "caracteristica string, umbral double, filas_izquierda bigint, filas_derecha bigint, ganancia double")
+
+
+@query(
+    "leafwise_checks",
+    parts.sql(["val"], "select count(*) as filas, cast(0 as bigint) as nulos, cast(0 as bigint) as negativos, cast(0 as bigint) as distintos, true as mejor_que_la_media from val"),
+)
+def leafwise_checks(spark, folder):
+    """All validation rows scored by trees on the plain features, also after the model went through JSON; on train closer than the plain mean."""
+    train, val = split(spark, folder, ["timestamp", TARGET, *BASE_FEATURES])
+    model = W.fit_leafwise_trees(train, val, rounds=3, leaves=6, step=0.3, bins=32)
+    again = W.LeafwiseModel.of_json(model.to_json())
+    key = ["timestamp", "id_estacion"]
+    both = model.predict(val).join(again.predict(val).select(*key, F.col("arribos_predichos").alias("otra")), key)
+    p = F.col("arribos_predichos")
+    better = model.predict(train).agg((F.avg(F.pow(F.col(TARGET) - p, 2)) < F.var_pop(TARGET)).alias("x")).scalar()
+    return both.agg(F.count("*").alias("filas"), F.count_if(p.isNull()).alias("nulos"), F.count_if(p < 0).alias("negativos"), F.count_if(~p.eqNullSafe(F.col("otra"))).alias("distintos")).withColumn("mejor_que_la_media", better)
+
+
 # --- active intervals, saved models -----------------------------------------
 
 _QUIET = """not (despachos_count <= (select quantile_cont(despachos_count, 0.97) from train)
