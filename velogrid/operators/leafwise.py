@@ -4,12 +4,17 @@ The rows are binned once. A tree starts as one leaf; a queue holds every leaf's
 the tree has its leaves or nothing gains. Both children's histograms (sums and counts by feature and bin) come from one
 aggregate over the rows of the split leaf, which combines before its shuffle, so what reaches the driver is a row
 per feature and bin. Trees are nested conditions on columns: scoring stays inside the JVM.
+
+Two losses: the squared one, and that of a Poisson count with a log link, where trees add to the logarithm of the expected count and a leaf's
+value is a Newton step, the sum of the residuals by the sum of the expected counts.
 """
 
 from __future__ import annotations
 
 import heapq
 import json
+import math
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +22,7 @@ from pyspark.sql import functions as F
 
 from velogrid.functions.numbers import at_least
 from velogrid.operators.boosting import patient_stop
+from velogrid.operators.learning import require_non_negative
 from velogrid.operators.metrics import PREDICTED
 from velogrid.schemas import BASE_FEATURES, TARGET
 from velogrid.stages import Stage, stage
@@ -25,6 +31,22 @@ from velogrid.stages import Stage, stage
 REFRESH = 8
 
 
+@dataclass(frozen=True)
+class Loss:
+    """What the sum of trees stands for: the mean from it, the weight of a row in a Newton step, a row's error, and the sum for a mean."""
+
+    mean: Callable[[Column], Column]
+    weight: Callable[[Column], Column]
+    error: Callable[[Column, Column], Column]
+    link: Callable[[float], float]
+
+
+LOSSES = {
+    "squared": Loss(lambda p: p, lambda p: F.lit(1.0), lambda y, p: F.pow(y - p, 2), lambda m: m),
+    "poisson": Loss(F.exp, F.exp, lambda y, p: F.exp(p) - y * p, lambda m: math.log(max(m, 1e-12))),
+}
+
+
 @dataclass
 class Node:
     """A leaf with a value, or a split: rows with ``feature <= threshold`` go left."""
@@ -69,6 +91,7 @@ class LeafwiseModel:
     base: float
     trees: list[Node]
     errors: list[float] = field(default_factory=list)  # of the validation rows, after each round up to the stop
+    loss: str = "squared"
 
     def predict(self, df: DataFrame) -> DataFrame:
         """``df`` with the clipped prediction; a missing feature counts as 0."""
@@ -78,7 +101,7 @@ class LeafwiseModel:
                 total = total + tree.expression(lambda n: value_of(df, n.feature) <= n.threshold, lambda n: F.lit(n.value))
             df = df.withColumn(PREDICTED, total)
             total = F.col(PREDICTED)
-        return df.withColumn(PREDICTED, at_least(total, 0.0))
+        return df.withColumn(PREDICTED, at_least(LOSSES[self.loss].mean(total), 0.0))
 
     def importances(self) -> dict[str, float]:
         """The gain of all splits by feature."""
@@ -89,12 +112,12 @@ class LeafwiseModel:
         return out
 
     def to_json(self) -> str:
-        return json.dumps({"features": self.features, "base": self.base, "trees": [t.plain() for t in self.trees], "errors": self.errors})
+        return json.dumps({"features": self.features, "base": self.base, "trees": [t.plain() for t in self.trees], "errors": self.errors, "loss": self.loss})
 
     @classmethod
     def of_json(cls, text: str) -> LeafwiseModel:
         d = json.loads(text)
-        return cls(d["features"], d["base"], [Node.of(t) for t in d["trees"]], d["errors"])
+        return cls(d["features"], d["base"], [Node.of(t) for t in d["trees"]], d["errors"], d["loss"])
 
 
 def value_of(df: DataFrame, feature: str) -> Column:
@@ -121,20 +144,24 @@ def binned(df: DataFrame, cuts: dict[str, list[float]], y: str) -> DataFrame:
     return df.where(F.col(y).isNotNull()).select(F.col(y).cast("double").alias("y"), F.array(*[bin_of(f) for f in cuts]).alias("bins"))
 
 
-def best_split(histogram: list[dict[int, tuple[float, int]]], ridge: float, least: int) -> tuple[float, int, int] | None:
-    """(gain, feature, bin) of the best cut of a leaf, given per feature the sum and count of each bin; ties go to the first feature and bin.
+#: Of a bin: the sum of residuals, the sum of weights, and the number of rows.
+Sums = tuple[float, float, int]
+
+
+def best_split(histogram: list[dict[int, Sums]], ridge: float, least: int) -> tuple[float, int, int] | None:
+    """(gain, feature, bin) of the best cut of a leaf, given per feature the sums of each bin; ties go to the first feature and bin.
 
-    Sums are compared after rounding to nine digits, as the order in which Spark adds must not decide.
+    Gains are compared after rounding to nine digits, as the order in which Spark adds must not decide.
     """
     best = None
     for f, bins in enumerate(histogram):
-        total, n = sum(s for s, _ in bins.values()), sum(k for _, k in bins.values())
-        left, rows = 0.0, 0
+        total, weight, n = (sum(x) for x in zip(*bins.values(), strict=True)) if bins else (0.0, 0.0, 0)
+        left, light, rows = 0.0, 0.0, 0
         for b in sorted(bins)[:-1]:
-            left, rows = left + bins[b][0], rows + bins[b][1]
+            left, light, rows = left + bins[b][0], light + bins[b][1], rows + bins[b][2]
             if rows < least or n - rows < least:
                 continue
-            gain = left**2 / (rows + ridge) + (total - left) ** 2 / (n - rows + ridge) - total**2 / (n + ridge)
+            gain = left**2 / (light + ridge) + (total - left) ** 2 / (weight - light + ridge) - total**2 / (weight + ridge)
             if gain > 1e-9 and (best is None or round(gain, 9) > round(best[0], 9)):
                 best = (gain, f, b)
     return best
@@ -145,15 +172,15 @@ def _go_left(features: list[str]):
 
 
 def grow_tree(rows: DataFrame, features: list[str], cuts: dict[str, list[float]], leaves: int, step: float, ridge: float, least: int) -> Node:
-    """One tree on ``rows`` (g, bins), g the residual."""
+    """One tree on ``rows`` (g, h, bins), g the residual and h the weight."""
 
-    def histograms(root: Node, wanted: list[Node]) -> list[list[dict[int, tuple[float, int]]]]:
+    def histograms(root: Node, wanted: list[Node]) -> list[list[dict[int, Sums]]]:
         at = {id(n): i for i, n in enumerate(wanted)}
         place = root.expression(_go_left(features), lambda n: F.lit(at.get(id(n), -1)))
-        many = rows.select("g", "bins", place.alias("leaf")).where("leaf >= 0").select("g", "leaf", F.posexplode("bins").alias("feature", "bin"))
+        many = rows.select("g", "h", "bins", place.alias("leaf")).where("leaf >= 0").select("g", "h", "leaf", F.posexplode("bins").alias("feature", "bin"))
         out = [[{} for _ in features] for _ in wanted]
-        for r in many.groupBy("leaf", "feature", "bin").agg(F.sum("g").alias("s"), F.count("*").alias("n")).collect():  # a row per feature and bin
-            out[r["leaf"]][r["feature"]][r["bin"]] = (r["s"], r["n"])
+        for r in many.groupBy("leaf", "feature", "bin").agg(F.sum("g").alias("s"), F.sum("h").alias("w"), F.count("*").alias("n")).collect():  # a row per feature and bin
+            out[r["leaf"]][r["feature"]][r["bin"]] = (r["s"], r["w"], r["n"])
         return out
 
     root, queue, made = Node(), [], 0
@@ -162,8 +189,8 @@ def grow_tree(rows: DataFrame, features: list[str], cuts: dict[str, list[float]]
         nonlocal made
         for node, found in zip(nodes, histograms(root, nodes), strict=True):
             sums = found[0].values() if found else []
-            total, node.rows = sum(s for s, _ in sums), sum(k for _, k in sums)
-            node.value = step * total / (node.rows + ridge) if node.rows else 0.0
+            total, weight, node.rows = (sum(x) for x in zip(*sums, strict=True)) if sums else (0.0, 0.0, 0)
+            node.value = step * total / (weight + ridge) if node.rows else 0.0
             split = best_split(found, ridge, least)
             if split:
                 heapq.heappush(queue, (-round(split[0], 9), made, node, split))
@@ -190,10 +217,19 @@ def fit_leafwise_trees(
     least: int = 20,
     patience: int = 25,
     y: str = TARGET,
+    loss: str = "squared",
 ) -> LeafwiseModel:
-    """Squared-loss trees of up to ``leaves`` leaves with at least ``least`` rows each; with ``val`` the fit stops with patience and keeps its best prefix."""
+    """Trees of up to ``leaves`` leaves with at least ``least`` rows each; with ``val`` the fit stops with patience and keeps its best prefix.
+
+    ``loss`` is "squared" or "poisson"; the latter needs a target without negative values.
+    """
+    of = LOSSES[loss]
+    if loss == "poisson":
+        for part in (train, val):
+            if part is not None:
+                require_non_negative(part, y)
     cuts = cut_points(train.where(F.col(y).isNotNull()), features, bins)
-    base = train.agg(F.avg(F.col(y).cast("double"))).first()[0] or 0.0
+    base = of.link(train.agg(F.avg(F.col(y).cast("double"))).first()[0] or 0.0)
     parts = [binned(p, cuts, y) for p in (train, val) if p is not None]
     tagged = parts[0].withColumn("judge", F.lit(False))
     if val is not None:
@@ -213,14 +249,14 @@ def fit_leafwise_trees(
                 old, held, fresh = held, stage(now, "bins"), len(trees)
                 old.close()
                 now = held.read()
-            rest = now.where("not judge").select((F.col("y") - F.col("p")).alias("g"), "bins")
+            rest = now.where("not judge").select((F.col("y") - of.mean(F.col("p"))).alias("g"), of.weight(F.col("p")).alias("h"), "bins")
             tree = grow_tree(rest, features, cuts, leaves, step, ridge, least)
             if tree.feature is None:
                 break  # nothing gains any more
             trees.append(tree)
             if val is not None:
                 after = F.col("p") + tree.expression(_go_left(features), lambda n: F.lit(n.value))
-                error = now.where("judge").agg(F.avg(F.pow(F.col("y") - after, 2))).first()[0]
+                error = now.where("judge").agg(F.avg(of.error(F.col("y"), after))).first()[0]
                 if error is not None:
                     errors.append(error)
                 if patient_stop(errors, patience):
@@ -230,4 +266,4 @@ def fit_leafwise_trees(
     best = errors.index(min(errors)) + 1 if errors else len(trees)
     if errors and (stop := patient_stop(errors, patience)):
         best = stop[0]
-    return LeafwiseModel(list(features), base, trees[:best], errors)
+    return LeafwiseModel(list(features), base, trees[:best], errors, loss)

@@ -79,6 +79,13 @@ def leafwise_tree_of_one_flag(spark, folder):
     return _by_weekend(W.fit_leafwise_trees(train, None, ["es_fin_semana"], rounds=1, leaves=2, step=1.0).predict(val))
 
 
+@query("poisson_trees_of_one_flag", parts.sql(["train", "val"], GROUP_MEANS), digits=4)
+def poisson_trees_of_one_flag(spark, folder):
+    """Newton steps on a count's loss come to the group means, here within a few rounds."""
+    train, val = split(spark, folder, [*SLIM, "es_fin_semana"])
+    return _by_weekend(W.fit_leafwise_trees(train, None, ["es_fin_semana"], rounds=5, leaves=2, step=1.0, loss="poisson").predict(val))
+
+
 FIRST = ["es_fin_semana", "dia_semana", "hora"]
 _CUTS = " union all ".join(f"select {i} as f, '{c}' as c, cast({c} as bigint) as x, count(*) as n, sum(arribos_count - (select avg(arribos_count) from train)) as s from train group by 3" for i, c in enumerate(FIRST))
 
