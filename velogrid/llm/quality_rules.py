@@ -131,17 +131,30 @@ def certified_cutoffs(holdout: DataFrame, risk: float = 0.02, error: float = 0.0
     return tests.groupBy("stratum", "measure").agg(F.max_by("cutoff", "i").alias("cutoff"))
 
 
+def independent(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The labelled ``rows``, one for each text of a stratum, with its ``quality``; without ids and texts that are labelled both ways."""
+    agreed = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other"))
+    labelled = rows.join(agreed.where("quality = other").drop("other"), "doc_id")
+    # All other columns follow from the text and its stratum.
+    same = [c for c in rows.columns if c not in ("doc_id", "stratum", "text_hash", "text_check")]
+    once = labelled.groupBy("stratum", "text_hash", "text_check").agg(F.min("quality").alias("quality"), F.max("quality").alias("other"), *[F.min(c).alias(c) for c in same])
+    return once.where("quality = other").drop("other")
+
+
 def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.02, error: float = 0.05) -> DataFrame:
     """(doc_id, the measures, base_failed, kept) per row of ``docs`` (doc_id, text and ``stratum``).
 
     ``labels`` is (doc_id, quality). A row fails the base rules with under 20 words or over 30 % repeated ones; else it is kept unless
     a certified cutoff of its stratum rejects it. Strata without enough good labelled documents have no
-    cutoffs, so nothing of theirs is rejected; a null stratum is one of its own. Labels of equal ids each count; null ids join nothing.
+    cutoffs, so nothing of theirs is rejected; a null stratum is one of its own. The bounds need independent draws, so the holdout has
+    every text of a stratum once: repeated labels and exact copies count as one, ids or texts whose labels contradict each other not at all,
+    and null ids and labels join nothing. The guarantee covers documents that pass the base rules.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"))
+    rows = rows.withColumns({"text_hash": F.xxhash64("text"), "text_check": F.xxhash64(F.lit(1), "text")})
     rows = staged(spark, measures(rows).drop("text"), "measures")
-    cutoffs = certified_cutoffs(rows.join(labels.select("doc_id", "quality"), "doc_id"), risk, error)
+    cutoffs = certified_cutoffs(independent(rows, labels), risk, error)
     wide = cutoffs.groupBy("stratum").agg(*[F.max(F.when(F.col("measure") == m, F.col("cutoff"))).alias(f"cut_{m}") for m in CUTOFFS])
     wide = staged(spark, wide, "cutoffs")
     beyond = F.lit(False)
