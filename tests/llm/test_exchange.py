@@ -34,6 +34,10 @@ def test_blocks_are_cut_by_bytes_and_rows(monkeypatch):
     batch = pa.RecordBatch.from_pydict({"text": ["a" * n for n in (1, 1, 1, 1, 1, 9, 30, 2, 2)]})
     got = [b.column("text").to_pylist() for b in exchange.blocks([batch], exchange.text_sizes, 10)]
     assert [[len(x) for x in b] for b in got] == [[1, 1, 1, 1], [1, 9], [30], [2, 2]]
+    for n in (1, 2, 5):  # blocks don't depend on how rows came in batches
+        parts = [batch.slice(i, n) for i in range(0, batch.num_rows, n)]
+        assert [b.column("text").to_pylist() for b in exchange.blocks(parts, exchange.text_sizes, 10)] == got
+    assert list(exchange.blocks([batch.slice(0, 0)], exchange.text_sizes, 10)) == []
 
 
 def test_the_number_of_buckets_follows_the_bytes(spark):

@@ -28,8 +28,8 @@ ARROW_PARCEL = pa.schema([("block", pa.string()), ("bucket", pa.int64()), ("body
 #: Bytes of texts whose keys one bucket holds at most, about, those of one task of either exchange, and documents of a block.
 BUCKET_BYTES, TASK_BYTES, BLOCK_ROWS = 16 << 20, 8 << 20, 1 << 16
 
-#: Bytes of one Arrow batch of parcels, about.
-BATCH_BYTES = 16 << 20
+#: Bytes of one Arrow batch, about: buffers of this size are pooled and used again, larger ones are not, which fragments an executor's memory.
+BATCH_BYTES = 2 << 20
 
 #: A bucket number of one block's own row, which no bucket reads. It travels in pieces of ``PIECE_BYTES``, up to ``PIECES`` of them:
 #: a row of megabytes is a single large allocation wherever it passes.
@@ -61,16 +61,20 @@ def bucket_count(df: DataFrame, size: int) -> int:
 
 
 def blocks(batches: Iterator[pa.RecordBatch], size: Callable[[pa.RecordBatch], list[int]], most: int) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that a block's sizes sum to ``most`` at most, and its rows to ``BLOCK_ROWS``; a larger row is a block of its own."""
+    """Cut a run of batches so that a block's sizes sum to ``most`` at most, and its rows to ``BLOCK_ROWS``; a larger row is a block of its own."""
+    held: list[pa.RecordBatch] = []
+    rows, total = 0, 0
     for batch in batches:
-        at, total = 0, 0
+        at = 0
         for i, n in enumerate(size(batch)):
-            if i > at and (total + n > most or i - at == BLOCK_ROWS):
-                yield batch.slice(at, i - at)
-                at, total = i, 0
-            total += n
+            if rows and (total + n > most or rows == BLOCK_ROWS):
+                yield pa.concat_batches([*held, batch.slice(at, i - at)])
+                held, at, rows, total = [], i, 0, 0
+            rows, total = rows + 1, total + n
         if batch.num_rows > at:
-            yield batch.slice(at)
+            held.append(batch.slice(at))
+    if held:
+        yield pa.concat_batches(held)
 
 
 def text_sizes(batch: pa.RecordBatch) -> list[int]:

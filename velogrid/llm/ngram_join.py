@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from velogrid.llm.components import components
-from velogrid.llm.exchange import BLOCK_ROWS, OWN, bucket_count, exchange, text_bytes_of
+from velogrid.llm.exchange import BLOCK_ROWS, OWN, bucket_count, exchange, small_batches, text_bytes_of
 from velogrid.llm.words import shingle_set, text_bytes
 from velogrid.session import staged
 
@@ -248,7 +248,8 @@ def linked_classes(sets: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
             bound = f"({num + den}) * least(n_x - at_x, n_y - at_y) >= {num} * (n_x + n_y)"
             pairs = x.join(y, "token").where(f"component_x <> component_y and (n_x < n_y or n_x = n_y and rep_x < rep_y) and {den} * n_x >= {num} * n_y and {bound}")
             pairs = _filtered(pairs.selectExpr("rep_x a", "rep_y b", "n_x n_a", "n_y n_b", "at_x at_a", "at_y at_b"), num, den)
-        new = staged(spark, _verified(pairs.select("a", "b", "n_a", "n_b"), sets, num, den), "pairs")
+        with small_batches(spark):  # a pair carries both of its sets
+            new = staged(spark, _verified(pairs.select("a", "b", "n_a", "n_b"), sets, num, den), "pairs")
         links = new if links is None else links.unionByName(new)
         labels = components(links)
     return labels
