@@ -29,7 +29,7 @@ from velogrid.llm.words import mix
 
 GAP = "▁"
 #: Units whose lattices a worker remembers; when full, it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 120_000
 #: Characters sampled at once.
 CHUNK = 1 << 19
 
