@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velogrid.llm import decontaminate, language_id, ngram_join, pieces, toxicity
+from velogrid.llm.exchange import BATCH_BYTES
 from velogrid.session import staged
 
 #: Documents below this score for every language are rejected, and from this toxicity on.
@@ -24,7 +25,11 @@ ORACLE_SQL = None
 
 
 def _whole(docs: DataFrame, *more: str) -> DataFrame:
-    """The text and ``more`` for an operator, and all other columns in one, so that none clashes with what it adds."""
+    """The text and ``more`` for an operator, and all other columns in one, so that none clashes with what it adds.
+
+    From here on the session hands texts to Python in batches of ``BATCH_BYTES``, as five stages share the executors' memory.
+    """
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
     rest = [c for c in docs.columns if c != "text"]
     return docs.select(F.struct(*rest).alias("row"), "text", *more)
 
