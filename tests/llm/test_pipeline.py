@@ -64,4 +64,4 @@ def test_query_gives_a_row_per_input_row(spark, name):
     rows = df.collect()
     table = "pages" if name == "op4_warc" else "documents"
     assert json.dumps(df.columns)
-    assert len(rows) == spark.read.parquet(f"{FOLDER}/{table}.parquet").count() or name in ("op3_decontaminate", "pipeline") and rows
+    assert len(rows) == spark.read.parquet(f"{FOLDER}/{table}.parquet").count() or name in ("op3_decontaminate", "op12_spelling", "op13_nearest", "pipeline") and rows
