@@ -158,13 +158,32 @@ def test_benchmark_matches(spark, docs, odd):
     assert rows.count() == len(ODD) and rows.where("size(matches) > 0").count() == 0
     short = spark.createDataFrame([(1, "A b, c"), (2, None), (3, "")], "item_id long, text string")
     texts = spark.createDataFrame([(1, "a b c"), (2, "a b c d"), (3, None)], "doc_id long, text string")
-    assert {(r.doc_id, len(r.matches)) for r in decontaminate.benchmark_matches(texts, short).collect()} == {(1, 1), (2, 0), (3, 0)}
+    assert {(r.doc_id, len(r.matches)) for r in decontaminate.benchmark_matches(texts, short).collect()} == {(1, 1), (2, 1), (3, 0)}
     kept = decontaminate.decontaminate(odd, items)
     assert kept.columns == odd.columns or set(kept.columns) == set(odd.columns)
     assert decontaminate.benchmark_matches(empty(odd), items).count() == 0
     assert decontaminate.benchmark_matches(odd, empty(items)).count() == len(ODD)
 
 
+def test_items_of_few_words_are_found_inside_texts(spark):
+    rng = random.Random(7)
+    some = lambda n: " ".join(rng.choice("abcd") for _ in range(n))
+    items = [(i, some(n)) for i, n in enumerate([2, 3, 3, 4, 4, 4, 4, 5, 6])] + [(20, "What is, seven times?"), (21, "..."), (22, "seven"), (23, "seven")]
+    texts = [(i, some(rng.randint(0, 12))) for i in range(200)] + [(900, "he asked what is seven times eight now and left"), (901, "what is seven"), (902, "sevens")]
+    plain = lambda t: re.sub(r"[!-/:-@\[-`{-~]", "", t.lower()).split()
+
+    def inside(item, text):
+        a, b = plain(item), plain(text)
+        grams = lambda w, n: {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+        n = min(5, len(a))
+        return bool(a) and len(grams(a, n) & grams(b, n)) >= 0.8 * len(grams(a, n))
+
+    found = decontaminate.benchmark_matches(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r.doc_id, m.item_id) for r in found.collect() for m in r.matches}
+    assert got == {(d, i) for d, t in texts for i, x in items if inside(x, t)}
+    assert (900, 20) in got and (901, 20) not in got and (901, 23) in got and not any(d == 902 for d, _ in got)
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 5, 9, 17, 33, 70, 150])
 def test_a_copied_item_of_any_size_is_found(size):
     rng = random.Random(size)

@@ -7,6 +7,7 @@ so that a copied item always lies inside one. Windows and items get one-permutat
 (the smallest shingle of each bin); a window and an item are candidates if they agree in any bin. The
 number of bins is chosen per class so that a contained item is missed with a chance of one in a million
 at most. Each candidate document and item is then verified by exact containment over the whole document.
+An item of fewer words than a shingle has no window of its own: it is looked up among all runs of as many words.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velogrid.llm.words import shingles, text_bytes
+from velogrid.llm.words import chained, hashes, text_bytes, words
 
 #: Most text of benchmark items, in bytes, that is sent to the executors at once.
 ITEM_BYTES = 16 << 20
@@ -29,9 +30,15 @@ _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _MARKS = string.punctuation.encode()
 
 
+def item_words(text: bytes | None) -> np.ndarray:
+    """The numbers of a text's words, in order; ASCII punctuation is left out, A-Z is lowered."""
+    return hashes(words((text or b"").translate(None, _MARKS)))
+
+
 def item_shingles(text: bytes | None, k: int) -> np.ndarray:
-    """Shingles of a text's words, in order; ASCII punctuation is left out, A-Z is lowered."""
-    return shingles((text or b"").translate(None, _MARKS), k)
+    """Shingles of a text's words, in order; a shorter text is one shingle, a text without words has none."""
+    of = item_words(text)
+    return chained(of, min(k, len(of))) if len(of) else of
 
 
 def bins(largest: int, containment: float) -> int:
@@ -46,7 +53,13 @@ class Items:
 
     def __init__(self, rows: list[tuple], k: int, containment: float):
         self.k, self.containment = k, containment
-        kept = [(i, s) for i, t in rows if len(s := np.unique(item_shingles(t, k)))]
+        numbered = [(i, item_words(t)) for i, t in rows]
+        kept = [(i, np.unique(chained(w, k))) for i, w in numbered if len(w) >= k]
+        self.short: dict[int, dict[int, list[int]]] = {}
+        for i, w in numbered:
+            if 0 < len(w) < k:
+                self.short.setdefault(len(w), {}).setdefault(int(chained(w, len(w))[0]), []).append(i)
+        self.wanted = {n: np.array(sorted(of), np.uint64) for n, of in self.short.items()}
         self.ids, self.sets = [i for i, _ in kept], [s for _, s in kept]
         self.classes = []
         sizes = np.array([1 << (len(s) - 1).bit_length() for s in self.sets])
@@ -93,9 +106,16 @@ class Items:
 
     def matches(self, texts: list[bytes | None]) -> list[list[tuple]]:
         """Per text: (item id, containment) of the items in it."""
-        docs = [item_shingles(t, self.k) for t in texts]
+        numbered = [item_words(t) for t in texts]
+        docs = [chained(w, self.k) if len(w) >= self.k else w[:0] for w in numbered]
         sets: dict[int, np.ndarray] = {}
         out: list[list[tuple]] = [[] for _ in texts]
+        for n, wanted in self.wanted.items():
+            for found, w in zip(out, numbered, strict=True):
+                if len(w) >= n:
+                    runs = chained(w, n)
+                    hits = np.unique(runs[np.isin(runs, wanted)])
+                    found.extend((i, 1.0) for g in hits.tolist() for i in self.short[n][g])
         for d, i in sorted(self.candidates(docs)):
             if d not in sets:
                 sets[d] = np.unique(docs[d])
@@ -121,8 +141,9 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, k: int = 5, containment
     """``docs`` with a column ``matches`` (array of item_id and containment, by item_id).
 
     An item (item_id, text) matches a document if at least ``containment`` of the item's distinct k-word
-    shingles occur in the whole document. Fewer than k words form one shingle, which only a text of the
-    same words has. Null or empty texts and items match nothing. All rows and columns of ``docs`` stay;
+    shingles occur in the whole document. An item of fewer than k words matches where these words follow one another
+    anywhere in a text, so one of a single common word matches many: leave such items out of ``items`` if that isn't
+    meant. Null or empty texts and items match nothing. All rows and columns of ``docs`` stay;
     a column ``matches`` that it has already is replaced. The items are a query set: they go to the
     executors in blocks of ``ITEM_BYTES``, one pass over the documents each, and nothing is shuffled.
     """

@@ -130,10 +130,11 @@ select doc_id, cast(len(any_value(s)) as bigint) as n_shingles, min(c) as compon
 
 _PLAIN = _WORDS.format(f"translate({_LOWER}, '!\"#$%&''()*+,-./:;<=>?@[\\]^_`{{|}}~', '')")
 _LEAKS = f"""
-with d as (select doc_id, unnest({_shingles(5, "w")}) as g from (select doc_id, {_PLAIN} as w from documents)),
-i as (select item_id, {_shingles(5, "w")} as s from (select item_id, {_PLAIN} as w from benchmark)),
-g as (select item_id, len(s) as n, unnest(s) as g from i)
-select doc_id, item_id, round(count(*) / any_value(n), 6) as containment from d join g using (g)
+with i as (select item_id, least(len(w), 5) as k, {_shingles(5, "w")} as s from (select item_id, {_PLAIN} as w from benchmark)),
+g as (select item_id, k, len(s) as n, unnest(s) as g from i),
+d as (select doc_id, k, unnest(list_distinct([array_to_string(w[x:x + k - 1], ' ') for x in range(1, len(w) - k + 2)])) as g
+  from (select doc_id, {_PLAIN} as w from documents), (select distinct k from g) where len(w) >= k)
+select doc_id, item_id, round(count(*) / any_value(n), 6) as containment from d join g using (k, g)
 group by doc_id, item_id having count(*) >= 0.8 * any_value(n)
 """
 
