@@ -393,10 +393,47 @@ def test_toxicity_learns_sentences_from_documents(spark, tmp_path):
     both = spark.createDataFrame(ODD, "doc_id long, text string").withColumn("toxic_score", F.lit("x"))
     assert {r.doc_id: r.toxic_score for r in toxicity.toxicity(both, model).collect()}[1] == 0.0
     assert toxicity.toxicity(empty(both), model).count() == 0
+    none = toxicity.train(empty(all_of.select("doc_id", "text")), all_of.select("doc_id", "toxic"))
+    assert 0 <= none.score(b"a b")[0] < 0.01
     one_label = toxicity.train(all_of, all_of.where("toxic = 0").select("doc_id", "toxic"))
     assert toxicity.toxicity(both, one_label).count() == len(ODD)
 
 
+def test_steps_follow_the_slope_of_the_likelihood(monkeypatch):
+    monkeypatch.setattr(toxicity, "PART", 7)
+    rng = random.Random(5)
+    text = lambda: ". ".join(" ".join(rng.choice(["ab", "cd", "idiots", "idiot", "zz"]) for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(1, 4)))
+    sample = [(text().encode(), rng.randint(0, 1), rng.choice([1.0, 3.0])) for _ in range(12)] + [(b"zz. zz", 1, 1.0), (b"...", 0, 9.0)]
+    names = sorted({f for w in (b"ab", b"cd", b"idiots", b"idiot") for f in toxicity.features(w)})
+    weights = {n: rng.uniform(-1, 1) for n in names}
+
+    def likelihood(weights, bias):
+        out = total = 0.0
+        for t, label, mass in sample:
+            found = [x.split() for x in t.decode().split(".") if x]
+            if found:
+                clean = math.prod(1 - 1 / (1 + math.exp(-bias - sum(weights.get(f, 0.0) for w in set(x) for f in toxicity.features(w.encode())))) for x in found)
+                out += mass * math.log(1 - clean if label else clean)
+                total += mass
+        return out / total
+
+    bags = toxicity.Bags(sample, names)
+    assert len(bags.parts) > 3
+    for _ in range(2):
+        slope, at_bias = bags.step(np.array([weights[n] for n in names]), -0.7)
+        for n, got in zip(names, slope, strict=True):
+            assert got == pytest.approx((likelihood(weights | {n: weights[n] + 1e-5}, -0.7) - likelihood(weights | {n: weights[n] - 1e-5}, -0.7)) / 2e-5, abs=1e-6)
+        assert at_bias == pytest.approx((likelihood(weights, -0.7 + 1e-5) - likelihood(weights, -0.7 - 1e-5)) / 2e-5, abs=1e-6)
+        bags.keep(np.arange(len(names)) % 3 > 0)  # the others leave: their weight is none
+        gone, names = names[::3], [n for i, n in enumerate(names) if i % 3]
+        weights = {n: v for n, v in weights.items() if n not in gone}
+    model = toxicity.Model(-0.7, weights)
+    for t, _, _ in sample:
+        found = [x.split() for x in t.decode().split(".") if x]
+        clean = math.prod(1 - 1 / (1 + math.exp(0.7 - sum(weights.get(f, 0.0) for w in set(x) for f in toxicity.features(w.encode())))) for x in found)
+        assert model.score(t)[0] == pytest.approx(1 - clean, abs=1e-9)
+
+
 # --- language model ---------------------------------------------------------
 
 
