@@ -12,6 +12,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -320,6 +321,110 @@ def test_licences(spark, docs, odd):
     assert license_scan.license_scan(empty(odd), docs.select("doc_id", "text")).count() == 0
 
 
+def lines_of(text, columns, mark):
+    """The text's words on lines of up to ``columns``, each after ``mark``."""
+    out = [mark]
+    for w in text.split():
+        if len(out[-1]) + len(w) >= columns and out[-1] != mark:
+            out.append(mark)
+        out[-1] += w + " "
+    return "\n".join(out)
+
+
+@pytest.fixture(scope="module")
+def trained(spark, docs):
+    return license_scan.train(docs.select("doc_id", "text"))
+
+
+@pytest.mark.parametrize(("columns", "mark"), [(60, ""), (72, "# "), (80, " * ")])
+def test_wrapped_notices_are_found(spark, docs, trained, monkeypatch, columns, mark):
+    monkeypatch.setattr(license_scan, "train", lambda _: trained)
+    flat = [(f, x) for f, v in license_scan.NOTICES.items() for x in v]
+    prose = " ".join(next(r.text for r in docs.collect() if r.text and len(r.text) > 3000).split()[:300])
+    page = lambda notice: f"import os\n\n{notice}\n\ndef main():\n{lines_of(prose, 70, '')}"
+    made = [(i, page(lines_of(x, columns, mark))) for i, (_, x) in enumerate(flat)] + [(1000 + i, page(x)) for i, (_, x) in enumerate(flat)]
+    got = {r.doc_id: r.families for r in license_scan.license_scan(spark.createDataFrame(made, "doc_id long, text string")).collect()}
+    whole = [i for i, (f, _) in enumerate(flat) if got[1000 + i] == [f]]
+    wrong = [(flat[i], got[i]) for i in whole if got[i] != [flat[i][0]]]
+    assert len(whole) >= len(flat) - 3 and len(wrong) <= 1, (len(whole), wrong)
+
+
+def test_licences_against_plain_python(spark, docs, trained, monkeypatch):
+    monkeypatch.setattr(license_scan, "train", lambda _: trained)
+    monkeypatch.setattr(license_scan, "CHUNK", 50)
+    notice = license_scan.NOTICES
+    texts = [r.text for r in docs.orderBy("doc_id").limit(60).collect()]
+    wrapped = [lines_of(x, 40, "// ") for v in notice.values() for x in v]
+    long = " ".join([*(texts[3] or "").split()[:90], notice["BSD"][0], *(texts[4] or "").split()[:90]])
+    twice = "\n".join([wrapped[0], *(texts[5] or "").split()[:200], wrapped[0], wrapped[3], notice["MIT"][0], wrapped[6]])
+    rows = [(i, t) for i, t in enumerate([*texts, *wrapped, long, twice])] + [(7, wrapped[4]), (None, wrapped[5]), (None, wrapped[9]), (None, wrapped[9])] + ODD[:7]
+    out = license_scan.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+
+    table, intercepts = trained
+    weights = {r.number: (r.w, [getattr(r, f"p{j}") for j in range(license_scan.LONGS)]) for r in table.collect()}
+    families, classes = license_scan.FAMILIES, range(len(intercepts))
+    owner = [f for f in families for _ in notice[f]]
+    sizes = [len(license_scan._pair_set(x)) for f in families for x in notice[f]]
+
+    def number(ws):
+        h = 42
+        for w in ws:
+            h = xxhash.xxh64_intdigest(w.encode(), h)
+        return h - (1 << 64) if h >> 63 else h
+
+    def verdict(numbers):
+        known = [weights[g] for g in set(numbers) if g in weights]
+        if not known:
+            return None
+        z = [intercepts[c] + math.fsum(w[c] for w, _ in known) for c in classes]
+        e = [math.exp(v - max(z)) for v in z]
+        alike = dict.fromkeys(families, 0.0)
+        for t, (f, size) in enumerate(zip(owner, sizes, strict=True)):
+            n = sum(p[t // 10] >> 6 * (t % 10) & 63 for _, p in known)
+            alike[f] = max(alike[f], n / size)
+        top = max(range(1, len(z)), key=lambda c: e[c])
+        return e[top] / sum(e), families[top - 1], 1 - e[0] / sum(e), alike
+
+    def grams(ws, sizes=(1, 2, 3)):
+        return [(number(ws[i : i + n]), i) for n in sizes for i in range(len(ws) - n + 1)]
+
+    plain = lambda t: re.findall("[a-z0-9]+", t.lower())
+    lines = {t: [verdict([g for g, _ in grams(plain(x))]) for x in t.split("\n")] for t in {t for _, t in rows if t}}
+    keys = {(i, t) for i, t in rows if t}
+    ordinary = [v[0] for _, t in keys for v in lines[t] if v and max(v[3].values()) < 0.3]
+    limit = next((x / 200 for x in range(100, 190) if sum(p >= x / 200 for p in ordinary) <= 0.001 * len(ordinary)), 0.95)
+    sure = lambda v: v and v[0] >= limit and v[3][v[1]] >= 0.6
+    expected = {}
+    for text, of in lines.items():
+        words = [(w, j) for j, x in enumerate(text.split("\n")) for w in plain(x)]
+        ws, line = [w for w, _ in words], [j for _, j in words]
+        spans = set()
+        pairs = [i for g, i in grams(ws, (2,)) if any(weights.get(g, (0, [0]))[1])]
+        for size in (12, 48):
+            for start in sorted({start for i in pairs for start in (i // size * size, i // size * size - size) if start >= 0}):
+                near = [i for i in pairs if start <= i < start + 2 * size - 1]
+                if not near or (lo := min(line[i] for i in near)) == (hi := max(line[i + 1] for i in near)):
+                    continue
+                stop = min(max(near) + 1, start + 2 * size - 2)
+                v = verdict([g for g, i in grams(ws[min(near) : stop + 3]) if i <= stop - min(near)])
+                if sure(v) and not any(sure(of[j]) and of[j][1] == v[1] for j in range(lo, hi + 1)):
+                    spans.add((v[1], lo, hi, v[0]))
+        n, last = 0, {}
+        for f, lo, hi, _ in sorted(spans):
+            n += lo > last.get(f, -1)
+            last[f] = max(last.get(f, -1), hi)
+        found = [v for v in of if sure(v)]
+        loose = [j for j, v in enumerate(of) if v and not sure(v) and v[2] >= 0.5 and not any(lo <= j <= hi for _, lo, hi, _ in spans)]
+        best = max([v[0] for v in found] + [x[3] for x in spans], default=0.0)
+        expected[text] = (sorted({v[1] for v in found} | {x[0] for x in spans}), len(found) + n, len(loose), best)
+    assert len(out) == len(rows)
+    want = sorted((str(i), *expected.get(t, ([], 0, 0, 0.0))) for i, t in rows)
+    got = sorted((str(r.doc_id), r.families, r.n_notices, r.n_unknown, r.confidence) for r in out)
+    assert [w[:4] for w in want] == [g[:4] for g in got]
+    assert [g[4] for g in got] == pytest.approx([w[4] for w in want], abs=1e-9)
+    assert any(w[1] and w[2] > 1 for w in want)
+
+
 # --- quality ----------------------------------------------------------------
 
 
