@@ -349,6 +349,13 @@ def test_wrapped_notices_are_found(spark, docs, trained, monkeypatch, columns, m
     assert len(whole) >= len(flat) - 3 and len(wrong) <= 1, (len(whole), wrong)
 
 
+def test_a_text_without_key_words_confirms_no_template():
+    for common in ({}, {"licensed": 9, "under": 9, "reserved": 9}, {"the": 50, "this": 40, "license": 30, "version": 1}):
+        key = license_scan.key_words(common)
+        for pairs in (license_scan._pair_set(x) for v in license_scan.NOTICES.values() for x in v):
+            assert sum(not key.intersection(p) for p in pairs) < license_scan.LIKENESS * len(pairs)
+
+
 def test_licences_against_plain_python(spark, docs, trained, monkeypatch):
     monkeypatch.setattr(license_scan, "train", lambda _: trained)
     monkeypatch.setattr(license_scan, "CHUNK", 50)
