@@ -634,6 +634,30 @@ def test_tuning_grows_with_the_input():
     assert context_mixing.tuning_share(0) == context_mixing.tuning_share(1000) == 1
 
 
+def test_all_training_bytes_fit_the_mixer(spark, docs, monkeypatch):
+    rows = docs.select("doc_id", "text", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0).alias("held"))
+    every, size = context_mixing.tuning_inputs(rows, 1, 16).collect(), 200_000
+    inputs = np.concatenate([np.frombuffer(r.inputs, "i1").reshape(-1, 5, 8) for r in every])
+    bits = context_mixing._bits(np.concatenate([np.frombuffer(r.bytes, "u1") for r in every]).astype(np.uint64))
+
+    def want(mixer):
+        parts = [(inputs[a : a + 50_000] / 15.0, bits[a : a + 50_000]) for a in range(0, len(bits), 50_000)]
+        return sum(np.concatenate([context_mixing.slopes(mixer.weights, *x), context_mixing.hits(mixer, *x)]) for x in parts)
+
+    seen, whole_sums = [], context_mixing.whole_sums
+    monkeypatch.setattr(context_mixing, "tuning_share", lambda n: 16)
+    monkeypatch.setattr(context_mixing, "whole_sums", lambda learned, mixer, *more: seen.append((mixer, whole_sums(learned, mixer, 16, size))) or seen[-1][1])
+    context_mixing.mixed_scores(docs)
+    assert len(bits) == sum(len(context_mixing.stream(words(r.text))) for r in docs.collect() if zlib.crc32(str(r.doc_id).encode()) % 10)
+    for mixer, got in seen:
+        assert np.allclose(got, want(mixer), rtol=1e-4, atol=50)
+    sample = seen[0][0]
+    got = context_mixing.refitted(sample, want)
+    best = context_mixing.refitted(got, want)  # two more steps or so
+    loss = [want(m)[: context_mixing._SLOPES].reshape(48, -1)[:, 0].sum() for m in (sample, got, best)]
+    assert loss[2] <= loss[1] < loss[0] and loss[1] - loss[2] < 0.001 * loss[2]
+
+
 def test_fitted_weights_are_those_of_logistic_regression(spark):
     rng, n = np.random.default_rng(5), 6000
     inputs = np.clip(np.rint(rng.normal(size=(n, 5, 8)) * 15), -120, 120).astype("i1")

@@ -5,13 +5,15 @@ stream is predicted from hashed contexts, the last 1 to ``len(ORDERS)`` bytes an
 of zeros and ones that the training documents have after the context give a probability. The predictions are mixed
 in the logistic domain by a set of weights, which the longest context with counts and the bit's place
 select; an adaptive probability map then corrects the mix by what was seen at such values. All training documents are
-counted. Weights and map are fitted to a share of the bytes of the training documents, each predicted from the counts without
-those of its own document: Newton steps for the weights, hits per cell for the map, from sums that Spark aggregates.
+counted. Weights and map are fitted to all bytes of the training documents, each predicted from the counts without
+those of its own document: Newton steps for the weights, hits per cell for the map, from sums that Spark aggregates. A share
+of the bytes, whose inputs are small enough to be kept, only says where the steps over all bytes begin.
 
 How it runs on a cluster: a byte's cost depends on the byte and its longest context alone, so a block of documents
 asks once for each distinct (context, byte) of each order (see ``exchange``), costs each of them once, and adds up
 its documents. Counts of words are asked for in the same way. Before that, a smaller exchange counts a share of the contexts
-by hash, in all documents, and gives the inputs of the tuning bytes; no table of the corpus is broadcast or sent to the driver.
+by hash, in all documents, and gives the inputs of the tuning bytes, and another one asks for the counts of all contexts and
+sums over all training bytes; no table of the corpus is broadcast or sent to the driver.
 """
 
 from __future__ import annotations
@@ -29,17 +31,19 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velogrid.llm.exchange import OWN, bucket_count, exchange
+from velogrid.llm.exchange import OWN, bucket_count, exchange, setting
 from velogrid.llm.samples import remainder
 from velogrid.llm.words import mix, words
 
 ORDERS = (1, 2, 3, 4, 5)
 _TOP = len(ORDERS)
-#: One byte in ``TUNING_SHARE`` of the training documents tunes the mixer, and more of a small input, so that about ``LEAST_TUNING`` do.
+#: One byte in ``TUNING_SHARE`` of the training documents gives the first weights, and more of a small input, so that about ``LEAST_TUNING`` do.
 #: They lie in all documents, after contexts of which one in ``CONTEXT_SHARE`` is taken.
 TUNING_SHARE, LEAST_TUNING, CONTEXT_SHARE = 256, 400_000, 32
 PASSES, RIDGE = 10, 1.0
-BLOCK_BYTES = 8 << 20
+#: The step that gains less than this part of the loss is the last one over all bytes; after it, next to nothing is left to gain.
+ENOUGH = 1e-3
+BLOCK_BYTES, FIT_BYTES = 8 << 20, 4 << 20
 #: Logits are kept as whole numbers of 1/15, from -8 to 8.
 SCALE, PRIOR = 15.0, 0.05
 CELLS = 33
@@ -237,6 +241,38 @@ def _answer(bodies: list[bytes]) -> list[bytes]:
     return out
 
 
+def paths(key: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """(9, n), of distinct sorted keys and their counts: how many have the key's context and the first bits of its byte, but the
+    other value of the next bit, for each of the 8; last the key's own count."""
+    out, below = np.empty((9, len(key)), np.int64), count
+    out[8] = count
+    # The highest bit in which neighbours differ says up to which prefix they are one.
+    differ = np.concatenate([[np.uint64(255)], key[1:] ^ key[:-1]])
+    for i in range(7, -1, -1):
+        new = differ >= np.uint64(1 << (8 - i))
+        new[0] = True
+        starts = np.flatnonzero(new)
+        here = np.repeat(np.add.reduceat(count, starts), np.diff(starts, append=len(key)))
+        np.subtract(here, below, out=out[i])
+        below = here
+    return out
+
+
+def _answer_paths(bodies: list[bytes]) -> list[bytes]:
+    got = [_unpack(x, "u1", "u4", "u1", "i8", "u1", "u8", "u1", "i8") for x in bodies]
+    low, count = (np.concatenate(x) for x in zip(*(_unplane(*g[:4]) for g in got), strict=True))
+    if not len(low):  # words alone
+        return [_pack(*_short(count))] * len(bodies)
+    distinct, at = np.unique(low << np.uint64(8) | np.concatenate([g[4] for g in got]), return_inverse=True)
+    table = np.ascontiguousarray(paths(distinct, np.bincount(at, count, len(distinct)).astype(np.int64)).T)
+    out, a = [], 0
+    for g in got:
+        n = len(g[1])
+        out.append(_pack(*_short(table[at[a : a + n]].reshape(-1))))
+        a += n
+    return out
+
+
 class Mixer:
     """Weights by gate and bit, and the probability map; both are fitted (``fitted``) or learn online."""
 
@@ -448,6 +484,132 @@ def tuning_inputs(docs: DataFrame, share: int, buckets: int, size: int = 0) -> D
     return exchange(docs, ask, _answer_tuning, _finish_tuning, TUNING, size, "tuning", BLOCK_BYTES)
 
 
+def _left_inputs(b: Block, table: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The inputs (n, orders, 8) of all bytes of a block and these bytes, a piece at a time, from ``paths`` of its keys and without each byte's own document."""
+    prior = np.float32(PRIOR)
+    for first, last, at, distinct in b.pieces:
+        which = b.gram_at[distinct][at]
+        grams, doc = b.grams[which], np.repeat(np.arange(last - first, dtype=np.uint64), b.sizes[first:last])
+        ones = _bits(grams) == 1
+        inputs = np.empty((len(grams), _TOP, 8), np.int8)
+        for i, order in enumerate(ORDERS):
+            bits = np.uint64(8 * (order + 1))
+            key, place, n = np.unique(doc << bits | grams & ((np.uint64(1) << bits) - np.uint64(1)), return_inverse=True, return_counts=True)
+            # Inputs are the same for all bytes of a document that have the same key.
+            some = np.empty(len(key), np.int64)
+            some[place] = which
+            own = paths(key, n).astype(np.float32)
+            own = table[b.at[i, some]] - np.ascontiguousarray(own.T)
+            other, same = own[:, :8] + prior, np.cumsum(own[:, ::-1], axis=1)[:, 7::-1] + prior
+            x = np.clip(np.rint(np.log(same / other) * np.float32(SCALE)), -120, 120).astype(np.int8)
+            inputs[:, i] = x[place]
+        inputs *= np.where(ones, 1, -1).astype(np.int8)[:, None]
+        yield inputs, (grams & np.uint64(255)).astype(np.uint8)
+
+
+def _merged(inputs: np.ndarray, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct rows of inputs and byte, and how often each is there."""
+    h = mix(byte.astype(np.uint64))
+    for part in np.ascontiguousarray(inputs).reshape(len(byte), -1).view(np.uint64).T:
+        h = mix(h ^ part)
+    at, distinct = pd.factorize(h)
+    some = np.empty(len(distinct), np.int64)
+    some[at] = np.arange(len(at))
+    return inputs[some], byte[some], np.bincount(at, minlength=len(distinct))
+
+
+def weighed_sums(mixer: Mixer, inputs: np.ndarray, byte: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """``slopes`` and ``hits`` of whole-number inputs and bytes that are there ``count`` times."""
+    sums = np.zeros((_TOP + 1, 8, 1 + _TOP + _TOP * _TOP))
+    cells = np.zeros((2, _TOP + 1, 8, CELLS))
+    gates = (np.arange(1, _TOP + 1, dtype=np.int8)[None, :, None] * (inputs != 0)).max(1)
+    bits = _bits(byte.astype(np.uint64)) == 1
+    for bit in range(8):
+        by_gate = np.argsort(gates[:, bit], kind="stable")
+        for gate, part in enumerate(np.split(by_gate, np.searchsorted(gates[by_gate, bit], np.arange(1, _TOP + 1)))):
+            for at in range(0, len(part), 20_000):
+                few = part[at : at + 20_000]
+                x, y, n = inputs[few, :, bit] / SCALE, bits[few, bit], count[few].astype(np.float64)
+                z = x @ mixer.weights[gate, bit]
+                p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+                out = sums[gate, bit]
+                out[0] += n @ (np.maximum(z, 0) + np.log1p(np.exp(-np.abs(z))) - y * z)
+                out[1 : 1 + _TOP] += (n * (p - y)) @ x
+                out[1 + _TOP :] += ((x * (n * p * (1 - p))[:, None]).T @ x).reshape(-1)
+                cell = np.rint(2 * np.clip(z, -8, 8)).astype(np.int64) + CELLS // 2
+                cells[0, gate, bit] += np.bincount(cell, n, CELLS)
+                cells[1, gate, bit] += np.bincount(cell, n * y, CELLS)
+    return np.concatenate([sums.reshape(-1), cells.reshape(-1)])
+
+
+def _finish_fit(mixer: Mixer, buckets: int):
+    """The sums of ``slopes`` and ``hits`` over all bytes of a block, in whole numbers of 1/FINE."""
+
+    def finish(own: bytes, replies: dict[int, bytes]) -> pa.Table:
+        with pa.ipc.open_stream(zstandard.decompress(own)) as s:
+            batch = s.read_all().combine_chunks()
+        texts = [None if x is None else bytes(x) for x in batch.column("text").cast(pa.binary()).to_pylist()]
+        b = Block(texts, batch.column("held").to_numpy(zero_copy_only=False), buckets)
+        table = np.zeros((len(b.low), 9), np.float32)  # a count of 2^24 and more to seven digits, far finer than a logit's steps
+        table[b.order] = np.concatenate([_full(*_unpack(replies[i], "u1", "i8")) for i in sorted(replies)]).reshape(-1, 9)
+        total = np.zeros(_SUMS, np.int64)
+        for piece in _left_inputs(b, table):
+            total += np.rint(weighed_sums(mixer, *_merged(*piece)) * FINE).astype(np.int64)
+        return pa.table([[total.tobytes()]], schema=_FIT)
+
+    return finish
+
+
+_GATES = (_TOP + 1) * 8
+_SLOPES = _GATES * (1 + _TOP + _TOP * _TOP)
+_SUMS = _SLOPES + 2 * _GATES * CELLS
+_FIT = pa.schema([("sums", pa.binary())])
+
+
+def whole_sums(learned: DataFrame, mixer: Mixer, buckets: int, size: int = 0) -> np.ndarray:
+    """``slopes`` and ``hits`` of a mixer, summed over all bytes of the rows ``learned`` (doc_id, text, held), each without its own row's counts."""
+    block = min(FIT_BYTES, max(size // 64, 1 << 18))  # several per core of a small input, too
+    blocks = exchange(learned, _ask(buckets), _answer_paths, _finish_fit(mixer, buckets), "sums binary", size, "fit", block)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(_SUMS, np.int64)
+        for batch in batches:
+            for x in batch.column("sums").to_pylist():
+                total += np.frombuffer(x, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(_SUMS)), pa.array(total)], names=["i", "v"])
+
+    out = np.zeros(_SUMS)
+    for r in blocks.mapInArrow(add, "i long, v long").groupBy("i").agg(F.sum("v").alias("v")).collect():
+        out[r.i] = r.v / FINE
+    return out
+
+
+def refitted(mixer: Mixer, sums: Callable[[Mixer], np.ndarray]) -> Mixer:
+    """Newton steps from the weights of ``mixer`` by sums over all training bytes, and the map by their hits.
+
+    The map's hits are counted with the weights before the last step, which is a small one.
+    """
+    first, out = Mixer(), Mixer()
+    out.weights = mixer.weights
+    for _ in range(PASSES):
+        got = sums(out)
+        by_gate = got[:_SLOPES].reshape(_GATES, -1)
+        weights = out.weights.reshape(_GATES, _TOP)
+        slope = by_gate[:, 1 : 1 + _TOP] + RIDGE * (weights - first.weights.reshape(_GATES, _TOP))
+        curve = by_gate[:, 1 + _TOP :].reshape(_GATES, _TOP, _TOP) + RIDGE * np.eye(_TOP)
+        step = -np.linalg.solve(curve, slope[..., None])[..., 0]
+        gain = -(slope * step).sum() / 2
+        step *= 0.5 / np.maximum(np.abs(step).max(1, keepdims=True), 0.5)  # a few rare bits may lead far
+        after = Mixer()
+        after.weights = (weights + step).reshape(out.weights.shape)
+        number, ones = got[_SLOPES:].reshape(2, *first.map.shape)
+        after.map = (ones + 30.0 * first.map) / (number + 30.0)
+        out = after
+        if gain <= ENOUGH * by_gate[:, 0].sum():
+            break
+    return out
+
+
 def _tuning_arrays(inputs: bytes, byte: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(inputs, "i1").reshape(-1, _TOP, 8) / SCALE, _bits(np.frombuffer(byte, "u1").astype(np.uint64))
 
@@ -519,7 +681,7 @@ def mixed_scores(docs: DataFrame, divisor: int = 10, held: int = 0) -> DataFrame
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) per row of ``docs`` (doc_id, text).
 
     crc32(doc_id as text) mod ``divisor`` says what a row is used for: ``held`` rows teach nothing, all others are counted and
-    tune the mixer. A null id is held out; a null text is empty: one token, its end.
+    fit the mixer. A null id is held out; a null text is empty: one token, its end.
     ``base_score`` is the sum over tokens of log10((c + 0.1) / (N + 0.1 (V + 1))); ``score`` is the mixed model's log10
     probability of the text. Equal rows are all counted and scored; other columns are ignored.
     ``docs`` is a scan of files or a written table (see ``exchange``).
@@ -529,8 +691,12 @@ def mixed_scores(docs: DataFrame, divisor: int = 10, held: int = 0) -> DataFrame
     n = F.octet_length("text").cast("long")
     size, learned = (x or 0 for x in docs.agg(F.sum(n), F.sum(F.when(~F.col("held"), n))).first())
     buckets = bucket_count(docs, size)
-    mixer = fitted(tuning_inputs(docs, tuning_share(learned), buckets, size))
-    out = exchange(docs, _ask(buckets), _answer, _finish(mixer, buckets), RESULT, size, "scores", BLOCK_BYTES)
+    share = tuning_share(learned)
+    with setting(docs.sparkSession, "spark.sql.shuffleDependency.fileCleanup.enabled", "true"):  # one exchange after the other
+        mixer = fitted(tuning_inputs(docs, share, buckets, size))
+        if share > 1:
+            mixer = refitted(mixer, lambda m: whole_sums(docs.where(~F.col("held")), m, buckets, size))
+        out = exchange(docs, _ask(buckets), _answer, _finish(mixer, buckets), RESULT, size, "scores", BLOCK_BYTES)
     totals = out.agg(F.coalesce(F.sum("n_words_all"), F.lit(0)).alias("train_tokens"), F.coalesce(F.sum("n_distinct"), F.lit(0)).alias("v"))
     base = F.col("word_score") - F.col("n_tokens") * F.log10(F.col("train_tokens") + 0.1 * (F.col("v") + 1))
     bpb = -F.col("score") / F.log10(F.lit(2.0)) / F.col("stream_bytes")

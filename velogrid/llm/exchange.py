@@ -12,7 +12,7 @@ files or a written table, whose partitions keep their rows and order.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -39,15 +39,22 @@ Row = tuple[int, bytes]
 
 
 @contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Holds Arrow batches to ``BATCH_BYTES`` while a table is written."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, f"{BATCH_BYTES}b")
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """Holds a setting of the session while tables are written."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def small_batches(spark: SparkSession) -> AbstractContextManager[None]:
+    """Holds Arrow batches to ``BATCH_BYTES`` while a table is written."""
+    return setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
 
 
 def text_bytes_of(df: DataFrame) -> int:
