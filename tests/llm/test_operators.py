@@ -256,6 +256,17 @@ def test_samples_follow_the_weights_of_the_paths():
     assert set(seen) <= set(weight) and max(abs(seen[p] / n - w / total) for p, w in weight.items()) < 0.01
 
 
+def test_pieces_are_found_where_they_stand_longest_first():
+    rng = random.Random(8)
+    known = {p: i for i, p in enumerate({"".join(rng.choices("ab▁é漢", k=rng.randint(1, 6))) for _ in range(150)})}
+    trie, text = pieces.Trie(known), "".join(rng.choices("ab▁é漢\0x😀", [9, 9, 9, 3, 3, 1, 1, 1], k=4000))
+    ends, found = trie.find(np.frombuffer(text.encode("utf-32-le"), np.uint32))
+    order = np.argsort(ends, kind="stable")
+    want = [(end, known[text[end - n : end]]) for end in range(1, len(text) + 1) for n in range(min(6, end), 0, -1) if text[end - n : end] in known]
+    assert list(zip(ends[order].tolist(), found[order].tolist(), strict=True)) == want
+    assert [len(x) for x in trie.find(np.zeros(0, np.uint32))] == [0, 0]
+
+
 def test_pieces_are_lossless_and_repeatable(spark, docs, odd):
     lib = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     more = spark.createDataFrame([(90_001, "  a ▁ b▁c"), (90_002, "é漢字😀\r\n\n x\0y"), (90_003, "▁"), (90_004, "don't; a.b,c|d ")], "doc_id long, text string")

@@ -15,7 +15,6 @@ import re
 from collections.abc import Iterator
 from itertools import chain
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 import sentencepiece
@@ -34,6 +33,61 @@ REMEMBERED = 120_000
 CHUNK = 1 << 19
 
 
+class Trie:
+    """The places of all pieces in an array of characters, found a character deeper at a time for all places at once."""
+
+    def __init__(self, pieces: dict[str, int]):
+        letters = sorted(set().union(*pieces))
+        self.classes = np.full(ord(letters[-1]) + 2, -1, np.int64)
+        self.classes[[ord(c) for c in letters]] = np.arange(len(letters))
+        number, go, ends = {c: i for i, c in enumerate(letters)}, {}, {}
+        self.letters = len(letters)
+        for piece, i in pieces.items():
+            node = 0
+            for c in piece:
+                node = go.setdefault(node * self.letters + number[c], len(go) + 1)
+            ends[node] = i
+        self.piece = np.full(len(go) + 1, -1, np.int32)
+        self.piece[list(ends)] = list(ends.values())
+        # Steps (node and character) by hash: those of one hash follow one another.
+        step, after = np.fromiter(go, np.int64, len(go)), np.fromiter(go.values(), np.int64, len(go))
+        self.shift = np.uint64(64 - len(go).bit_length() - 1)
+        order = np.argsort(self._hash(step), kind="stable")
+        self.step, self.after = step[order], after[order]
+        self.start = np.searchsorted(self._hash(self.step), np.arange(2 ** (64 - int(self.shift)) + 1))
+
+    def _hash(self, step: np.ndarray) -> np.ndarray:
+        return (step.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def find(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The end of each place (one past it) and its piece; longer pieces come first."""
+        letter = np.append(self.classes[np.minimum(chars, len(self.classes) - 1)], -1)
+        at, ends, found = np.flatnonzero(letter >= 0), [], []
+        node = np.zeros(len(at), np.int64)
+        while len(at):
+            step = node * self.letters + letter[at]
+            h = self._hash(step)
+            place, stop = self.start[h], self.start[h + 1]
+            left = np.flatnonzero(place < stop)
+            node = np.full(len(at), -1)
+            while len(left):
+                here = place[left]
+                same = self.step[here] == step[left]
+                node[left[same]] = self.after[here[same]]
+                left = left[~same]
+                place[left] += 1
+                left = left[place[left] < stop[left]]
+            on = node >= 0
+            at, node = at[on] + 1, node[on]
+            piece = self.piece[node]
+            hit = piece >= 0
+            ends.append(at[hit])
+            found.append(piece[hit])
+            more = letter[at] >= 0
+            at, node = at[more], node[more]
+        return np.concatenate([np.zeros(0, np.int64), *ends[::-1]]), np.concatenate([np.zeros(0, np.int32), *found[::-1]])
+
+
 class Lattice:
     """The pieces of a model file, with the filtered lattices of the units met so far."""
 
@@ -43,10 +97,9 @@ class Lattice:
         self.bytes_of: list[bytes] = [b""] * n
         self.byte_piece = [0] * 256
         self.sizes, self.scores = np.zeros(n, np.int32), np.zeros(n)
-        self.found = ahocorasick.Automaton()
         inside: set[str] = set()
         self.letters = ""
-        pieces = []
+        pieces: dict[str, int] = {}
         for i in range(n):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
@@ -56,13 +109,12 @@ class Lattice:
                 if GAP in piece.lstrip(GAP):
                     raise ValueError("a piece spans two words")
                 self.bytes_of[i] = piece.replace(GAP, " ").encode()
-                self.found.add_word(piece, i)
                 self.sizes[i], self.scores[i] = len(piece), alpha * model.get_score(i)
-                pieces.append(piece)
+                pieces[piece] = i
                 inside.update(piece)
         if 0 in self.byte_piece:
             raise ValueError("the model has no byte pieces, so not every text can be encoded")
-        self.found.make_automaton()
+        self.trie = Trie(pieces)
         # Marks that no piece joins to a letter before them end a unit, and so does a line end that no piece holds.
         joined = {(a, b) for p in pieces for a, b in zip(p, p[1:], strict=False)}
         marks = "".join(c for c in ".,;:!?|" if not any(b == c and a.isalpha() for a, b in joined))
@@ -93,19 +145,16 @@ class Lattice:
         sizes = np.array([len(u) for u in units], np.int64)
         begin = np.cumsum(sizes + 1) - sizes - 1
         chars = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-        found = np.fromiter(chain.from_iterable(self.found.iter(joined)) if not spelled else (), np.int64).reshape(-1, 2)
-        node, piece = found[:, 0] + 1, found[:, 1].astype(np.int32)
+        node, piece = self.trie.find(chars if not spelled else chars[:0])
         back = self.sizes[piece]
         lone = np.ones(len(chars), bool)
         lone[begin + sizes] = False
         lone[node[back == 1] - 1] = False
         lone = np.flatnonzero(lone)
-        score = self.scores[piece]
-        if len(lone):
-            node, piece = np.concatenate([node, lone + 1]), np.concatenate([piece, -1 - chars[lone].astype(np.int32)])
-            back, score = np.concatenate([back, np.ones(len(lone), np.int32)]), np.concatenate([score, np.zeros(len(lone))])
-            order = np.argsort(node, kind="stable")
-            node, piece, back, score = node[order], piece[order], back[order], score[order]
+        node, piece = np.concatenate([node, lone + 1]), np.concatenate([piece, -1 - chars[lone].astype(np.int32)])
+        back, score = np.concatenate([back, np.ones(len(lone), np.int32)]), np.concatenate([self.scores[piece[: len(back)]], np.zeros(len(lone))])
+        order = np.argsort(node, kind="stable")
+        node, piece, back, score = node[order], piece[order], back[order], score[order]
         starts = np.flatnonzero(np.diff(node, prepend=-1))  # every node but a unit's first has an edge
         counts = np.diff(starts, append=len(node))
         depth = node[starts] - np.repeat(begin, sizes + 1)[node[starts]]
