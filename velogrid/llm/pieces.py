@@ -31,6 +31,8 @@ GAP = "▁"
 REMEMBERED = 120_000
 #: Characters sampled at once.
 CHUNK = 1 << 19
+#: Places at which pieces are looked for at once.
+PLACES = 1 << 15
 
 
 class Trie:
@@ -62,7 +64,14 @@ class Trie:
     def find(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The end of each place (one past it) and its piece; longer pieces come first."""
         letter = np.append(self.classes[np.minimum(chars, len(self.classes) - 1)], -1)
-        at, ends, found = np.flatnonzero(letter >= 0), [], []
+        first, ends, found = np.flatnonzero(letter >= 0), [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        for i in range(0, len(first), PLACES):  # earlier places have the longer pieces of an end
+            got = list(self._walk(letter, first[i : i + PLACES]))[::-1]
+            ends += [x for x, _ in got]
+            found += [x for _, x in got]
+        return np.concatenate(ends), np.concatenate(found)
+
+    def _walk(self, letter: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         node = np.zeros(len(at), np.int64)
         while len(at):
             step = node * self.letters + letter[at]
@@ -81,11 +90,9 @@ class Trie:
             at, node = at[on] + 1, node[on]
             piece = self.piece[node]
             hit = piece >= 0
-            ends.append(at[hit])
-            found.append(piece[hit])
+            yield at[hit], piece[hit]
             more = letter[at] >= 0
             at, node = at[more], node[more]
-        return np.concatenate([np.zeros(0, np.int64), *ends[::-1]]), np.concatenate([np.zeros(0, np.int32), *found[::-1]])
 
 
 class Lattice:
