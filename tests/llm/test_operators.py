@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
@@ -670,6 +671,49 @@ def test_all_training_bytes_fit_the_mixer(spark, docs, monkeypatch):
     assert loss[2] <= loss[1] < loss[0] and loss[1] - loss[2] < 0.001 * loss[2]
 
 
+def test_contexts_and_their_counts_travel_in_few_bytes(docs):
+    rows = [r.text for r in docs.collect()]
+    held = np.arange(len(rows)) % 10 == 0
+    batch = pa.RecordBatch.from_pydict({"text": rows, "held": held, "first": np.zeros(len(rows), bool)})
+    bodies = [x for i, x in context_mixing._ask(4)(batch) if i >= 0]
+    replies = [context_mixing._answer([x])[0] for x in bodies]
+    streams = [b"\n" * 5 + context_mixing.stream(words(t)) for t in rows]
+    counts = collections.Counter()
+    for s, h in zip(streams, held, strict=True):
+        counts.update({k: 0 if h else n for k, n in collections.Counter((k, s[at - k : at + 1]) for k in context_mixing.ORDERS for at in range(5, len(s))).items()})
+    # 5 bytes of a hash, a count and a byte were 7 bytes a key and the counts of its bits 9; this holds the words, too.
+    assert sum(map(len, bodies)) < 4.5 * len(counts) and sum(map(len, replies)) < 5 * len(counts)
+    got = [context_mixing._unpack_keys(context_mixing._unpack(x, "u1", "u8", "u1", "i8")[0]) for x in bodies]
+    assert sorted(n for _, number in got for n in number.tolist()) == sorted(counts.values())
+
+
+def test_keys_and_counts_of_any_size_come_back_as_packed():
+    rng = np.random.default_rng(3)
+    key = np.unique(rng.integers(0, 1 << 60, 500, np.uint64) >> np.uint64(8) << np.uint64(8) | rng.integers(0, 256, (40, 500)).astype(np.uint64))
+    count = rng.integers(0, 300, len(key)) << rng.integers(0, 40, len(key))
+    for n in (0, 1, 2, len(key)):
+        for x, y in zip((key[:n], count[:n]), context_mixing._unpack_keys(context_mixing._pack_keys(key[:n], count[:n])), strict=True):
+            assert (x == y).all()
+    inputs, ones = [rng.integers(-2, 3, 3000).astype(np.int8) for _ in range(5)], rng.integers(0, 2, 3000).astype(np.uint8)
+    for most in (3, 1 << 30):  # the first ones fit beside a row
+        number = rng.integers(1, most, 3000)
+        want = collections.Counter()
+        for *x, n in zip(*inputs, ones, number, strict=True):
+            want[sum((int(v) & 255) << 8 * i for i, v in enumerate(x))] += int(n)
+        assert dict(zip(*(a.tolist() for a in context_mixing._merged(inputs, ones, number)), strict=True)) == {k: float(np.float32(n)) for k, n in want.items()}
+
+
+def test_scores_do_not_depend_on_the_order_of_rows_or_on_the_weights_to_begin_with(spark, docs, monkeypatch, tmp_path):
+    monkeypatch.setattr(context_mixing, "tuning_share", lambda n: 17)  # of a large input: first documents, then all
+    seen, sums = [], context_mixing.whole_sums
+    monkeypatch.setattr(context_mixing, "whole_sums", lambda *x: seen.append(sums(*x)) or seen[-1])
+    docs.orderBy(F.xxhash64("doc_id")).repartition(3).write.parquet(str(tmp_path / "mixed"))
+    one, other = ({r.doc_id: r.score for r in context_mixing.mixed_scores(d).collect()} for d in (docs, spark.read.parquet(str(tmp_path / "mixed"))))
+    assert one.keys() == other.keys() and all(math.isclose(one[i], other[i], rel_tol=1e-4) for i in one)
+    loss = [x[: context_mixing._SLOPES].reshape(48, -1)[:, 0].sum() for x in seen]
+    assert max(loss) < 1.05 * min(loss)
+
+
 def test_fitted_weights_are_those_of_logistic_regression(spark):
     rng, n = np.random.default_rng(5), 6000
     inputs = np.clip(np.rint(rng.normal(size=(n, 5, 8)) * 15), -120, 120).astype("i1")

@@ -10,10 +10,10 @@ those of its own document: Newton steps for the weights, hits per cell for the m
 of the bytes, whose inputs are small enough to be kept, only says where the steps over all bytes begin.
 
 How it runs on a cluster: a byte's cost depends on the byte and its longest context alone, so a block of documents
-asks once for each distinct (context, byte) of each order (see ``exchange``), costs each of them once, and adds up
-its documents. Counts of words are asked for in the same way. Before that, a smaller exchange counts a share of the contexts
-by hash, in all documents, and gives the inputs of the tuning bytes, and another one asks for the counts of all contexts and
-sums over all training bytes; no table of the corpus is broadcast or sent to the driver.
+asks once for each distinct (context, byte) of each order (see ``exchange``) and keeps the counts beside its texts, both compressed. Each Newton
+step is a pass over these kept blocks, which sums over all training bytes, and so is the scoring, which costs each distinct gram of a block once
+and adds up its documents. Counts of words are asked for in the same way. Before that, a smaller exchange counts a share of the contexts
+by hash, in all documents, and gives the inputs of the tuning bytes; no table of the corpus is broadcast or sent to the driver.
 """
 
 from __future__ import annotations
@@ -31,19 +31,22 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velogrid.llm.exchange import OWN, bucket_count, exchange, setting
+from velogrid.llm.exchange import OWN, bucket_count, exchange, setting, small_batches
 from velogrid.llm.samples import remainder
 from velogrid.llm.words import mix, words
+from velogrid.session import staged
 
 ORDERS = (1, 2, 3, 4, 5)
 _TOP = len(ORDERS)
 #: One byte in ``TUNING_SHARE`` of the training documents gives the first weights, and more of a small input, so that about ``LEAST_TUNING`` do.
 #: They lie in all documents, after contexts of which one in ``CONTEXT_SHARE`` is taken.
 TUNING_SHARE, LEAST_TUNING, CONTEXT_SHARE = 256, 400_000, 32
+#: The documents of one hash in ``FIRST_SHARE``, of a large input, lead from there to the weights from which the steps over all bytes begin.
+FIRST_SHARE = 16
 PASSES, RIDGE = 10, 1.0
 #: The step that gains less than this part of the loss is the last one over all bytes; after it, next to nothing is left to gain.
 ENOUGH = 1e-3
-BLOCK_BYTES, FIT_BYTES = 8 << 20, 4 << 20
+BLOCK_BYTES = 8 << 20
 #: Logits are kept as whole numbers of 1/15, from -8 to 8.
 SCALE, PRIOR = 15.0, 0.05
 CELLS = 33
@@ -89,20 +92,21 @@ def word_numbers(found: list[list[bytes]]) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def _parts(grams: np.ndarray, counts: np.ndarray, buckets: int):
-    """All distinct (context, byte) of all orders of distinct ``grams``: bucket, low bits, byte, count, and which one each gram has."""
-    bucket, low, byte, number, at = [], [], [], [], []
-    start = 0
-    for order in ORDERS:
-        which, short = pd.factorize(grams & np.uint64((1 << 8 * (order + 1)) - 1))
+def _parts(grams: np.ndarray, counts: np.ndarray):
+    """All distinct (context, byte) of all orders of distinct sorted ``grams``: keys of 52 bits of the context's hash and the byte, counts, and which one each
+    gram has. Those of an order follow one another by the value of context and byte."""
+    key, number, at = [], [], []
+    short, which = grams, np.arange(len(grams))
+    for order in reversed(ORDERS):  # each order's are few beside those of the next one
+        if order < _TOP:
+            short, back = np.unique(short & np.uint64((1 << 8 * (order + 1)) - 1), return_inverse=True)
+            which, counts = back[which], np.bincount(back, counts, len(short))
         h, b = hashed(short, order)
-        bucket.append((h >> np.uint64(40)) % np.uint64(buckets))
-        low.append(h & _LOW)
-        byte.append(b)
-        number.append(np.bincount(which, counts, len(short)))
-        at.append(which + start)
-        start += len(short)
-    return np.concatenate(bucket).astype(np.int64), np.concatenate(low), np.concatenate(byte), np.concatenate(number).astype(np.int64), np.stack(at)
+        key.append(h >> np.uint64(12) << np.uint64(8) | b)
+        number.append(counts)
+        at.append(which)
+    start = np.cumsum([0, *map(len, key[:-1])])
+    return np.concatenate(key), np.concatenate(number).astype(np.int64), np.stack([x + n for x, n in zip(at, start, strict=True)][::-1]).astype(np.int32)
 
 
 def _short(number: np.ndarray) -> list[np.ndarray]:
@@ -120,6 +124,24 @@ def _planes(low: np.ndarray, number: np.ndarray) -> list[np.ndarray]:
     return [(low >> np.uint64(32)).astype("u1"), low.astype("u4"), *_short(number)]
 
 
+def _squeeze(*arrays: np.ndarray) -> np.ndarray:
+    return np.frombuffer(zstandard.compress(_pack(*arrays), 1), "u1")
+
+
+def _pack_keys(key: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Sorted keys and their counts: a context once, as the step from the one before it, and how many bytes follow it."""
+    context = key >> np.uint64(8)
+    starts = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]])) if len(key) else np.zeros(0, np.int64)
+    steps = np.diff(context[starts], prepend=np.uint64(0))
+    return _squeeze(np.ascontiguousarray(steps.view("u1").reshape(-1, 8).T), (np.diff(starts, append=len(key)) - 1).astype("u1"), key.astype("u1"), *_short(count))
+
+
+def _unpack_keys(body: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    steps, more, byte, small, large = _unpack(zstandard.decompress(body), "u1", "u1", "u1", "u1", "i8")
+    context = np.cumsum(np.ascontiguousarray(steps.reshape(8, -1).T).reshape(-1).view("u8"))
+    return np.repeat(context << np.uint64(8), more.astype(np.int64) + 1) | byte, _full(small, large)
+
+
 def _unplane(high, low, small, large) -> tuple[np.ndarray, np.ndarray]:
     return high.astype(np.uint64) << np.uint64(32) | low, _full(small, large)
 
@@ -136,35 +158,41 @@ def _unpack(body: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
+def _bucket(key: np.ndarray, drop: int, buckets: int) -> np.ndarray:
+    """The bucket of keys, from 24 bits above ``drop``: it rises with the key, so that sorted keys follow one another by bucket."""
+    return ((key >> np.uint64(drop)) * np.uint64(buckets) >> np.uint64(24)).astype(np.int64)
+
+
 class Block:
-    """What a block of documents asks for, in an order that it finds again from its texts.
+    """What a block of documents asks for, in an order that it finds again from its texts: by key, words by their number.
 
     Words and bytes are numbered a few texts at a time, so that those of a million bytes are in use at once, not of the whole block.
     """
 
-    def __init__(self, texts: list[bytes | None], held: np.ndarray, buckets: int):
+    def __init__(self, texts: list[bytes | None], held: np.ndarray, with_words: bool = True):
+        self.held = held
         self.pieces: list[tuple[int, int, np.ndarray, slice]] = []  # first and last document, each byte's place, and where the piece's distinct grams lie
         grams, counts, numbers, tokens, sizes, start = [], [], [], [], [], 0
         for first, group in _groups(texts):
             found = [words(t) for t in group]
             streams = [stream(f) for f in found]
-            numbers.append(word_numbers(found))
+            if with_words:
+                numbers.append(word_numbers(found))
             tokens += [len(f) + 1 for f in found]
             sizes += [len(s) for s in streams]
             at, distinct = pd.factorize(contexts(streams))
             learned = np.repeat(~held[first : first + len(group)], sizes[first:])
-            counts.append(np.bincount(at, learned, len(distinct)))
+            counts.append(np.bincount(at[learned], minlength=len(distinct)))
             grams.append(distinct)
             self.pieces.append((first, first + len(group), at.astype(np.int32), slice(start, start + len(distinct))))
             start += len(distinct)
         self.sizes, self.tokens = np.array(sizes), np.array(tokens)
-        self.token_at, self.words = pd.factorize(np.concatenate(numbers))
-        self.word_counts = np.bincount(self.token_at, np.repeat(~held, self.tokens), len(self.words)).astype(np.int64)
-        self.gram_at, self.grams = pd.factorize(np.concatenate(grams))
-        self.bucket, self.low, self.byte, self.count, self.at = _parts(self.grams, np.bincount(self.gram_at, np.concatenate(counts), len(self.grams)), buckets)
-        self.word_bucket = (self.words >> np.uint64(40)).astype(np.int64) % buckets
-        self.order = np.argsort(self.bucket, kind="stable")
-        self.word_order = np.argsort(self.word_bucket, kind="stable")
+        self.grams, self.gram_at = np.unique(np.concatenate(grams), return_inverse=True)
+        self.key, self.count, self.at = _parts(self.grams, np.bincount(self.gram_at, np.concatenate(counts), len(self.grams)))
+        self.order = np.argsort(self.key)
+        if with_words:
+            self.token_at, self.words = pd.factorize(np.concatenate(numbers), sort=True)
+            self.word_counts = np.bincount(self.token_at, np.repeat(~held, self.tokens), len(self.words)).astype(np.int64)
 
     def summed(self, cost: np.ndarray) -> np.ndarray:
         """The sum of each document's bytes, of a value per distinct gram."""
@@ -178,19 +206,19 @@ class Block:
 def _ask(buckets: int):
     def ask(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes]]:
         texts = [None if x is None else bytes(x) for x in batch.column("text").cast(pa.binary()).to_pylist()]
-        held = batch.column("held").to_numpy(zero_copy_only=False)
-        b = Block(texts, held, buckets)
+        b = Block(texts, batch.column("held").to_numpy(zero_copy_only=False))
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, batch.schema) as out:
             out.write_batch(batch)
-        yield OWN, zstandard.compress(sink.getvalue(), 3)
-        o, w = b.order, b.word_order
-        edges = np.searchsorted(b.bucket[o], np.arange(buckets + 1))
-        word_edges = np.searchsorted(b.word_bucket[w], np.arange(buckets + 1))
+        first = batch.column("first")[0].as_py()  # as all rows of a block
+        yield OWN, bytes([first]) + zstandard.compress(sink.getvalue(), 3)
+        key, count = b.key[b.order], b.count[b.order]
+        edges = np.searchsorted(_bucket(key, 36, buckets), np.arange(buckets + 1))
+        word_edges = np.searchsorted(_bucket(b.words, 40, buckets), np.arange(buckets + 1))
         for i in range(buckets):
-            part, own = o[edges[i] : edges[i + 1]], w[word_edges[i] : word_edges[i + 1]]
-            if len(part) or len(own):
-                yield i, _pack(*_planes(b.low[part], b.count[part]), b.byte[part].astype("u1"), b.words[own], *_short(b.word_counts[own]))
+            part, own = slice(*edges[i : i + 2]), slice(*word_edges[i : i + 2])
+            if part.start < part.stop or own.start < own.stop:
+                yield i, _pack(_pack_keys(key[part], count[part]), b.words[own], *_short(b.word_counts[own]))
 
     return ask
 
@@ -223,56 +251,82 @@ def nodes(key: np.ndarray, total: np.ndarray, wanted: np.ndarray) -> Iterator[tu
         start, low, high = np.where(one, start + half, start), np.where(one, middle, low), np.where(one, high, middle)
 
 
-def _answer(bodies: list[bytes]) -> list[bytes]:
-    got = [_unpack(x, "u1", "u4", "u1", "i8", "u1", "u8", "u1", "i8") for x in bodies]
-    low, count = (np.concatenate(x) for x in zip(*(_unplane(*g[:4]) for g in got), strict=True))
-    key = low << np.uint64(8) | np.concatenate([g[4] for g in got])
-    distinct, at = np.unique(key, return_inverse=True)
-    table = logits(distinct >> np.uint64(8), distinct & np.uint64(255), np.bincount(at, count, len(distinct)).astype(np.int64))
-    number = np.concatenate([_full(*g[6:]) for g in got])
-    distinct, word_at = np.unique(np.concatenate([g[5] for g in got]), return_inverse=True)
-    sums = np.bincount(word_at, number, len(distinct)).astype("i8")
-    out, a, b = [], 0, 0
-    for i, g in enumerate(got):
-        n, m = len(g[1]), len(g[5])
-        totals = np.array([sums.sum(), (sums > 0).sum()] if i == 0 else [0, 0], "i8")  # told once
-        out.append(_pack(table[at[a : a + n]].reshape(-1), sums[word_at[b : b + m]], totals))
-        a, b = a + n, b + m
-    return out
-
-
 def paths(key: np.ndarray, count: np.ndarray) -> np.ndarray:
     """(9, n), of distinct sorted keys and their counts: how many have the key's context and the first bits of its byte, but the
     other value of the next bit, for each of the 8; last the key's own count."""
-    out, below = np.empty((9, len(key)), np.int64), count
+    out, below = np.empty((9, len(key)), count.dtype), count
     out[8] = count
+    total = np.concatenate([np.zeros(1, count.dtype), np.cumsum(count, dtype=count.dtype)])
     # The highest bit in which neighbours differ says up to which prefix they are one.
-    differ = np.concatenate([[np.uint64(255)], key[1:] ^ key[:-1]])
+    differ = np.concatenate([[np.uint64(255)], key[1:] ^ key[:-1]]).clip(max=np.uint64(256)).astype(np.uint16)
     for i in range(7, -1, -1):
-        new = differ >= np.uint64(1 << (8 - i))
-        new[0] = True
-        starts = np.flatnonzero(new)
-        here = np.repeat(np.add.reduceat(count, starts), np.diff(starts, append=len(key)))
+        new = differ >= 1 << (8 - i)
+        new[:1] = True
+        edges = np.append(np.flatnonzero(new), len(key))
+        here = np.repeat(np.diff(total[edges]), np.diff(edges))
         np.subtract(here, below, out=out[i])
         below = here
     return out
 
 
-def _answer_paths(bodies: list[bytes]) -> list[bytes]:
-    got = [_unpack(x, "u1", "u4", "u1", "i8", "u1", "u8", "u1", "i8") for x in bodies]
-    low, count = (np.concatenate(x) for x in zip(*(_unplane(*g[:4]) for g in got), strict=True))
-    if not len(low):  # words alone
-        return [_pack(*_short(count))] * len(bodies)
-    distinct, at = np.unique(low << np.uint64(8) | np.concatenate([g[4] for g in got]), return_inverse=True)
-    table = np.ascontiguousarray(paths(distinct, np.bincount(at, count, len(distinct)).astype(np.int64)).T)
-    out, a = [], 0
-    for g in got:
-        n = len(g[1])
-        out.append(_pack(*_short(table[at[a : a + n]].reshape(-1))))
-        a += n
+def _answer(bodies: list[bytes]) -> list[bytes]:
+    """``paths`` of the asked keys, by level, as they compress better so; counts of the words."""
+    got = [_unpack(x, "u1", "u8", "u1", "i8") for x in bodies]
+    keys, counts = zip(*(_unpack_keys(g[0]) for g in got), strict=True)
+    distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
+    table = paths(distinct, np.bincount(at, np.concatenate(counts), len(distinct)).astype(np.int64)) if len(distinct) else np.zeros((9, 0), np.int64)
+    number = np.concatenate([_full(*g[2:]) for g in got])
+    distinct, word_at = np.unique(np.concatenate([g[1] for g in got]), return_inverse=True)
+    sums = np.bincount(word_at, number, len(distinct)).astype("i8")
+    out, a, b = [], 0, 0
+    for i, (g, key) in enumerate(zip(got, keys, strict=True)):
+        n, m = len(key), len(g[1])
+        totals = np.array([sums.sum(), (sums > 0).sum()] if i == 0 else [0, 0], "i8")  # told once
+        out.append(_pack(_squeeze(*_short(table[:, at[a : a + n]].reshape(-1))), sums[word_at[b : b + m]], totals))
+        a, b = a + n, b + m
     return out
 
 
+COUNTED = "first boolean, texts binary, counts binary"
+_COUNTED = pa.schema([("first", pa.bool_()), ("texts", pa.binary()), ("counts", pa.binary())])
+
+
+def _keep(own: bytes, replies: dict[int, bytes]) -> pa.Table:
+    bodies = [replies[i] for i in sorted(replies)]
+    return pa.table([[own[0] == 1], [own[1:]], [_pack(np.array([len(x) for x in bodies], "i8"), np.frombuffer(b"".join(bodies), "u1"))]], schema=_COUNTED)
+
+
+def counted(docs: DataFrame, buckets: int, size: int = 0) -> DataFrame:
+    """Per block of rows (doc_id, text, held): its texts, and the counts of all that it asks for in the rows that aren't held.
+
+    The documents of one hash in ``FIRST_SHARE`` have blocks of their own, marked as ``first``.
+    """
+    block = min(BLOCK_BYTES, max(size // 32, 1 << 18))  # several per core of a small input, too
+    first = F.pmod(F.xxhash64("doc_id"), F.lit(FIRST_SHARE)) == 0
+    dealt = docs.where(first).withColumn("first", F.lit(True)).unionAll(docs.where(~first).withColumn("first", F.lit(False)))
+    return exchange(dealt, _ask(buckets), _answer, _keep, COUNTED, size, "counted", block)
+
+
+def _kept_blocks(batches: Iterator[pa.RecordBatch], with_words: bool) -> Iterator[tuple[pa.RecordBatch, Block, np.ndarray, list]]:
+    """Rows, block, (9, keys) ``paths`` in the order of its keys, and the answers about words."""
+    for kept in batches:
+        for own, counts in zip(kept.column("texts"), kept.column("counts"), strict=True):
+            with pa.ipc.open_stream(zstandard.decompress(own.as_buffer())) as s:
+                batch = s.read_all().combine_chunks().to_batches()[0]
+            texts = [None if x is None else bytes(x) for x in batch.column("text").cast(pa.binary()).to_pylist()]
+            b = Block(texts, batch.column("held").to_numpy(zero_copy_only=False), with_words)
+            del texts
+            table, word_counts, start = np.empty((9, len(b.key)), np.int64), [], 0
+            sizes, bodies = _unpack(counts.as_buffer(), "i8", "u1")
+            for body in np.split(bodies, np.cumsum(sizes)[:-1]):
+                keys, *more = _unpack(body, "u1", "i8", "i8")
+                level = _full(*_unpack(zstandard.decompress(keys), "u1", "i8")).reshape(9, -1)
+                table[:, b.order[start : start + level.shape[1]]] = level
+                word_counts.append(more)
+                start += level.shape[1]
+            yield batch, b, table, word_counts
+
+
 class Mixer:
     """Weights by gate and bit, and the probability map; both are fitted (``fitted``) or learn online."""
 
@@ -313,42 +367,62 @@ class Mixer:
         return np.log10(np.where(bits == 1, p, 1 - p)).sum(1)
 
 
+def gates(inputs: np.ndarray) -> np.ndarray:
+    """The last order whose input isn't 0, of (orders, n) inputs; 0 if there is none."""
+    out = np.zeros(inputs.shape[1], np.int8)
+    for i, x in enumerate(inputs):
+        out[x != 0] = i + 1
+    return out
+
+
+def gram_costs(mixer: Mixer, inputs: list[np.ndarray], byte: np.ndarray) -> np.ndarray:
+    """``Mixer.cost`` of bytes whose inputs, by order, are (n, 8) whole numbers: of a one against a zero."""
+    out, ones = np.zeros(len(byte)), _bits(byte.astype(np.uint64)) == 1
+    for bit in range(8):
+        whole = np.stack([x[:, bit] for x in inputs])
+        gate = gates(whole)
+        for g in np.flatnonzero(np.bincount(gate)):
+            at = np.flatnonzero(gate == g)
+            z = np.clip(mixer.weights[g, bit] @ (whole[:, at] / SCALE), -8, 8)
+            p = 0.5 / (1 + np.exp(-z)) + 0.5 * mixer.map[g, bit, np.rint(2 * z).astype(np.int64) + CELLS // 2]
+            p = np.clip(p, 1e-5, 1 - 1e-5)
+            out[at] += np.log10(np.where(ones[at, bit], p, 1 - p))
+    return out
+
+
 def _bits(grams: np.ndarray) -> np.ndarray:
     return (grams[:, None] >> np.arange(7, -1, -1).astype(np.uint64)[None, :]).astype(np.int64) & 1
 
 
-def _finish(mixer: Mixer, buckets: int):
-    def finish(own: bytes, replies: dict[int, bytes]) -> pa.Table:
-        with pa.ipc.open_stream(zstandard.decompress(own)) as s:
-            batch = s.read_all().combine_chunks()
-        texts = [None if x is None else bytes(x) for x in batch.column("text").cast(pa.binary()).to_pylist()]
-        held = batch.column("held").to_numpy(zero_copy_only=False)
-        b = Block(texts, held, buckets)
-        got = [_unpack(replies[i], "i1", "i8", "i8") for i in sorted(replies)]
-        table = np.zeros((len(b.low), 8), np.int8)
-        table[b.order] = np.concatenate([g[0] for g in got]).reshape(-1, 8)
-        known = np.zeros(len(b.words), np.int64)
-        known[b.word_order] = np.concatenate([g[1] for g in got])
-        totals = np.sum([g[2] for g in got], axis=0)
-
-        inputs = lambda at: table[b.at[:, at]].transpose(1, 0, 2) / SCALE
-        bits = _bits(b.grams)
-        cost = np.zeros(len(b.grams))
-        for at in range(0, len(cost), 4000):
-            part = np.arange(at, min(at + 4000, len(cost)))
-            cost[part] = mixer.cost(inputs(part), bits[part])
-        score = b.summed(cost)
-        token_starts = np.cumsum(b.tokens) - b.tokens
-        c = known[b.token_at]
-        word_score = np.add.reduceat(np.log10(c + 0.1), token_starts)
-        n_known = np.add.reduceat((c > 0).astype(np.int64), token_starts)
-        rows = pa.table([batch.column("doc_id"), pa.array(held), pa.array(b.tokens), pa.array(n_known), pa.array(word_score), pa.array(score), pa.array(b.sizes), pa.nulls(len(held), pa.int64()), pa.nulls(len(held), pa.int64())], schema=_RESULT)
-        if not totals.any():
-            return rows
-        more = {f.name: [None] for f in _RESULT} | {"n_words_all": [int(totals[0])], "n_distinct": [int(totals[1])]}
-        return pa.concat_tables([rows, pa.table(more, schema=_RESULT)])
-
-    return finish
+def scored(blocks: DataFrame, mixer: Mixer) -> DataFrame:
+    """``RESULT`` of the rows of ``counted`` blocks."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, b, counts, answers in _kept_blocks(batches, True):
+            ones = _bits(b.key) == 1
+            table, same = np.empty((len(b.key), 8), np.int8), counts[8].copy()
+            for i in range(7, -1, -1):
+                table[:, i] = logit(np.where(ones[:, i], counts[i], same), np.where(ones[:, i], same, counts[i]))
+                same += counts[i]
+            cost = np.zeros(len(b.grams))
+            for at in range(0, len(cost), 50_000):
+                part = slice(at, at + 50_000)
+                cost[part] = gram_costs(mixer, [table[x[part]] for x in b.at], b.grams[part] & np.uint64(255))
+            known = np.concatenate([x for x, _ in answers])
+            totals = np.sum([x for _, x in answers], axis=0)
+            token_starts = np.cumsum(b.tokens) - b.tokens
+            c = known[b.token_at]
+            word_score = np.add.reduceat(np.log10(c + 0.1), token_starts)
+            n_known = np.add.reduceat((c > 0).astype(np.int64), token_starts)
+            none = pa.nulls(len(b.tokens), pa.int64())
+            columns = [batch.column("doc_id"), pa.array(b.held), *map(pa.array, (b.tokens, n_known, word_score, b.summed(cost), b.sizes)), none, none]
+            yield pa.RecordBatch.from_arrays(columns, schema=_RESULT)
+            if totals.any():
+                more = {f.name: [None] for f in _RESULT} | {"n_words_all": [int(totals[0])], "n_distinct": [int(totals[1])]}
+                yield pa.RecordBatch.from_pydict(more, schema=_RESULT)
+
+    with small_batches(blocks.sparkSession):
+        return staged(blocks.sparkSession, blocks.mapInArrow(score, RESULT), "scores")
 
 
 def _thin(numbers: np.ndarray, share: int) -> np.ndarray:
@@ -484,106 +558,158 @@ def tuning_inputs(docs: DataFrame, share: int, buckets: int, size: int = 0) -> D
     return exchange(docs, ask, _answer_tuning, _finish_tuning, TUNING, size, "tuning", BLOCK_BYTES)
 
 
-def _left_inputs(b: Block, table: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The inputs (n, orders, 8) of all bytes of a block and these bytes, a piece at a time, from ``paths`` of its keys and without each byte's own document."""
-    prior = np.float32(PRIOR)
+def _sorted(doc: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of rows by document, then by number, and where in it each pair's first row is."""
+    bits = [int(x.max(initial=0)).bit_length() for x in (doc, number)] + [len(doc).bit_length()]
+    pair = doc << np.uint64(bits[1]) | number
+    if sum(bits) <= 64:  # sorted with the row's place in the last bits, which is faster than by place
+        pair = np.sort(pair << np.uint64(bits[2]) | np.arange(len(pair), dtype=np.uint64))
+        order = (pair & np.uint64((1 << bits[2]) - 1)).astype(np.int64)
+        pair >>= np.uint64(bits[2])
+    else:
+        order = np.argsort(pair)
+        pair = pair[order]
+    return order, np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+
+
+def _without_own(counts: list[np.ndarray], own: np.ndarray) -> np.ndarray:
+    """(n, 8): the logits of the bits that are there, from ``paths`` of the rows in all documents and in their own."""
+    out, prior = np.empty((own.shape[1], 8), np.int8), np.float32(PRIOR)
+    same = counts[8] - own[8]
+    for i in range(7, -1, -1):
+        other = counts[i] - own[i]
+        x = np.log((same + prior) / (other + prior))
+        x *= np.float32(SCALE)
+        out[:, i] = np.clip(np.rint(x, out=x), -120, 120, out=x)
+        same += other
+    return out
+
+
+def _left_inputs(b: Block, counts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of all learned bytes of a block, a piece at a time, each distinct one of a document once: inputs (orders, n, 8) of the bits that are there against the
+    other value, the byte, and how often it is there. ``counts`` are ``paths`` of the block's keys; those of the byte's own document are left out."""
+    counts = counts.astype(np.float32)  # one of 2^24 and more to seven digits, far finer than a logit's steps
+    alone = np.zeros((9, len(b.key)), np.float32)
+    alone[8] = 1
+    # Most contexts are in a document once, and then its own share is the same in all of them.
+    once = _without_own(np.maximum(counts, alone), alone).view(np.uint64)[:, 0]
+    gram_at = b.gram_at.astype(np.uint64)
     for first, last, at, distinct in b.pieces:
-        which = b.gram_at[distinct][at]
-        grams, doc = b.grams[which], np.repeat(np.arange(last - first, dtype=np.uint64), b.sizes[first:last])
-        ones = _bits(grams) == 1
-        inputs = np.empty((len(grams), _TOP, 8), np.int8)
-        for i, order in enumerate(ORDERS):
-            bits = np.uint64(8 * (order + 1))
-            key, place, n = np.unique(doc << bits | grams & ((np.uint64(1) << bits) - np.uint64(1)), return_inverse=True, return_counts=True)
-            # Inputs are the same for all bytes of a document that have the same key.
-            some = np.empty(len(key), np.int64)
-            some[place] = which
-            own = paths(key, n).astype(np.float32)
-            own = table[b.at[i, some]] - np.ascontiguousarray(own.T)
-            other, same = own[:, :8] + prior, np.cumsum(own[:, ::-1], axis=1)[:, 7::-1] + prior
-            x = np.clip(np.rint(np.log(same / other) * np.float32(SCALE)), -120, 120).astype(np.int8)
-            inputs[:, i] = x[place]
-        inputs *= np.where(ones, 1, -1).astype(np.int8)[:, None]
-        yield inputs, (grams & np.uint64(255)).astype(np.uint8)
-
-
-def _merged(inputs: np.ndarray, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct rows of inputs and byte, and how often each is there."""
-    h = mix(byte.astype(np.uint64))
-    for part in np.ascontiguousarray(inputs).reshape(len(byte), -1).view(np.uint64).T:
-        h = mix(h ^ part)
-    at, distinct = pd.factorize(h)
-    some = np.empty(len(distinct), np.int64)
-    some[at] = np.arange(len(at))
-    return inputs[some], byte[some], np.bincount(at, minlength=len(distinct))
+        learned = ~b.held[first:last]
+        sizes = b.sizes[first:last]
+        doc = np.repeat(np.arange(last - first, dtype=np.uint64), np.where(learned, sizes, 0))
+        if not len(doc):
+            continue
+        which = gram_at[distinct][at]
+        if not learned.all():
+            which = which[np.repeat(learned, sizes)]
+        pair, n = np.unique(doc << np.uint64(32) | which, return_counts=True)
+        n = n.astype(np.int32)
+        doc, which = pair >> np.uint64(32), (pair & np.uint64((1 << 32) - 1)).astype(np.int64)
+        byte = (b.grams[which] & np.uint64(255)).astype(np.uint8)
+        inputs = np.empty((_TOP, len(pair)), np.uint64)
+        place, owner, ends, number = None, doc, byte, n  # of each order's rows: theirs in the order before, document, byte, and number
+        key, rows = b.at[_TOP - 1][which], which
+        for i in range(_TOP - 1, -1, -1):
+            if i < _TOP - 1:
+                key = b.at[i][rows]
+                order, starts = _sorted(owner, key.astype(np.uint64))
+                back = np.empty(len(order), np.int64)
+                back[order] = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(order)))
+                number, some = np.add.reduceat(number[order], starts), order[starts]
+                owner, ends, rows, key = owner[some], ends[some], rows[some], key[some]
+                place = back if place is None else back[place]
+            context = (b.grams[rows] >> np.uint64(8)) & np.uint64((1 << 8 * (i + 1)) - 1)
+            new = np.concatenate([[True], (context[1:] != context[:-1]) | (owner[1:] != owner[:-1])])
+            single = new & np.append(new[1:], True) & (number == 1)
+            x = once[key]
+            rest = np.flatnonzero(~single)
+            if len(rest):
+                own = paths(np.cumsum(new)[rest].astype(np.uint64) << np.uint64(8) | ends[rest], number[rest])
+                asked = key[rest]
+                x[rest] = _without_own([c[asked] for c in counts], own.astype(np.float32)).view(np.uint64)[:, 0]
+            inputs[i] = x if place is None else x[place]
+        yield inputs.view(np.int8).reshape(_TOP, len(pair), 8), byte, n
+
+
+def _merged(inputs: list[np.ndarray], ones: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct rows of a bit and its inputs by order, a byte each from the lowest on, and how often each is there. A few times fewer are left."""
+    row = ones.astype(np.uint64)
+    for x in reversed(inputs):
+        row <<= np.uint64(8)
+        row |= x.view(np.uint8)
+    free = 63 - 8 * _TOP
+    if int(count.max()).bit_length() > free:
+        row, at = np.unique(row, return_inverse=True)
+        return row, np.bincount(at, count, len(row)).astype(np.float32)
+    row = np.sort(row << np.uint64(free) | count.astype(np.uint64))  # faster than by place
+    number = (row & np.uint64((1 << free) - 1)).astype(np.int64)
+    row >>= np.uint64(free)
+    starts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+    return row[starts], np.add.reduceat(number, starts).astype(np.float32)
 
 
 def weighed_sums(mixer: Mixer, inputs: np.ndarray, byte: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """``slopes`` and ``hits`` of whole-number inputs and bytes that are there ``count`` times."""
+    """``slopes`` and ``hits`` of whole-number inputs (orders, n, 8), of the bits that are there, and bytes that are there ``count`` times."""
     sums = np.zeros((_TOP + 1, 8, 1 + _TOP + _TOP * _TOP))
     cells = np.zeros((2, _TOP + 1, 8, CELLS))
-    gates = (np.arange(1, _TOP + 1, dtype=np.int8)[None, :, None] * (inputs != 0)).max(1)
-    bits = _bits(byte.astype(np.uint64)) == 1
+    bits = np.unpackbits(byte[:, None], axis=1)
     for bit in range(8):
-        by_gate = np.argsort(gates[:, bit], kind="stable")
-        for gate, part in enumerate(np.split(by_gate, np.searchsorted(gates[by_gate, bit], np.arange(1, _TOP + 1)))):
+        rows, number = _merged([x[:, bit] for x in inputs], bits[:, bit], count)
+        whole = np.stack([(rows >> np.uint64(8 * i)).astype(np.uint8).view(np.int8) for i in range(_TOP)])
+        ones = rows >> np.uint64(8 * _TOP) == 1
+        gate = gates(whole)
+        for g in np.flatnonzero(np.bincount(gate)):
+            part = np.flatnonzero(gate == g)
+            weights, out = mixer.weights[g, bit].astype(np.float32), sums[g, bit]
             for at in range(0, len(part), 20_000):
                 few = part[at : at + 20_000]
-                x, y, n = inputs[few, :, bit] / SCALE, bits[few, bit], count[few].astype(np.float64)
-                z = x @ mixer.weights[gate, bit]
-                p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-                out = sums[gate, bit]
-                out[0] += n @ (np.maximum(z, 0) + np.log1p(np.exp(-np.abs(z))) - y * z)
-                out[1 : 1 + _TOP] += (n * (p - y)) @ x
-                out[1 + _TOP :] += ((x * (n * p * (1 - p))[:, None]).T @ x).reshape(-1)
-                cell = np.rint(2 * np.clip(z, -8, 8)).astype(np.int64) + CELLS // 2
-                cells[0, gate, bit] += np.bincount(cell, n, CELLS)
-                cells[1, gate, bit] += np.bincount(cell, n * y, CELLS)
+                x, y, n = whole[:, few] / np.float32(SCALE), ones[few], number[few]
+                z = weights @ x
+                e = np.exp(-np.abs(z))
+                missed = np.where(z >= 0, e, np.float32(1)) / (1 + e)
+                out[0] += (n * (np.maximum(-z, 0) + np.log1p(e))).sum(dtype=np.float64)
+                weight = n * missed
+                out[1 : 1 + _TOP] -= x @ weight
+                weight *= 1 - missed
+                out[1 + _TOP :] += ((x * weight) @ x.T).reshape(-1)
+                cell = np.rint(2 * np.clip(z, -8, 8)).astype(np.int64)
+                cell = np.where(y, cell + CELLS, -cell) + CELLS // 2
+                hit = np.bincount(cell, n, 2 * CELLS).reshape(2, CELLS)
+                cells[0, g, bit] += hit.sum(0)
+                cells[1, g, bit] += hit[1]
     return np.concatenate([sums.reshape(-1), cells.reshape(-1)])
 
 
-def _finish_fit(mixer: Mixer, buckets: int):
-    """The sums of ``slopes`` and ``hits`` over all bytes of a block, in whole numbers of 1/FINE."""
-
-    def finish(own: bytes, replies: dict[int, bytes]) -> pa.Table:
-        with pa.ipc.open_stream(zstandard.decompress(own)) as s:
-            batch = s.read_all().combine_chunks()
-        texts = [None if x is None else bytes(x) for x in batch.column("text").cast(pa.binary()).to_pylist()]
-        b = Block(texts, batch.column("held").to_numpy(zero_copy_only=False), buckets)
-        table = np.zeros((len(b.low), 9), np.float32)  # a count of 2^24 and more to seven digits, far finer than a logit's steps
-        table[b.order] = np.concatenate([_full(*_unpack(replies[i], "u1", "i8")) for i in sorted(replies)]).reshape(-1, 9)
-        total = np.zeros(_SUMS, np.int64)
-        for piece in _left_inputs(b, table):
-            total += np.rint(weighed_sums(mixer, *_merged(*piece)) * FINE).astype(np.int64)
-        return pa.table([[total.tobytes()]], schema=_FIT)
-
-    return finish
-
-
 _GATES = (_TOP + 1) * 8
 _SLOPES = _GATES * (1 + _TOP + _TOP * _TOP)
 _SUMS = _SLOPES + 2 * _GATES * CELLS
-_FIT = pa.schema([("sums", pa.binary())])
 
 
-def whole_sums(learned: DataFrame, mixer: Mixer, buckets: int, size: int = 0) -> np.ndarray:
-    """``slopes`` and ``hits`` of a mixer, summed over all bytes of the rows ``learned`` (doc_id, text, held), each without its own row's counts."""
-    block = min(FIT_BYTES, max(size // 64, 1 << 18))  # several per core of a small input, too
-    blocks = exchange(learned, _ask(buckets), _answer_paths, _finish_fit(mixer, buckets), "sums binary", size, "fit", block)
+def _block_sums(blocks: DataFrame, mixer: Mixer) -> np.ndarray:
+    """``slopes`` and ``hits`` of a mixer over all learned bytes of ``counted`` blocks, each without its own row's counts, in whole numbers of 1/FINE."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(_SUMS, np.int64)
-        for batch in batches:
-            for x in batch.column("sums").to_pylist():
-                total += np.frombuffer(x, np.int64)
+        for _, b, counts, _ in _kept_blocks(batches, False):
+            for piece in _left_inputs(b, counts):
+                total += np.rint(weighed_sums(mixer, *piece) * FINE).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(_SUMS)), pa.array(total)], names=["i", "v"])
 
     out = np.zeros(_SUMS)
-    for r in blocks.mapInArrow(add, "i long, v long").groupBy("i").agg(F.sum("v").alias("v")).collect():
+    with small_batches(blocks.sparkSession):
+        rows = blocks.mapInArrow(add, "i long, v long").groupBy("i").agg(F.sum("v").alias("v")).collect()
+    for r in rows:
         out[r.i] = r.v / FINE
     return out
 
 
+def whole_sums(learned: DataFrame, mixer: Mixer, buckets: int, size: int = 0) -> np.ndarray:
+    """``slopes`` and ``hits`` of a mixer, summed over all bytes of the rows ``learned`` (doc_id, text, held) that aren't held, each without its own row's
+    counts; of rows that are ``counted`` already, their blocks."""
+    return _block_sums(learned if "counts" in learned.columns else counted(learned, buckets, size), mixer)
+
+
 def refitted(mixer: Mixer, sums: Callable[[Mixer], np.ndarray]) -> Mixer:
     """Newton steps from the weights of ``mixer`` by sums over all training bytes, and the map by their hits.
 
@@ -694,9 +820,12 @@ def mixed_scores(docs: DataFrame, divisor: int = 10, held: int = 0) -> DataFrame
     share = tuning_share(learned)
     with setting(docs.sparkSession, "spark.sql.shuffleDependency.fileCleanup.enabled", "true"):  # one exchange after the other
         mixer = fitted(tuning_inputs(docs, share, buckets, size))
+        blocks = counted(docs, buckets, size)
+        if share > FIRST_SHARE:
+            mixer = refitted(mixer, lambda m: _block_sums(blocks.where("first"), m))
         if share > 1:
-            mixer = refitted(mixer, lambda m: whole_sums(docs.where(~F.col("held")), m, buckets, size))
-        out = exchange(docs, _ask(buckets), _answer, _finish(mixer, buckets), RESULT, size, "scores", BLOCK_BYTES)
+            mixer = refitted(mixer, lambda m: whole_sums(blocks, m, buckets, size))
+        out = scored(blocks, mixer)
     totals = out.agg(F.coalesce(F.sum("n_words_all"), F.lit(0)).alias("train_tokens"), F.coalesce(F.sum("n_distinct"), F.lit(0)).alias("v"))
     base = F.col("word_score") - F.col("n_tokens") * F.log10(F.col("train_tokens") + 0.1 * (F.col("v") + 1))
     bpb = -F.col("score") / F.log10(F.lit(2.0)) / F.col("stream_bytes")
