@@ -128,18 +128,25 @@ def _squeeze(*arrays: np.ndarray) -> np.ndarray:
     return np.frombuffer(zstandard.compress(_pack(*arrays), 1), "u1")
 
 
+def _steps(numbers: np.ndarray) -> np.ndarray:
+    """Steps between sorted numbers, by byte, as the high ones are mostly 0."""
+    return np.ascontiguousarray(np.diff(numbers, prepend=np.uint64(0)).view("u1").reshape(-1, 8).T)
+
+
+def _from_steps(steps: np.ndarray) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(steps.reshape(8, -1).T).reshape(-1).view("u8"))
+
+
 def _pack_keys(key: np.ndarray, count: np.ndarray) -> np.ndarray:
     """Sorted keys and their counts: a context once, as the step from the one before it, and how many bytes follow it."""
     context = key >> np.uint64(8)
     starts = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]])) if len(key) else np.zeros(0, np.int64)
-    steps = np.diff(context[starts], prepend=np.uint64(0))
-    return _squeeze(np.ascontiguousarray(steps.view("u1").reshape(-1, 8).T), (np.diff(starts, append=len(key)) - 1).astype("u1"), key.astype("u1"), *_short(count))
+    return _squeeze(_steps(context[starts]), (np.diff(starts, append=len(key)) - 1).astype("u1"), key.astype("u1"), *_short(count))
 
 
 def _unpack_keys(body: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     steps, more, byte, small, large = _unpack(zstandard.decompress(body), "u1", "u1", "u1", "u1", "i8")
-    context = np.cumsum(np.ascontiguousarray(steps.reshape(8, -1).T).reshape(-1).view("u8"))
-    return np.repeat(context << np.uint64(8), more.astype(np.int64) + 1) | byte, _full(small, large)
+    return np.repeat(_from_steps(steps) << np.uint64(8), more.astype(np.int64) + 1) | byte, _full(small, large)
 
 
 def _unplane(high, low, small, large) -> tuple[np.ndarray, np.ndarray]:
@@ -218,7 +225,7 @@ def _ask(buckets: int):
         for i in range(buckets):
             part, own = slice(*edges[i : i + 2]), slice(*word_edges[i : i + 2])
             if part.start < part.stop or own.start < own.stop:
-                yield i, _pack(_pack_keys(key[part], count[part]), b.words[own], *_short(b.word_counts[own]))
+                yield i, _pack(_pack_keys(key[part], count[part]), _squeeze(_steps(b.words[own]), *_short(b.word_counts[own])))
 
     return ask
 
@@ -256,33 +263,64 @@ def paths(key: np.ndarray, count: np.ndarray) -> np.ndarray:
     other value of the next bit, for each of the 8; last the key's own count."""
     out, below = np.empty((9, len(key)), count.dtype), count
     out[8] = count
-    total = np.concatenate([np.zeros(1, count.dtype), np.cumsum(count, dtype=count.dtype)])
+    total = _running(count)
+    for i, edges in _nodes(key):
+        here = np.repeat(np.diff(total[edges]), np.diff(edges))
+        np.subtract(here, below, out=out[i])
+        below = here
+    return out
+
+
+def _running(count: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.zeros(1, count.dtype), np.cumsum(count, dtype=count.dtype)])
+
+
+def _nodes(key: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """For each bit from the last one: where the runs of sorted keys with the same context and bits before it begin, and the end."""
     # The highest bit in which neighbours differ says up to which prefix they are one.
     differ = np.concatenate([[np.uint64(255)], key[1:] ^ key[:-1]]).clip(max=np.uint64(256)).astype(np.uint16)
     for i in range(7, -1, -1):
         new = differ >= 1 << (8 - i)
         new[:1] = True
-        edges = np.append(np.flatnonzero(new), len(key))
-        here = np.repeat(np.diff(total[edges]), np.diff(edges))
-        np.subtract(here, below, out=out[i])
-        below = here
+        yield i, np.append(np.flatnonzero(new[: len(key)]), len(key))
+
+
+def _beside(key: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """``paths`` of a part of the keys as what their own counts don't tell: for each bit, what there is beside them, at the first key of a run. Mostly 0."""
+    out, told, here = np.zeros_like(table), table[8].copy(), table[8]
+    out[8] = table[8]
+    for i, edges in _nodes(key):
+        here, first = here + table[i], edges[:-1]
+        out[i, first] = here[first] - np.diff(_running(told)[edges])
+        told[first] += out[i, first]
     return out
 
 
+def _restore(key: np.ndarray, table: np.ndarray) -> None:
+    """Turns what ``_beside`` gives into ``paths`` again."""
+    told, below = table[8].copy(), table[8]
+    for i, edges in _nodes(key):
+        told += table[i]
+        here = np.repeat(np.diff(_running(told)[edges]), np.diff(edges))
+        np.subtract(here, below, out=table[i])
+        below = here
+
+
 def _answer(bodies: list[bytes]) -> list[bytes]:
-    """``paths`` of the asked keys, by level, as they compress better so; counts of the words."""
-    got = [_unpack(x, "u1", "u8", "u1", "i8") for x in bodies]
+    """``paths`` of the asked keys, by level and without what they tell of each other, as they compress better so; counts of the words."""
+    got = [_unpack(x, "u1", "u1") for x in bodies]
     keys, counts = zip(*(_unpack_keys(g[0]) for g in got), strict=True)
     distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
-    table = paths(distinct, np.bincount(at, np.concatenate(counts), len(distinct)).astype(np.int64)) if len(distinct) else np.zeros((9, 0), np.int64)
-    number = np.concatenate([_full(*g[2:]) for g in got])
-    distinct, word_at = np.unique(np.concatenate([g[1] for g in got]), return_inverse=True)
+    table = paths(distinct, np.bincount(at, np.concatenate(counts), len(distinct)).astype(np.int64))
+    asked = [_unpack(zstandard.decompress(g[1]), "u1", "u1", "i8") for g in got]
+    number = np.concatenate([_full(*x[1:]) for x in asked])
+    distinct, word_at = np.unique(np.concatenate([_from_steps(x[0]) for x in asked]), return_inverse=True)
     sums = np.bincount(word_at, number, len(distinct)).astype("i8")
     out, a, b = [], 0, 0
-    for i, (g, key) in enumerate(zip(got, keys, strict=True)):
-        n, m = len(key), len(g[1])
+    for i, (key, x) in enumerate(zip(keys, asked, strict=True)):
+        n, m = len(key), len(x[1])
         totals = np.array([sums.sum(), (sums > 0).sum()] if i == 0 else [0, 0], "i8")  # told once
-        out.append(_pack(_squeeze(*_short(table[:, at[a : a + n]].reshape(-1))), sums[word_at[b : b + m]], totals))
+        out.append(_pack(_squeeze(*_short(_beside(key, table[:, at[a : a + n]]).reshape(-1))), _squeeze(*_short(sums[word_at[b : b + m]])), totals))
         a, b = a + n, b + m
     return out
 
@@ -319,11 +357,17 @@ def _kept_blocks(batches: Iterator[pa.RecordBatch], with_words: bool) -> Iterato
             table, word_counts, start = np.empty((9, len(b.key)), np.int64), [], 0
             sizes, bodies = _unpack(counts.as_buffer(), "i8", "u1")
             for body in np.split(bodies, np.cumsum(sizes)[:-1]):
-                keys, *more = _unpack(body, "u1", "i8", "i8")
+                keys, of_words, totals = _unpack(body, "u1", "u1", "i8")
                 level = _full(*_unpack(zstandard.decompress(keys), "u1", "i8")).reshape(9, -1)
-                table[:, b.order[start : start + level.shape[1]]] = level
-                word_counts.append(more)
+                table[:, start : start + level.shape[1]] = level
                 start += level.shape[1]
+                if with_words:
+                    word_counts.append((_full(*_unpack(zstandard.decompress(of_words), "u1", "i8")), totals))
+            _restore(b.key[b.order], table)
+            back = np.empty_like(b.order)
+            back[b.order] = np.arange(len(back))
+            for i, level in enumerate(table):
+                table[i] = level[back]
             yield batch, b, table, word_counts
 
 
