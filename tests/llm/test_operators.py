@@ -720,6 +720,79 @@ def test_scores_do_not_depend_on_the_order_of_rows_or_on_the_weights_to_begin_wi
     assert max(loss) < 1.05 * min(loss)
 
 
+def block_of(texts, held):
+    batch = pa.RecordBatch.from_pydict({"doc_id": np.arange(len(texts)), "text": texts, "held": held, "first": np.zeros(len(texts), bool)})
+    asked = list(context_mixing._ask(4)(batch))
+    kept = context_mixing._keep(b"".join(x for i, x in asked if i < 0), {i: context_mixing._answer([x])[0] for i, x in asked if i >= 0})
+    return next(context_mixing._kept_blocks(iter(kept.to_batches()), False))
+
+
+def test_bytes_are_told_apart_by_document_only_where_their_logits_differ():
+    rng = np.random.default_rng(7)
+    some = [f"{a}{b}" for a in ("st", "th", "qu", "l", "") for b in ("one", "ire", "ake", "é")]
+    texts = [" ".join(rng.choice(some, 14)) + " the" * int(rng.integers(0, 4)) for _ in range(400)] + ["zzzz zz", "", "only here, only here"]
+    held = np.arange(len(texts)) % 10 == 3
+    _, b, counts, _ = block_of(texts, held)
+    inputs, byte, n = context_mixing._left_inputs(b, counts)
+    train = [b"\n" * 5 + context_mixing.stream(words(t)) for t, h in zip(texts, held, strict=True) if not h]
+    own = [collections.Counter((k, s[at - k : at], s[at]) for k in context_mixing.ORDERS for at in range(5, len(s))) for s in train]
+    after = collections.defaultdict(collections.Counter)
+    for (k, context, y), m in sum(own, collections.Counter()).items():
+        after[k, context][y] += m
+    want, pairs = collections.Counter(), 0
+    for s, mine in zip(train, own, strict=True):
+        grams = collections.Counter(s[at - 5 : at + 1] for at in range(5, len(s)))
+        pairs += len(grams)
+        for gram, m in grams.items():
+            y, x = gram[-1], []
+            for k in context_mixing.ORDERS:
+                left = {v: number - mine[k, gram[5 - k : 5], v] for v, number in after[k, gram[5 - k : 5]].items()}
+                for i in range(8):
+                    beside, same = (sum(q for v, q in left.items() if v >> (7 - i) == y >> (7 - i) ^ z) for z in (1, 0))
+                    x.append(int(context_mixing.logit(np.int64(beside), np.int64(same))))
+            want[y, *x] += m
+    got = collections.Counter()
+    for x, y, m in zip(inputs.transpose(1, 0, 2).reshape(len(n), -1).tolist(), byte.tolist(), n.tolist(), strict=True):
+        got[y, *x] += m
+    assert got == want
+    assert len(n) < 0.75 * pairs  # each byte of each document was one before
+
+
+def test_rows_that_do_not_fit_into_one_number_are_sorted_all_the_same():
+    rng = np.random.default_rng(2)
+    value = rng.integers(0, 1 << 60, 5000, np.uint64) >> rng.integers(0, 59, 5000).astype(np.uint64)
+    for bits in (60, 64):
+        got, place = context_mixing._in_order(value, bits)
+        assert (got == np.sort(value)).all() and (value[place] == got).all()
+    _, b, _, _ = block_of(["some text and some more", "more text", "held"], np.array([False, False, True]))
+    contexts = context_mixing._Contexts(b)
+    rows, beside, bits = context_mixing._rows(b, contexts)
+    assert bits and beside is None and (rows[1:] > rows[:-1]).all()
+    b.number = b.number.astype(np.int64) << 50
+    more, beside, none = context_mixing._rows(b, contexts)
+    assert none == 0 and (more == rows >> np.uint64(bits)).all() and (beside >> 50 == context_mixing._low(rows, bits)).all()
+
+
+def test_words_have_numbers_of_their_own():
+    found = [b"a", b"b", b"ab", b"ba", b"x" * 100, b"x" * 101, b"x" * 99 + b"y", b"y" + b"x" * 99, "é".encode(), b"\x00", b"\x00\x00"]
+    number = context_mixing.word_numbers([context_mixing.stream(found), context_mixing.stream([]), context_mixing.stream(found[::-1])])
+    n = len(found)
+    assert len(number) == 2 * n + 3 and len(set(number.tolist())) == n + 1 and not (number & np.uint64(1)).any()
+    assert (number[:n] == number[: n + 1 : -1][1:]).all() and number[n] == number[n + 1] == number[-1]
+
+
+def test_costs_of_grams_are_those_of_the_mixer():
+    rng = np.random.default_rng(4)
+    mixer, keys, n = context_mixing.Mixer(), 300, 2000
+    mixer.learn(rng.normal(size=(3000, 5, 8)), rng.integers(0, 2, (3000, 8)))
+    levels, at, byte = rng.integers(-120, 121, (8, keys)).astype(np.int8), rng.integers(0, keys, (5, n)), rng.integers(0, 256, n).astype(np.uint8)
+    levels[:, :200] = 0
+    signed = levels[:, at].transpose(2, 1, 0) * context_mixing._signs(byte)[:, None, :] / context_mixing.SCALE
+    want = mixer.cost(signed, context_mixing._bits(byte.astype(np.uint64)))
+    got = context_mixing.gram_costs(mixer, levels, at, byte)
+    assert np.mean(np.abs(got - want) < 1e-4) > 0.999 and np.allclose(got.sum(), want.sum(), rtol=1e-4)  # a cell's edge may round to either side
+
+
 def test_fitted_weights_are_those_of_logistic_regression(spark):
     rng, n = np.random.default_rng(5), 6000
     inputs = np.clip(np.rint(rng.normal(size=(n, 5, 8)) * 15), -120, 120).astype("i1")

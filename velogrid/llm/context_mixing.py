@@ -20,13 +20,10 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Callable, Iterator
-from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,9 +36,8 @@ from velogrid.session import staged
 ORDERS = (1, 2, 3, 4, 5)
 _TOP = len(ORDERS)
 #: One byte in ``TUNING_SHARE`` of the training documents gives the first weights, and more of a small input, so that about ``LEAST_TUNING`` do.
-#: They lie in all documents, after contexts of which one in ``CONTEXT_SHARE`` is taken.
-TUNING_SHARE, LEAST_TUNING, CONTEXT_SHARE = 256, 400_000, 32
-#: The documents of one hash in ``FIRST_SHARE``, of a large input, lead from there to the weights from which the steps over all bytes begin.
+TUNING_SHARE, LEAST_TUNING = 256, 400_000
+#: The documents of one hash in ``FIRST_SHARE``, of a large input, hold these bytes and lead from there to the weights from which the steps over all bytes begin.
 FIRST_SHARE = 16
 PASSES, RIDGE = 10, 1.0
 #: The step that gains less than this part of the loss is the last one over all bytes; after it, next to nothing is left to gain.
@@ -52,7 +48,6 @@ SCALE, PRIOR = 15.0, 0.05
 CELLS = 33
 #: Sums over the tuning bytes are kept as whole numbers of 1/FINE.
 FINE = float(1 << 16)
-_LOW = np.uint64((1 << 40) - 1)
 
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, word_score double, score double, stream_bytes long, n_words_all long, n_distinct long"
 _RESULT = pa.schema(
@@ -64,49 +59,82 @@ def stream(found: list[bytes]) -> bytes:
     return b" ".join([*found, b"\n"])
 
 
-def contexts(streams: list[bytes]) -> np.ndarray:
-    """Per byte: it and the ``_TOP`` bytes before it as one number; before a text come line ends."""
-    pad, more = b"\n" * _TOP, b"\n" * 7
-    data = more + b"".join(pad + s for s in streams)
-    # The eight bytes that end at each byte, read as one number; then the oldest are cut off.
-    out = np.ndarray(len(data) - len(more), ">u8", data, 0, (1,)).astype(np.uint64) & np.uint64((1 << 8 * (_TOP + 1)) - 1)
-    keep = np.ones(len(out), bool)
-    at = np.cumsum([0, *(len(s) + _TOP for s in streams)])[:-1]
-    for i in range(_TOP):
-        keep[at + i] = False
-    return out[keep]
+def places(streams: list[bytes]) -> np.ndarray:
+    """Per byte, as one number: it, the ``_TOP`` bytes before it from the last one on, and in the last 16 bits its document; before a text come line ends."""
+    sizes = np.array([len(s) for s in streams])
+    out, at = np.empty(sizes.sum(), np.uint64), 0
+    for first, group in _groups(streams):
+        data = b"".join(b"\n" * _TOP + s for s in group) + b"\n" * 2
+        # The eight bytes from the fifth before each byte on; the shift drops the two after it.
+        eight = np.ndarray(len(data) - 7, "<u8", data, 0, (1,))
+        few = sizes[first : first + len(group)]
+        keep, ends = np.ones(len(eight), bool), np.cumsum(few + _TOP)
+        for i in range(_TOP):
+            keep[ends[:-1] - 1 - i] = False
+        part = out[at : at + few.sum()]
+        np.left_shift(eight[keep], np.uint64(16), out=part)
+        part |= np.repeat(np.arange(first, first + len(group), dtype=np.uint64), few)
+        at += len(part)
+    return out
+
 
+def hashed(context: np.ndarray, order: int) -> np.ndarray:
+    return mix(mix(context + np.uint64(order << 56)))
 
-def hashed(grams: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of each context of an order, and the byte after it."""
-    context = (grams >> np.uint64(8)) & np.uint64((1 << 8 * order) - 1)
-    return mix(mix(context + np.uint64(order << 56))), grams & np.uint64(255)
 
+#: Random numbers of bytes and their places in a word, of its first 64 bytes.
+_LETTERS = mix(mix(np.arange(64 << 8, dtype=np.uint64)))
 
-_END = mix(np.array([0xE0D], np.uint64))
 
+def word_numbers(streams: list[bytes]) -> np.ndarray:
+    """An even number per token, the words of each document and its end: the sum of random numbers of its bytes and their places in it."""
+    out = []
+    for _, group in _groups(streams):
+        data = np.frombuffer(b" ".join(group), np.uint8)
+        space = np.flatnonzero(data == ord(" "))
+        first = np.concatenate([[0], space + 1])
+        letter = np.arange(len(data))
+        letter -= np.repeat(first, np.diff(first, append=len(data)))
+        letter <<= 8
+        letter |= data
+        far = np.flatnonzero(letter >= len(_LETTERS))
+        number = _LETTERS.take(letter, mode="clip")
+        number[far] = mix(mix(letter[far].astype(np.uint64)))
+        number[space] = 0
+        out.append(np.add.reduceat(number, first))
+    return np.concatenate(out) & ~np.uint64(1)
 
-def word_numbers(found: list[list[bytes]]) -> np.ndarray:
-    """A number per token: the words of each document and its end."""
-    out = [np.concatenate([np.fromiter(map(xxhash.xxh3_64_intdigest, w), np.uint64, len(w)), _END]) for w in found]
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
+def _starts(sorted_values: np.ndarray) -> np.ndarray:
+    """Where each distinct value begins."""
+    new = np.empty(len(sorted_values), bool)
+    new[:1] = True
+    np.not_equal(sorted_values[1:], sorted_values[:-1], out=new[1:])
+    return np.flatnonzero(new)
 
-def _parts(grams: np.ndarray, counts: np.ndarray):
-    """All distinct (context, byte) of all orders of distinct sorted ``grams``: keys of 52 bits of the context's hash and the byte, counts, and which one each
-    gram has. Those of an order follow one another by the value of context and byte."""
-    key, number, at = [], [], []
-    short, which = grams, np.arange(len(grams))
-    for order in reversed(ORDERS):  # each order's are few beside those of the next one
-        if order < _TOP:
-            short, back = np.unique(short & np.uint64((1 << 8 * (order + 1)) - 1), return_inverse=True)
-            which, counts = back[which], np.bincount(back, counts, len(short))
-        h, b = hashed(short, order)
-        key.append(h >> np.uint64(12) << np.uint64(8) | b)
-        number.append(counts)
-        at.append(which)
-    start = np.cumsum([0, *map(len, key[:-1])])
-    return np.concatenate(key), np.concatenate(number).astype(np.int64), np.stack([x + n for x, n in zip(at, start, strict=True)][::-1]).astype(np.int32)
+
+def _lengths(first: np.ndarray, total: int) -> np.ndarray:
+    """Of runs that begin at ``first``, the last of which ends at ``total``."""
+    out = np.empty(len(first), np.int32 if total < 1 << 31 else np.int64)
+    np.subtract(first[1:], first[:-1], out=out[:-1], casting="unsafe")
+    out[-1:] = total - first[-1:]
+    return out
+
+
+def _parts(grams: np.ndarray, counts: np.ndarray | None):
+    """All distinct (context, byte) of all orders of distinct sorted ``grams``: keys of 52 bits of the context's hash and the byte, counts if there are any, and
+    which one each gram has. Those of an order are grams with the same bytes up to its last one, and so follow one another."""
+    key, number, at, start = [], [], [], 0
+    for order in ORDERS:
+        short = grams >> np.uint64(8 * (_TOP - order))
+        first = _starts(short)
+        at.append((np.repeat(np.arange(len(first)), _lengths(first, len(grams))) + start).astype(np.int32))
+        context, byte = short[first] & np.uint64((1 << 8 * order) - 1), short[first] >> np.uint64(8 * order)
+        key.append(hashed(context, order) >> np.uint64(12) << np.uint64(8) | byte)
+        if counts is not None:
+            number.append(np.add.reduceat(counts, first))
+        start += len(first)
+    return np.concatenate(key), np.concatenate(number) if number else None, np.stack(at)
 
 
 def _short(number: np.ndarray) -> list[np.ndarray]:
@@ -120,10 +148,6 @@ def _full(small: np.ndarray, large: np.ndarray) -> np.ndarray:
     return number
 
 
-def _planes(low: np.ndarray, number: np.ndarray) -> list[np.ndarray]:
-    return [(low >> np.uint64(32)).astype("u1"), low.astype("u4"), *_short(number)]
-
-
 def _squeeze(*arrays: np.ndarray) -> np.ndarray:
     return np.frombuffer(zstandard.compress(_pack(*arrays), 1), "u1")
 
@@ -149,10 +173,6 @@ def _unpack_keys(body: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(_from_steps(steps) << np.uint64(8), more.astype(np.int64) + 1) | byte, _full(small, large)
 
 
-def _unplane(high, low, small, large) -> tuple[np.ndarray, np.ndarray]:
-    return high.astype(np.uint64) << np.uint64(32) | low, _full(small, large)
-
-
 def _pack(*arrays: np.ndarray) -> bytes:
     return struct.pack(f"<{len(arrays)}I", *(a.nbytes for a in arrays)) + b"".join(a.tobytes() for a in arrays)
 
@@ -171,61 +191,62 @@ def _bucket(key: np.ndarray, drop: int, buckets: int) -> np.ndarray:
 
 
 class Block:
-    """What a block of documents asks for, in an order that it finds again from its texts: by key, words by their number.
-
-    Words and bytes are numbered a few texts at a time, so that those of a million bytes are in use at once, not of the whole block.
-    """
-
-    def __init__(self, texts: list[bytes | None], held: np.ndarray, with_words: bool = True):
-        self.held = held
-        self.pieces: list[tuple[int, int, np.ndarray, slice]] = []  # first and last document, each byte's place, and where the piece's distinct grams lie
-        grams, counts, numbers, tokens, sizes, start = [], [], [], [], [], 0
-        for first, group in _groups(texts):
-            found = [words(t) for t in group]
-            streams = [stream(f) for f in found]
-            if with_words:
-                numbers.append(word_numbers(found))
-            tokens += [len(f) + 1 for f in found]
-            sizes += [len(s) for s in streams]
-            at, distinct = pd.factorize(contexts(streams))
-            learned = np.repeat(~held[first : first + len(group)], sizes[first:])
-            counts.append(np.bincount(at[learned], minlength=len(distinct)))
-            grams.append(distinct)
-            self.pieces.append((first, first + len(group), at.astype(np.int32), slice(start, start + len(distinct))))
-            start += len(distinct)
-        self.sizes, self.tokens = np.array(sizes), np.array(tokens)
-        self.grams, self.gram_at = np.unique(np.concatenate(grams), return_inverse=True)
-        self.key, self.count, self.at = _parts(self.grams, np.bincount(self.gram_at, np.concatenate(counts), len(self.grams)))
-        self.order = np.argsort(self.key)
+    """What a block of documents asks for, in an order that it finds again from its streams: keys sorted by hash, words by their number."""
+
+    def __init__(self, streams: list[bytes], held: np.ndarray, with_words: bool = True, with_counts: bool = False):
+        self.held, self.sizes = held, np.array([len(s) for s in streams])
+        where = places(streams)
+        where.sort()
+        first = _starts(where)
+        self.number = _lengths(first, len(where))
+        where = where[first]
+        # Each gram of each document once, by gram: the document and how often it is there.
+        self.doc = (where & np.uint64(0xFFFF)).astype(np.uint16)
+        where >>= np.uint64(16)
+        self.edges = _starts(where)  # where the rows of each gram begin
+        self.grams = where[self.edges]
+        del where, first
+        counts = np.add.reduceat(np.where(held[self.doc], 0, self.number), self.edges, dtype=np.int64) if with_counts else None
+        key, count, at = _parts(self.grams, counts)
+        order = np.argsort(key)
+        back = np.empty(len(order), np.int32)
+        back[order] = np.arange(len(order), dtype=np.int32)
+        self.key, self.count, self.at = key[order], count[order] if with_counts else None, back[at]  # ``at``: the key of each gram, by order
         if with_words:
-            self.token_at, self.words = pd.factorize(np.concatenate(numbers), sort=True)
-            self.word_counts = np.bincount(self.token_at, np.repeat(~held, self.tokens), len(self.words)).astype(np.int64)
+            self.tokens = np.array([s.count(b" ") + 1 for s in streams])
+            self.numbers = word_numbers(streams)
+
+    def words(self) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct numbers of words, sorted, and their counts."""
+        number = self.numbers | np.repeat(~self.held, self.tokens)  # the last bit is free
+        number.sort()
+        first = _starts(number >> np.uint64(1))
+        return number[first] & ~np.uint64(1), np.add.reduceat((number & np.uint64(1)).astype(np.int64), first)
 
     def summed(self, cost: np.ndarray) -> np.ndarray:
         """The sum of each document's bytes, of a value per distinct gram."""
-        out = np.zeros(len(self.sizes))
-        for first, last, at, distinct in self.pieces:
-            sizes = self.sizes[first:last]
-            out[first:last] = np.add.reduceat(cost[self.gram_at[distinct]][at], np.cumsum(sizes) - sizes)
-        return out
+        return np.bincount(self.doc, np.repeat(cost, _lengths(self.edges, len(self.doc))) * self.number, len(self.sizes))
 
 
 def _ask(buckets: int):
     def ask(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes]]:
-        texts = [None if x is None else bytes(x) for x in batch.column("text").cast(pa.binary()).to_pylist()]
-        b = Block(texts, batch.column("held").to_numpy(zero_copy_only=False))
+        streams = [stream(words(x)) for x in batch.column("text").cast(pa.binary()).to_pylist()]
+        b = Block(streams, batch.column("held").to_numpy(zero_copy_only=False), with_counts=True)
+        batch = batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(streams, pa.binary()))
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, batch.schema) as out:
             out.write_batch(batch)
+        del streams
         first = batch.column("first")[0].as_py()  # as all rows of a block
         yield OWN, bytes([first]) + zstandard.compress(sink.getvalue(), 3)
-        key, count = b.key[b.order], b.count[b.order]
+        key, count = b.key, b.count
+        distinct, number = b.words()
         edges = np.searchsorted(_bucket(key, 36, buckets), np.arange(buckets + 1))
-        word_edges = np.searchsorted(_bucket(b.words, 40, buckets), np.arange(buckets + 1))
+        word_edges = np.searchsorted(_bucket(distinct, 40, buckets), np.arange(buckets + 1))
         for i in range(buckets):
             part, own = slice(*edges[i : i + 2]), slice(*word_edges[i : i + 2])
             if part.start < part.stop or own.start < own.stop:
-                yield i, _pack(_pack_keys(key[part], count[part]), _squeeze(_steps(b.words[own]), *_short(b.word_counts[own])))
+                yield i, _pack(_pack_keys(key[part], count[part]), _squeeze(_steps(distinct[own]), *_short(number[own])))
 
     return ask
 
@@ -311,7 +332,8 @@ def _answer(bodies: list[bytes]) -> list[bytes]:
     got = [_unpack(x, "u1", "u1") for x in bodies]
     keys, counts = zip(*(_unpack_keys(g[0]) for g in got), strict=True)
     distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
-    table = paths(distinct, np.bincount(at, np.concatenate(counts), len(distinct)).astype(np.int64))
+    total = np.bincount(at, np.concatenate(counts), len(distinct))
+    table = paths(distinct, total.astype(np.int32 if total.sum() < 1 << 31 else np.int64))
     asked = [_unpack(zstandard.decompress(g[1]), "u1", "u1", "i8") for g in got]
     number = np.concatenate([_full(*x[1:]) for x in asked])
     distinct, word_at = np.unique(np.concatenate([_from_steps(x[0]) for x in asked]), return_inverse=True)
@@ -346,14 +368,12 @@ def counted(docs: DataFrame, buckets: int, size: int = 0) -> DataFrame:
 
 
 def _kept_blocks(batches: Iterator[pa.RecordBatch], with_words: bool) -> Iterator[tuple[pa.RecordBatch, Block, np.ndarray, list]]:
-    """Rows, block, (9, keys) ``paths`` in the order of its keys, and the answers about words."""
+    """Rows with streams for texts, block, (9, keys) ``paths`` of its keys, and the answers about words."""
     for kept in batches:
         for own, counts in zip(kept.column("texts"), kept.column("counts"), strict=True):
             with pa.ipc.open_stream(zstandard.decompress(own.as_buffer())) as s:
                 batch = s.read_all().combine_chunks().to_batches()[0]
-            texts = [None if x is None else bytes(x) for x in batch.column("text").cast(pa.binary()).to_pylist()]
-            b = Block(texts, batch.column("held").to_numpy(zero_copy_only=False), with_words)
-            del texts
+            b = Block(batch.column("text").to_pylist(), batch.column("held").to_numpy(zero_copy_only=False), with_words)
             table, word_counts, start = np.empty((9, len(b.key)), np.int64), [], 0
             sizes, bodies = _unpack(counts.as_buffer(), "i8", "u1")
             for body in np.split(bodies, np.cumsum(sizes)[:-1]):
@@ -363,11 +383,7 @@ def _kept_blocks(batches: Iterator[pa.RecordBatch], with_words: bool) -> Iterato
                 start += level.shape[1]
                 if with_words:
                     word_counts.append((_full(*_unpack(zstandard.decompress(of_words), "u1", "i8")), totals))
-            _restore(b.key[b.order], table)
-            back = np.empty_like(b.order)
-            back[b.order] = np.arange(len(back))
-            for i, level in enumerate(table):
-                table[i] = level[back]
+            _restore(b.key, table)
             yield batch, b, table, word_counts
 
 
@@ -419,19 +435,25 @@ def gates(inputs: np.ndarray) -> np.ndarray:
     return out
 
 
-def gram_costs(mixer: Mixer, inputs: list[np.ndarray], byte: np.ndarray) -> np.ndarray:
-    """``Mixer.cost`` of bytes whose inputs, by order, are (n, 8) whole numbers: of a one against a zero."""
-    out, ones = np.zeros(len(byte)), _bits(byte.astype(np.uint64)) == 1
+def gram_costs(mixer: Mixer, levels: np.ndarray, at: np.ndarray, byte: np.ndarray) -> np.ndarray:
+    """``Mixer.cost`` of bytes, from the whole-number logits (8, keys) of the bits that are there against the other value, and the key of each byte by order."""
+    chance = np.ones(len(byte))
     for bit in range(8):
-        whole = np.stack([x[:, bit] for x in inputs])
-        gate = gates(whole)
-        for g in np.flatnonzero(np.bincount(gate)):
-            at = np.flatnonzero(gate == g)
-            z = np.clip(mixer.weights[g, bit] @ (whole[:, at] / SCALE), -8, 8)
-            p = 0.5 / (1 + np.exp(-z)) + 0.5 * mixer.map[g, bit, np.rint(2 * z).astype(np.int64) + CELLS // 2]
-            p = np.clip(p, 1e-5, 1 - 1e-5)
-            out[at] += np.log10(np.where(ones[at, bit], p, 1 - p))
-    return out
+        whole = levels[bit][at]
+        gate, one = gates(whole), ((byte >> np.uint8(7 - bit)) & np.uint8(1)).astype(np.int64) * CELLS + CELLS // 2
+        found = np.bincount(gate, minlength=_TOP + 1)
+        p = np.empty(len(byte))
+        for g in np.argsort(-found, kind="stable")[: np.count_nonzero(found)]:
+            # That of most bytes for all of them, then the others'.
+            some = slice(None) if g == found.argmax() else np.flatnonzero(gate == g)
+            z = (mixer.weights[g, bit] / SCALE).astype(np.float32) @ whole[:, some].astype(np.float32)
+            np.clip(z, -8, 8, out=z)
+            # The map's chance of a zero at the cell of the opposite, and of a one.
+            there = np.concatenate([1 - mixer.map[g, bit, ::-1], mixer.map[g, bit]]) / 2
+            cell = np.rint(z + z).astype(np.int64) + one[some]
+            p[some] = there[cell] + np.float32(0.5) / (1 + np.exp(-z))
+        chance *= np.clip(p, 1e-5, 1 - 1e-5, out=p)
+    return np.log(chance) / np.log(10.0)
 
 
 def _bits(grams: np.ndarray) -> np.ndarray:
@@ -443,19 +465,18 @@ def scored(blocks: DataFrame, mixer: Mixer) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, b, counts, answers in _kept_blocks(batches, True):
-            ones = _bits(b.key) == 1
-            table, same = np.empty((len(b.key), 8), np.int8), counts[8].copy()
+            levels, same = np.empty((8, len(b.key)), np.int8), counts[8].astype(np.float64)
             for i in range(7, -1, -1):
-                table[:, i] = logit(np.where(ones[:, i], counts[i], same), np.where(ones[:, i], same, counts[i]))
+                levels[i] = logit(counts[i], same)
                 same += counts[i]
-            cost = np.zeros(len(b.grams))
-            for at in range(0, len(cost), 50_000):
-                part = slice(at, at + 50_000)
-                cost[part] = gram_costs(mixer, [table[x[part]] for x in b.at], b.grams[part] & np.uint64(255))
+            cost, byte = np.empty(len(b.grams)), (b.grams >> np.uint64(8 * _TOP)).astype(np.uint8)
+            for a in range(0, len(cost), 100_000):
+                part = slice(a, a + 100_000)
+                cost[part] = gram_costs(mixer, levels, b.at[:, part], byte[part])
             known = np.concatenate([x for x, _ in answers])
             totals = np.sum([x for _, x in answers], axis=0)
             token_starts = np.cumsum(b.tokens) - b.tokens
-            c = known[b.token_at]
+            c = known[np.unique(b.numbers, return_inverse=True)[1]]
             word_score = np.add.reduceat(np.log10(c + 0.1), token_starts)
             n_known = np.add.reduceat((c > 0).astype(np.int64), token_starts)
             none = pa.nulls(len(b.tokens), pa.int64())
@@ -469,28 +490,11 @@ def scored(blocks: DataFrame, mixer: Mixer) -> DataFrame:
         return staged(blocks.sparkSession, blocks.mapInArrow(score, RESULT), "scores")
 
 
-def _thin(numbers: np.ndarray, share: int) -> np.ndarray:
-    return mix(mix(numbers + np.uint64(1))) % np.uint64(share) == 0
-
-
-def own_counts(doc: np.ndarray, grams: np.ndarray, order: int, at: np.ndarray) -> np.ndarray:
-    """(n, 8, 2): what the documents of the grams ``at`` have themselves after each one's context, zeros and ones by bit."""
-    context, byte = (grams >> np.uint64(8)) & np.uint64((1 << 8 * order) - 1), grams & np.uint64(255)
-    n = 1 << 8 * order
-    if order > 2:
-        distinct, context = np.unique(context, return_inverse=True)
-        n = len(distinct)
-    key = (doc.astype(np.uint64) * np.uint64(n) + context.astype(np.uint64)) << np.uint64(8) | byte
-    wanted = key[at]
-    key.sort()
-    return np.stack([np.stack(x, 1) for x in nodes(key, np.arange(len(key) + 1), wanted)], 1)
-
-
-def _groups(texts: list[bytes | None], most: int = 1 << 20) -> Iterator[tuple[int, list[bytes | None]]]:
+def _groups(texts: list[bytes], most: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
     """Runs of texts of about ``most`` bytes, and the number of the first."""
     first, total = 0, 0
     for i, x in enumerate(texts):
-        n = len(x) if x else 0
+        n = len(x)
         if i > first and total + n > most:
             yield first, texts[first:i]
             first, total = i, 0
@@ -498,89 +502,9 @@ def _groups(texts: list[bytes | None], most: int = 1 << 20) -> Iterator[tuple[in
     yield first, texts[first:]
 
 
-def _ask_tuning(context_share: int, byte_share: int, buckets: int):
-    """Counts of orders 1 and 2, and of the higher ones after one in ``context_share`` of their last three bytes. One in ``byte_share``
-    of the bytes there is a tuning byte, which carries along what its own document has."""
-
-    def ask(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes]]:
-        learned = batch.filter(pc.invert(batch.column("held")))
-        if not learned.num_rows:
-            yield OWN, b""
-            return
-        texts = [None if x is None else bytes(x) for x in learned.column("text").cast(pa.binary()).to_pylist()]
-        known, known_doc, tuned, own, shorts = [], [], [], {o: [] for o in ORDERS}, []
-        for first, group in _groups(texts):  # the low orders need every byte, so a few texts at a time
-            group = [stream(words(t)) for t in group]
-            grams, sizes = contexts(group), np.array([len(s) for s in group])
-            doc = np.repeat(np.arange(len(sizes)), sizes)
-            place = np.arange(len(grams)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            chosen = np.flatnonzero(_thin((grams >> np.uint64(8)) & np.uint64((1 << 24) - 1), context_share))
-            some = np.flatnonzero(_thin(grams[chosen] * np.uint64(31) + place[chosen].astype(np.uint64), byte_share))
-            for order in (1, 2):
-                own[order].append(own_counts(doc, grams, order, chosen[some]).astype("i4"))
-            shorts.append(np.unique(grams.astype("u4") & np.uint32((1 << 24) - 1), return_counts=True))
-            tuned.append(some + sum(map(len, known)))
-            known.append(grams[chosen])
-            known_doc.append(doc[chosen] + first)
-        known, known_doc, tuned = (np.concatenate(x) for x in (known, known_doc, tuned))
-        low_grams, low_counts = (np.concatenate(x) for x in zip(*shorts, strict=True))
-        bucket, low, byte, number, flag, wants = [], [], [], [], [], []
-        start = 0
-        for order in ORDERS:
-            few, mask = order > 2, np.uint64((1 << 8 * (order + 1)) - 1)
-            if few:
-                own[order].append(own_counts(known_doc, known, order, tuned).astype("i4"))
-                short, n = np.unique(known & mask, return_counts=True)
-            else:
-                short, at = np.unique(low_grams.astype(np.uint64) & mask, return_inverse=True)
-                n = np.bincount(at, low_counts, len(short)).astype(np.int64)
-            h, b = hashed(short, order)
-            at = np.searchsorted(short, known[tuned] & mask)
-            asked = np.zeros(len(short), bool)
-            asked[at] = True
-            for out, x in zip((bucket, low, byte, number, flag), ((h >> np.uint64(40)) % np.uint64(buckets), h & _LOW, b, n, asked), strict=True):
-                out.append(x)
-            wants.append(at + start)
-            start += len(short)
-        own = [np.concatenate(own[o]) for o in ORDERS]
-        bucket, low, byte, number, flag = (np.concatenate(x) for x in (bucket, low, byte, number, flag))
-        o = np.argsort(bucket, kind="stable")
-        replied = np.zeros(len(o), np.int64)  # the place of each asked key among all replies, which come by bucket
-        replied[o] = np.cumsum(flag[o]) - 1
-        yield OWN, zstandard.compress(_pack(np.stack(own, 1).reshape(-1), replied[np.stack(wants, 1)].reshape(-1), known[tuned].astype("u1")), 3)
-        edges = np.searchsorted(bucket[o], np.arange(buckets + 1))
-        for i in range(buckets):
-            part = o[edges[i] : edges[i + 1]]
-            if len(part):
-                yield i, _pack(*_planes(low[part], number[part]), byte[part].astype("u1"), flag[part].astype("u1"))
-
-    return ask
-
-
-def _answer_tuning(bodies: list[bytes]) -> list[bytes]:
-    """The counts of zeros and ones by bit of each key that is marked."""
-    got = [_unpack(x, "u1", "u4", "u1", "i8", "u1", "u1") for x in bodies]
-    low, count = (np.concatenate(x) for x in zip(*(_unplane(*g[:4]) for g in got), strict=True))
-    key = low << np.uint64(8) | np.concatenate([g[4] for g in got])
-    distinct, at = np.unique(key, return_inverse=True)
-    total = np.concatenate([[0], np.cumsum(np.bincount(at, count, len(distinct)).astype(np.int64))])
-    out, start = [], 0
-    for g in got:
-        part = key[start : start + len(g[1])][g[5] == 1]
-        found = [np.stack(x, 1) for x in nodes(distinct, total, part)]
-        out.append(zstandard.compress(np.stack(found, 1).astype("i8").tobytes(), 3))
-        start += len(g[1])
-    return out
-
-
-def _finish_tuning(own: bytes, replies: dict[int, bytes]) -> pa.Table:
-    if not own:
-        return pa.table([[], []], schema=_TUNING)
-    own, at, byte = _unpack(zstandard.decompress(own), "i4", "i8", "u1")
-    counts = np.concatenate([np.frombuffer(zstandard.decompress(replies[i]), "i8") for i in sorted(replies)]).reshape(-1, 8, 2)
-    left = counts[at].reshape(-1, _TOP, 8, 2) - own.reshape(-1, _TOP, 8, 2)
-    inputs = logit(left[..., 0], left[..., 1]).astype("i1")
-    return pa.table([[inputs.tobytes()], [byte.tobytes()]], schema=_TUNING)
+def _signs(byte: np.ndarray) -> np.ndarray:
+    """(n, 8): 1 for the ones of bytes and -1 for their zeros."""
+    return np.unpackbits(byte[:, None], axis=1).view(np.int8) * np.int8(2) - np.int8(1)
 
 
 TUNING = "inputs binary, bytes binary"
@@ -593,27 +517,22 @@ def tuning_share(size: int) -> int:
 
 
 def tuning_inputs(docs: DataFrame, share: int, buckets: int, size: int = 0) -> DataFrame:
-    """Per block: the inputs (n, orders, 8) of one in ``share`` of the bytes of training documents, and these bytes.
+    """Per some bytes: the inputs (n, orders, 8) of one in ``share`` of the bytes of training documents, and these bytes.
 
-    The counts are those of all training documents but the byte's own row.
+    The counts are those of all training documents but the byte's own row. ``docs`` may be ``counted`` already.
     """
-    context_share = min(CONTEXT_SHARE, share)
-    ask = _ask_tuning(context_share, -(-share // context_share), buckets)
-    return exchange(docs, ask, _answer_tuning, _finish_tuning, TUNING, size, "tuning", BLOCK_BYTES)
+    blocks = docs if "counts" in docs.columns else counted(docs, buckets, size)
 
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, b, counts, _ in _kept_blocks(batches, False):
+            inputs, byte, n = _left_inputs(b, counts, share, pc.fill_null(batch.column("doc_id"), 0).to_numpy().astype(np.uint64))
+            at = np.repeat(np.arange(len(n)), n)
+            for some in np.split(at, range(20_000, len(at), 20_000)):
+                signed = np.ascontiguousarray((inputs[:, some] * _signs(byte[some])).transpose(1, 0, 2))
+                yield pa.RecordBatch.from_arrays([pa.array([signed.tobytes()], pa.binary()), pa.array([byte[some].tobytes()], pa.binary())], schema=_TUNING)
 
-def _sorted(doc: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The order of rows by document, then by number, and where in it each pair's first row is."""
-    bits = [int(x.max(initial=0)).bit_length() for x in (doc, number)] + [len(doc).bit_length()]
-    pair = doc << np.uint64(bits[1]) | number
-    if sum(bits) <= 64:  # sorted with the row's place in the last bits, which is faster than by place
-        pair = np.sort(pair << np.uint64(bits[2]) | np.arange(len(pair), dtype=np.uint64))
-        order = (pair & np.uint64((1 << bits[2]) - 1)).astype(np.int64)
-        pair >>= np.uint64(bits[2])
-    else:
-        order = np.argsort(pair)
-        pair = pair[order]
-    return order, np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+    with small_batches(blocks.sparkSession):
+        return staged(blocks.sparkSession, blocks.mapInArrow(pick, TUNING), "tuning")
 
 
 def _without_own(counts: list[np.ndarray], own: np.ndarray) -> np.ndarray:
@@ -629,51 +548,223 @@ def _without_own(counts: list[np.ndarray], own: np.ndarray) -> np.ndarray:
     return out
 
 
-def _left_inputs(b: Block, counts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Of all learned bytes of a block, a piece at a time, each distinct one of a document once: inputs (orders, n, 8) of the bits that are there against the
-    other value, the byte, and how often it is there. ``counts`` are ``paths`` of the block's keys; those of the byte's own document are left out."""
-    counts = counts.astype(np.float32)  # one of 2^24 and more to seven digits, far finer than a logit's steps
+#: The node of a byte's path in which it parts from another one, by their difference: 0 is the highest bit's.
+_PARTING = np.array([8, *(8 - x.bit_length() for x in range(1, 257))], np.int64).clip(0)
+#: A number for each of the 8 nodes, in a byte each of one number: their ones, their highest bits, and the nodes from ``a`` on and up to ``b``, at ``a``, ``b``.
+_ONES, _HIGH = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+_BETWEEN = np.ascontiguousarray([[[255 * (a <= i <= b) for i in range(8)] for b in range(8)] for a in range(9)], np.uint8).view(np.uint64)[..., 0] & _ONES
+
+
+def _calm(counts: np.ndarray, once: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of ``paths`` of keys and the logits without one of their own: how many more a document can take away at a node of a key's path without another logit, of
+    the bits that are there and of the others. (2, keys), the 8 nodes in a byte each, up to 126, and 127 where it doesn't matter; and (2, keys), the least of them.
+    Rounded down, and a little less where sums are of seven digits only."""
+    parts = [_calm_part(counts[:, a : a + (1 << 15)], once[a : a + (1 << 15)]) for a in range(0, max(len(once), 1), 1 << 15)]  # which stay in a cache
+    return tuple(np.concatenate(x, axis=1) for x in zip(*parts, strict=True))
+
+
+def _calm_part(counts: np.ndarray, once: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    out, least = np.empty((2, len(once), 8), np.uint8), np.full((2, len(once)), 1 << 30, np.float32)
+    same = np.maximum(counts[8], 1) - np.float32(1)
+    step = np.exp(np.arange(-121, 122) / SCALE - 0.5 / SCALE).astype(np.float32)  # the lowest ratio of each logit
+    prior = np.float32(PRIOR)
+    for i in range(7, -1, -1):
+        other, place = counts[i], once[:, i].astype(np.int64) + 121
+        ones, zeros = same + prior, other + prior
+        slack = np.float32(2e-3) + np.float32(4e-6) * (same + other)
+        low, high = step.take(place) * zeros, ones / step[1:].take(place)
+        for row, left, never in ((0, ones - low - slack, (place == 1) | (same == 0)), (1, zeros - high - slack, (place == 241) | (other == 0))):
+            np.maximum(left, 0, out=left)
+            np.minimum(least[row], np.where(never, np.float32(1 << 30), left), out=least[row])
+            out[row, :, i] = np.where(never, np.float32(127), np.minimum(left, np.float32(126), out=left))
+        same = same + other
+    return out.view(np.uint64)[..., 0], least.astype(np.int32)
+
+
+def _unsettled(calm: np.ndarray, ends: np.ndarray, key: np.ndarray, at: np.ndarray, run: np.ndarray, first: np.ndarray, size: np.ndarray, total: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Of the places ``at`` of a document's sorted keys, in contexts ``run``, whether what it has there may change a logit, node by node. From the node on in
+    which a byte parts from the last other one, only its own are on its path; others are there from the first node on in which any two of the context part."""
+    begin = first[run]
+    end = begin + size[run] - 1
+    here = key[at]
+    byte = ends[here]
+    spread = _PARTING[ends[key[begin]] ^ ends[key[end]]]
+    near = np.minimum(np.where(at == begin, 256, byte ^ ends[key[at - 1]]), np.where(at == end, 256, byte ^ ends[key[np.minimum(at + 1, len(key) - 1)]]))
+    near = _PARTING[near]  # the last node in which another byte is beside it; the first one if it is the only byte
+    total, number, others = (np.minimum(x, 127).astype(np.uint64) for x in (total - 1, number - 1, total - number))
+    own = _BETWEEN[near, 7]
+    same = number * own + total * (_ONES ^ own)
+    return ((calm[0][here] | _HIGH) - same & (calm[1][here] | _HIGH) - others * _BETWEEN[spread, near] & _HIGH) != _HIGH
+
+
+def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs begin, of flags at their first places, and their lengths."""
+    first = np.flatnonzero(flags)
+    return first, _lengths(first, len(flags))
+
+
+def _low(values: np.ndarray, bits: int) -> np.ndarray:
+    return (values & np.uint64((1 << bits) - 1)).astype(np.int64)
+
+
+def _in_order(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted values of so many bits, and the place of each before."""
+    of_place = len(values).bit_length()
+    if bits + of_place > 64:
+        place = np.argsort(values, kind="stable")
+        return values[place], place
+    both = values << np.uint64(of_place) | np.arange(len(values), dtype=np.uint64)
+    both.sort()  # faster than by place
+    return both >> np.uint64(of_place), _low(both, of_place)
+
+
+class _Contexts:
+    """A block's grams and keys by context, the last byte before first, then by byte: what is looked up for neighbours lies together."""
+
+    def __init__(self, b: Block):
+        turned = b.grams << np.uint64(8) & np.uint64((1 << 8 * (_TOP + 1)) - 1) | b.grams >> np.uint64(8 * _TOP)
+        self.grams, by_gram = _in_order(turned, 8 * (_TOP + 1))
+        self.rank = np.empty(len(by_gram), np.uint64)  # of the block's grams
+        self.rank[by_gram] = np.arange(len(by_gram), dtype=np.uint64)
+        self.at = np.empty((_TOP, len(by_gram)), np.int32)  # the key of each gram
+        self.spot = np.empty((_TOP, len(by_gram)), np.uint64)  # its context, and in 8 bits which one of the context's keys it is
+        keys, contexts, values, start, contexts_before = [], [], [], 0, 0
+        for i, order in enumerate(ORDERS):
+            short = b.grams >> np.uint64(8 * (_TOP - order))
+            first = _starts(short)
+            value = short[first] & np.uint64((1 << 8 * order) - 1)
+            value = value << np.uint64(8) | short[first] >> np.uint64(8 * order)
+            value, place = _in_order(value, 8 * (order + 1))
+            back = np.empty(len(place), np.int64)
+            back[place] = np.arange(len(place))
+            self.at[i] = np.repeat(back, _lengths(first, len(short)))[by_gram] + start
+            begin = _starts(value >> np.uint64(8))
+            size = _lengths(begin, len(value))
+            spot = np.repeat(np.arange(contexts_before, contexts_before + len(begin)) << 8, size) + np.arange(len(value)) - np.repeat(begin, size)
+            self.spot[i] = spot.astype(np.uint64)[self.at[i] - start]
+            keys.append(b.at[i][first][place])
+            contexts.append(begin + start)
+            values.append((value & np.uint64(255)).astype(np.int16))
+            start, contexts_before = start + len(value), contexts_before + len(begin)
+        self.key = np.concatenate(keys)  # which one of the block's keys each is
+        self.first = np.concatenate(contexts)  # the first key of each context
+        self.ends = np.concatenate(values)  # the byte of each key
+
+
+def _rows(b: Block, c: _Contexts) -> tuple[np.ndarray, np.ndarray | None, int]:
+    """The learned rows of a block, sorted: the context, the document in so many bits and in 8 bits which one of the context's keys it is; below these how often
+    it is there, in the last number of bits, or if that doesn't fit, beside them."""
+    of_doc, of_n = len(b.sizes).bit_length(), int(b.number.max(initial=0)).bit_length()
+    spot = c.spot[_TOP - 1][c.rank.astype(np.int64)]
+    if int(c.spot[_TOP - 1].max(initial=0)).bit_length() + of_doc + of_n > 64:
+        of_n = 0
+    value = np.repeat((spot >> np.uint64(8) << np.uint64(8 + of_doc) | spot & np.uint64(255)) << np.uint64(of_n), _lengths(b.edges, len(b.doc)))
+    value |= b.doc.astype(np.uint64) << np.uint64(8 + of_n)
+    if of_n:
+        value |= b.number.astype(np.uint64)
+    learned = ~b.held[b.doc]
+    value = value[learned]
+    if of_n:
+        value.sort()
+        return value, None, of_n
+    value, place = _in_order(value, 64)
+    return value, b.number[learned][place], 0
+
+
+def _left_inputs(b: Block, counts: np.ndarray, share: int = 1, ids: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all learned bytes of a block: the inputs (orders, n, 8) of the bits that are there against the other value, the byte, and how often this is there;
+    of a larger ``share``, of that part of them, by hash. ``counts`` are ``paths`` of the block's keys; those of the byte's own document are left out.
+
+    Where a document has a context once, its own share is the same in all such documents. Mostly a logit is that of this case in the others as well; only where
+    what the document has there could change it, it is found from the counts, and the byte told apart from those of other documents.
+    """
+    c = _Contexts(b)
+    rows, beside, of_n = _rows(b, c)
+    whole, counts = counts, np.empty(counts.shape, np.float32)
+    for level, out in zip(whole, counts, strict=True):
+        out[:] = level[c.key]  # one of 2^24 and more to seven digits, far finer than a logit's steps
+    del whole
     alone = np.zeros((9, len(b.key)), np.float32)
     alone[8] = 1
-    # Most contexts are in a document once, and then its own share is the same in all of them.
-    once = _without_own(np.maximum(counts, alone), alone).view(np.uint64)[:, 0]
-    gram_at = b.gram_at.astype(np.uint64)
-    for first, last, at, distinct in b.pieces:
-        learned = ~b.held[first:last]
-        sizes = b.sizes[first:last]
-        doc = np.repeat(np.arange(last - first, dtype=np.uint64), np.where(learned, sizes, 0))
-        if not len(doc):
-            continue
-        which = gram_at[distinct][at]
-        if not learned.all():
-            which = which[np.repeat(learned, sizes)]
-        pair, n = np.unique(doc << np.uint64(32) | which, return_counts=True)
-        n = n.astype(np.int32)
-        doc, which = pair >> np.uint64(32), (pair & np.uint64((1 << 32) - 1)).astype(np.int64)
-        byte = (b.grams[which] & np.uint64(255)).astype(np.uint8)
-        inputs = np.empty((_TOP, len(pair)), np.uint64)
-        place, owner, ends, number = None, doc, byte, n  # of each order's rows: theirs in the order before, document, byte, and number
-        key, rows = b.at[_TOP - 1][which], which
+    packed = _without_own(np.maximum(counts, alone), alone)
+    calm, calmest = _calm(counts, packed)
+    once = packed.view(np.uint64)[:, 0]
+    del alone, packed
+    of_doc = len(b.sizes).bit_length()
+    used, told = np.zeros(len(c.grams), np.int64), []
+    # All contexts that end with the same byte are seen together.
+    lead = np.uint64(of_n + 8 + of_doc)
+    last = (c.spot[_TOP - 1] >> np.uint64(8))[_starts(c.grams >> np.uint64(8 * _TOP))]
+    starts = np.append(np.searchsorted(rows, last << lead), len(rows))
+    cuts = np.unique(starts[np.searchsorted(starts, np.append(np.arange(0, len(rows), 1 << 18), len(rows)))])
+    for a, z in zip(cuts[:-1], cuts[1:], strict=True):
+        value = rows[a:z] >> np.uint64(of_n)
+        number = beside[a:z] if of_n == 0 else _low(rows[a:z], of_n).astype(np.int32)
+        where = value >> np.uint64(8)
+        doc = where & np.uint64((1 << of_doc) - 1)
+        key = c.first[(where >> np.uint64(of_doc)).astype(np.int64)] + _low(value, 8)  # of each distinct key of a document
+        grams = gram = key - (len(c.key) - len(c.grams))  # each is a key of the last order
+        weight = number
+        if share > 1:
+            chance = mix(mix(ids)[doc.astype(np.int64)] + c.grams[gram]) % np.uint64(share)
+            weight = (number + chance.astype(np.int64)) // share
+        low, high = int(gram.min()), int(gram.max()) + 1
+        used[low:high] += np.bincount(gram - low, weight, high - low).astype(np.int64)
+        back, changed = [], []
         for i in range(_TOP - 1, -1, -1):
             if i < _TOP - 1:
-                key = b.at[i][rows]
-                order, starts = _sorted(owner, key.astype(np.uint64))
-                back = np.empty(len(order), np.int64)
-                back[order] = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(order)))
-                number, some = np.add.reduceat(number[order], starts), order[starts]
-                owner, ends, rows, key = owner[some], ends[some], rows[some], key[some]
-                place = back if place is None else back[place]
-            context = (b.grams[rows] >> np.uint64(8)) & np.uint64((1 << 8 * (i + 1)) - 1)
-            new = np.concatenate([[True], (context[1:] != context[:-1]) | (owner[1:] != owner[:-1])])
-            single = new & np.append(new[1:], True) & (number == 1)
-            x = once[key]
-            rest = np.flatnonzero(~single)
-            if len(rest):
-                own = paths(np.cumsum(new)[rest].astype(np.uint64) << np.uint64(8) | ends[rest], number[rest])
-                asked = key[rest]
-                x[rest] = _without_own([c[asked] for c in counts], own.astype(np.float32)).view(np.uint64)[:, 0]
-            inputs[i] = x if place is None else x[place]
-        yield inputs.view(np.int8).reshape(_TOP, len(pair), 8), byte, n
+                spot = c.spot[i][gram]
+                least = spot.min() >> np.uint64(8)
+                value = ((spot >> np.uint64(8)) - least << np.uint64(of_doc) | doc) << np.uint64(8) | spot & np.uint64(255)
+                value, place = _in_order(value, int(value.max()).bit_length())
+                first = _starts(value)
+                back.append((place, first, _lengths(first, len(value))))
+                number, gram, value = np.add.reduceat(number[place], first), gram[place[first]], value[first]
+                where = value >> np.uint64(8)
+                doc = where & np.uint64((1 << of_doc) - 1)
+                key = c.first[((where >> np.uint64(of_doc)) + least).astype(np.int64)] + _low(value, 8)
+            new = np.ones(len(key), bool)
+            np.not_equal(where[1:], where[:-1], out=new[1:])
+            run, size = _runs(new)
+            which = np.cumsum(new, dtype=np.int32) - 1
+            total = np.add.reduceat(number, run)[which]
+            some = np.flatnonzero((total - 1 > calmest[0][key]) | (total - number > calmest[1][key]))
+            some = some[_unsettled(calm, c.ends, key, some, which[some], run, size, total[some], number[some])]
+            if not len(some):
+                continue
+            # All bytes of a context are needed to know its bits.
+            those = which[some][_starts(which[some])]
+            own_size = size[those]
+            every = np.repeat(run[those] - np.cumsum(own_size) + own_size, own_size) + np.arange(own_size.sum())
+            own = paths(which[every].astype(np.uint64) << np.uint64(8) | c.ends[key[every]].astype(np.uint64), number[every])
+            own = own[:, np.searchsorted(every, some)]
+            there = key[some]
+            logits = _without_own([x[there] for x in counts], own.astype(np.float32)).view(np.uint64)[:, 0]
+            other = np.flatnonzero(logits != once[there])
+            at, logits = some[other], logits[other]
+            for place, first, size in reversed(back):  # the keys of the next order, and at last the rows, that these are of
+                size = size[at]
+                at = place[np.repeat(first[at] - np.cumsum(size) + size, size) + np.arange(size.sum())]
+                logits = np.repeat(logits, size)
+            changed.append((i, at, logits))
+        if changed:
+            mark = np.zeros(z - a, bool)
+            for _, at, _ in changed:
+                mark[at] = True
+            mark &= weight > 0
+            place, mark_at = np.cumsum(mark) - 1, np.flatnonzero(mark)
+            gram, weight = grams[mark_at], weight[mark_at].astype(np.int64)
+            inputs = once[c.at[:, gram]]
+            for i, at, logits in changed:
+                there = mark[at]
+                inputs[i, place[at[there]]] = logits[there]
+            told.append((inputs, gram, weight))
+            used[low:high] -= np.bincount(gram - low, weight, high - low).astype(np.int64)
+    del rows, beside
+    some = np.flatnonzero(used)
+    told.append((once[c.at[:, some]], some, used[some]))
+    inputs, gram, number = (np.concatenate(x, axis=-1) for x in zip(*told, strict=True))
+    return np.ascontiguousarray(inputs).view(np.int8).reshape(_TOP, -1, 8), (c.grams[gram] & np.uint64(255)).astype(np.uint8), number
 
 
 def _merged(inputs: list[np.ndarray], ones: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -736,16 +827,14 @@ def _block_sums(blocks: DataFrame, mixer: Mixer) -> np.ndarray:
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(_SUMS, np.int64)
         for _, b, counts, _ in _kept_blocks(batches, False):
-            for piece in _left_inputs(b, counts):
-                total += np.rint(weighed_sums(mixer, *piece) * FINE).astype(np.int64)
+            inputs, byte, n = _left_inputs(b, counts)
+            del b, counts
+            if len(n):
+                total += np.rint(weighed_sums(mixer, inputs, byte, n) * FINE).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(_SUMS)), pa.array(total)], names=["i", "v"])
 
-    out = np.zeros(_SUMS)
     with small_batches(blocks.sparkSession):
-        rows = blocks.mapInArrow(add, "i long, v long").groupBy("i").agg(F.sum("v").alias("v")).collect()
-    for r in rows:
-        out[r.i] = r.v / FINE
-    return out
+        return _added(blocks.mapInArrow(add, "i long, v long"))
 
 
 def whole_sums(learned: DataFrame, mixer: Mixer, buckets: int, size: int = 0) -> np.ndarray:
@@ -780,24 +869,26 @@ def refitted(mixer: Mixer, sums: Callable[[Mixer], np.ndarray]) -> Mixer:
     return out
 
 
-def _tuning_arrays(inputs: bytes, byte: bytes) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(inputs, "i1").reshape(-1, _TOP, 8) / SCALE, _bits(np.frombuffer(byte, "u1").astype(np.uint64))
-
-
-def _sums(tuning: DataFrame, of: Callable[[np.ndarray, np.ndarray], np.ndarray], size: int) -> np.ndarray:
-    """The sum over all tuning bytes of what ``of`` gives for some of them; in whole numbers, so that no order of rows matters."""
+def _tuning_sums(tuning: DataFrame, mixer: Mixer) -> np.ndarray:
+    """``slopes`` and ``hits`` of a mixer over all tuning bytes, in whole numbers of 1/FINE, so that no order of rows matters."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int64)
+        total = np.zeros(_SUMS, np.int64)
         for batch in batches:
-            for row in zip(batch.column("inputs").to_pylist(), batch.column("bytes").to_pylist(), strict=True):
-                inputs, bits = _tuning_arrays(*row)
-                for at in range(0, len(bits), 20_000):
-                    total += np.rint(of(inputs[at : at + 20_000], bits[at : at + 20_000]) * FINE).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(total)], names=["i", "v"])
-
-    out = np.zeros(size)
-    for r in tuning.mapInArrow(add, "i long, v long").groupBy("i").agg(F.sum("v").alias("v")).collect():
+            byte = np.concatenate([np.zeros(0, np.uint8), *(np.frombuffer(x.as_buffer(), "u1") for x in batch.column("bytes"))])
+            if not len(byte):
+                continue
+            inputs = np.concatenate([np.frombuffer(x.as_buffer(), "i1").reshape(-1, _TOP, 8) for x in batch.column("inputs")])
+            there = inputs.transpose(1, 0, 2) * _signs(byte)
+            total += np.rint(weighed_sums(mixer, there, byte, np.ones(len(byte), np.int64)) * FINE).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(_SUMS)), pa.array(total)], names=["i", "v"])
+
+    return _added(tuning.mapInArrow(add, "i long, v long"))
+
+
+def _added(sums: DataFrame) -> np.ndarray:
+    out = np.zeros(_SUMS)
+    for r in sums.groupBy("i").agg(F.sum("v").alias("v")).collect():
         out[r.i] = r.v / FINE
     return out
 
@@ -824,14 +915,17 @@ def hits(mixer: Mixer, inputs: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return np.concatenate([np.bincount(place, minlength=size), np.bincount(place, bits.reshape(-1), size)])
 
 
-def fitted(tuning: DataFrame) -> Mixer:
-    """Newton steps from the first weights, with a ridge around them; a step that raises a gate and bit's loss is halved instead."""
+def fitted(tuning: DataFrame, enough: float = 0.0) -> Mixer:
+    """Newton steps from the first weights, with a ridge around them; a step that raises a gate and bit's loss is halved instead. The step that would gain less
+    than the part ``enough`` of the loss is not made: more bytes tell better where to go on."""
     mixer, n = Mixer(), (_TOP + 1) * 8
     first = mixer.weights.reshape(n, _TOP)
     best, step, least = first, np.zeros_like(first), np.full(n, np.inf)
     for _ in range(PASSES):
         tried = (best + step).reshape(mixer.weights.shape)
-        got = _sums(tuning, partial(slopes, tried), n * (1 + _TOP + _TOP * _TOP)).reshape(n, -1)
+        at = Mixer()
+        at.weights = tried
+        got = _tuning_sums(tuning, at)[:_SLOPES].reshape(n, -1)
         tried = tried.reshape(n, _TOP)
         loss = got[:, 0] + RIDGE / 2 * ((tried - first) ** 2).sum(1)
         slope = got[:, 1 : 1 + _TOP] + RIDGE * (tried - first)
@@ -839,10 +933,10 @@ def fitted(tuning: DataFrame) -> Mixer:
         newton = -np.linalg.solve(curve, slope[..., None])[..., 0]
         better = loss <= least
         best, step, least = np.where(better[:, None], tried, best), np.where(better[:, None], newton, step / 2), np.where(better, loss, least)
-        if np.abs(step).max() < 1e-3:
+        if np.abs(step).max() < 1e-3 or -(slope * newton).sum() / 2 < enough * loss.sum():
             break
     mixer.weights = best.reshape(mixer.weights.shape)
-    number, ones = _sums(tuning, partial(hits, mixer), 2 * n * CELLS).reshape(2, *mixer.map.shape)
+    number, ones = _tuning_sums(tuning, mixer)[_SLOPES:].reshape(2, *mixer.map.shape)
     mixer.map = (ones + 30.0 * mixer.map) / (number + 30.0)
     return mixer
 
@@ -863,8 +957,11 @@ def mixed_scores(docs: DataFrame, divisor: int = 10, held: int = 0) -> DataFrame
     buckets = bucket_count(docs, size)
     share = tuning_share(learned)
     with setting(docs.sparkSession, "spark.sql.shuffleDependency.fileCleanup.enabled", "true"):  # one exchange after the other
-        mixer = fitted(tuning_inputs(docs, share, buckets, size))
         blocks = counted(docs, buckets, size)
+        if share > FIRST_SHARE:
+            mixer = fitted(tuning_inputs(blocks.where("first"), share // FIRST_SHARE, buckets, size), ENOUGH)
+        else:
+            mixer = fitted(tuning_inputs(blocks, share, buckets, size), ENOUGH if share > 1 else 0.0)
         if share > FIRST_SHARE:
             mixer = refitted(mixer, lambda m: _block_sums(blocks.where("first"), m))
         if share > 1:
