@@ -12,8 +12,11 @@ of the bytes, whose inputs are small enough to be kept, only says where the step
 How it runs on a cluster: a byte's cost depends on the byte and its longest context alone, so a block of documents
 asks once for each distinct (context, byte) of each order (see ``exchange``) and keeps the counts beside its texts, both compressed. Each Newton
 step is a pass over these kept blocks, which sums over all training bytes, and so is the scoring, which costs each distinct gram of a block once
-and adds up its documents. Counts of words are asked for in the same way. Before that, a smaller exchange counts a share of the contexts
-by hash, in all documents, and gives the inputs of the tuning bytes; no table of the corpus is broadcast or sent to the driver.
+and adds up its documents. Counts of words are asked for in the same way, and the inputs of the tuning bytes are read off the kept blocks;
+no table of the corpus is broadcast or sent to the driver.
+
+A gram is a byte and the five before it. In most documents what a byte's own one has counted doesn't change a logit; bounds by bit of what it would
+take (``_calm``) say where it may, and only there a byte is seen by document (``_left_inputs``).
 """
 
 from __future__ import annotations
@@ -78,8 +81,18 @@ def places(streams: list[bytes]) -> np.ndarray:
     return out
 
 
+#: Bits of a context's number: 5 bytes, and its order above them.
+_WIDE = 8 * _TOP + 3
+
+
 def hashed(context: np.ndarray, order: int) -> np.ndarray:
-    return mix(mix(context + np.uint64(order << 56)))
+    """A number of ``_WIDE`` bits for each context of an order, spread over the whole range: one to one, so that no two contexts are taken for one."""
+    all_ = np.uint64((1 << _WIDE) - 1)
+    out = context + np.uint64(order << 8 * _TOP)
+    for odd in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
+        out = out * np.uint64(odd) & all_
+        out ^= out >> np.uint64(_WIDE // 2 + 1)
+    return out
 
 
 #: Random numbers of bytes and their places in a word, of its first 64 bytes.
@@ -122,7 +135,7 @@ def _lengths(first: np.ndarray, total: int) -> np.ndarray:
 
 
 def _parts(grams: np.ndarray, counts: np.ndarray | None):
-    """All distinct (context, byte) of all orders of distinct sorted ``grams``: keys of 52 bits of the context's hash and the byte, counts if there are any, and
+    """All distinct (context, byte) of all orders of distinct sorted ``grams``: keys of the context's hash and the byte, counts if there are any, and
     which one each gram has. Those of an order are grams with the same bytes up to its last one, and so follow one another."""
     key, number, at, start = [], [], [], 0
     for order in ORDERS:
@@ -130,7 +143,7 @@ def _parts(grams: np.ndarray, counts: np.ndarray | None):
         first = _starts(short)
         at.append((np.repeat(np.arange(len(first)), _lengths(first, len(grams))) + start).astype(np.int32))
         context, byte = short[first] & np.uint64((1 << 8 * order) - 1), short[first] >> np.uint64(8 * order)
-        key.append(hashed(context, order) >> np.uint64(12) << np.uint64(8) | byte)
+        key.append(hashed(context, order) << np.uint64(8) | byte)
         if counts is not None:
             number.append(np.add.reduceat(counts, first))
         start += len(first)
@@ -238,10 +251,10 @@ def _ask(buckets: int):
             out.write_batch(batch)
         del streams
         first = batch.column("first")[0].as_py()  # as all rows of a block
-        yield OWN, bytes([first]) + zstandard.compress(sink.getvalue(), 3)
+        yield OWN, bytes([first]) + zstandard.compress(sink.getvalue(), 5)
         key, count = b.key, b.count
         distinct, number = b.words()
-        edges = np.searchsorted(_bucket(key, 36, buckets), np.arange(buckets + 1))
+        edges = np.searchsorted(_bucket(key, _WIDE + 8 - 24, buckets), np.arange(buckets + 1))
         word_edges = np.searchsorted(_bucket(distinct, 40, buckets), np.arange(buckets + 1))
         for i in range(buckets):
             part, own = slice(*edges[i : i + 2]), slice(*word_edges[i : i + 2])
@@ -363,7 +376,9 @@ def counted(docs: DataFrame, buckets: int, size: int = 0) -> DataFrame:
     """
     block = min(BLOCK_BYTES, max(size // 32, 1 << 18))  # several per core of a small input, too
     first = F.pmod(F.xxhash64("doc_id"), F.lit(FIRST_SHARE)) == 0
-    dealt = docs.where(first).withColumn("first", F.lit(True)).unionAll(docs.where(~first).withColumn("first", F.lit(False)))
+    # Read by few tasks, so that their blocks are not smaller than others: a key costs the same in a small block.
+    few = docs.where(first).coalesce(max(1, -(-size // (FIRST_SHARE * block))))
+    dealt = few.withColumn("first", F.lit(True)).unionAll(docs.where(~first).withColumn("first", F.lit(False)))
     return exchange(dealt, _ask(buckets), _answer, _keep, COUNTED, size, "counted", block)
 
 
@@ -646,7 +661,7 @@ class _Contexts:
             contexts.append(begin + start)
             values.append((value & np.uint64(255)).astype(np.int16))
             start, contexts_before = start + len(value), contexts_before + len(begin)
-        self.key = np.concatenate(keys)  # which one of the block's keys each is
+        self.key = np.concatenate(keys).astype(np.int64)  # which one of the block's keys each is
         self.first = np.concatenate(contexts)  # the first key of each context
         self.ends = np.concatenate(values)  # the byte of each key
 
@@ -682,7 +697,7 @@ def _left_inputs(b: Block, counts: np.ndarray, share: int = 1, ids: np.ndarray |
     rows, beside, of_n = _rows(b, c)
     whole, counts = counts, np.empty(counts.shape, np.float32)
     for level, out in zip(whole, counts, strict=True):
-        out[:] = level[c.key]  # one of 2^24 and more to seven digits, far finer than a logit's steps
+        level.astype(np.float32).take(c.key, out=out, mode="clip")  # one of 2^24 and more to seven digits, far finer than a logit's steps
     del whole
     alone = np.zeros((9, len(b.key)), np.float32)
     alone[8] = 1
